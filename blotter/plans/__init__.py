@@ -1,6 +1,6 @@
 """Plan inspection and broadcast size guards."""
 
-from blotter.plans.guards import DEFAULT_BROADCAST_ROWS, broadcast_if_small, has_at_most
+from blotter.plans.guards import DEFAULT_BROADCAST_ROWS, broadcast_if_small, has_at_most, materialise
 from blotter.plans.inspect import has_node, join_strategies, physical_section, plan_text
 
 __all__ = [
@@ -8,6 +8,7 @@ __all__ = [
     "broadcast_if_small",
     "has_at_most",
     "has_node",
+    "materialise",
     "join_strategies",
     "physical_section",
     "plan_text",

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from blotter.session import scratch_path
+
 # Rows a dimension may have to be shipped whole to every executor.
 DEFAULT_BROADCAST_ROWS = 200_000
 
@@ -25,3 +27,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     if has_at_most(df, max_rows):
         return F.broadcast(df), True
     return df, False
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared checkpoint folder, read it back.
+
+    Cuts the lineage like ``checkpoint()`` but computes the input once (a
+    reliable checkpoint of an unpersisted plan computes it twice) and gives
+    the optimiser the real file size.  Executors lost later re-read the
+    files instead of recomputing the input.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -27,7 +27,7 @@ from blotter.operators.joins import join_normalised
 from blotter.operators.ordering import bottom_k, top_k
 from blotter.operators.setops import union_positional
 from blotter.operators.windows import top_n_per_group
-from blotter.plans.guards import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from blotter.plans.guards import DEFAULT_BROADCAST_ROWS, broadcast_if_small, materialise
 
 # --------------------------------------------------------------------- Q1
 
@@ -175,14 +175,22 @@ def descent_breakdown(
     ``places`` maps (lat, lon) text to a zip code; one row per (lat, lon) is
     kept.  When the zip code is a function of (lat, lon)
     (``key_determines_zip``), places are restricted to the chosen zips before
-    de-duplication, which leaves the result unchanged and shrinks the shuffle.
+    de-duplication, which leaves the result unchanged and shrinks the shuffle
+    to the places of 2k zips.  The chosen places are written once to the
+    shared scratch folder; when they pass the size check they are broadcast
+    and the facts are never shuffled.
     """
     zips = income_zips(incomes, k, zip_col, community_col, income_col, community)
-    keyed = places.select(lat_col, lon_col, zip_col).withColumn("__latlon", join_key(lat_col, lon_col))
+    keyed = places.select(lat_col, lon_col, zip_col)
     if key_determines_zip:
-        keyed = keyed.join(F.broadcast(zips.select(zip_col)), zip_col, "left_semi")
-    unique = keyed.dropDuplicates(["__latlon"]).drop("__latlon")
-    chosen = unique.join(F.broadcast(zips), zip_col).select(lat_col, lon_col, "tag")
+        # one zip per (lat, lon): tag first, then a plain hash distinct
+        chosen = keyed.join(F.broadcast(zips), zip_col).select(lat_col, lon_col, "tag").distinct()
+    else:
+        unique = keyed.withColumn("__latlon", join_key(lat_col, lon_col)).dropDuplicates(["__latlon"])
+        chosen = unique.join(F.broadcast(zips), zip_col).select(lat_col, lon_col, "tag")
+    # Computed once and written to the shared scratch folder: the size check
+    # and the join then read the written files instead of recomputing places.
+    chosen = materialise(chosen, "q3-places")
     chosen, _ = broadcast_if_small(chosen, max_broadcast_rows)
 
     victims = where_not_null(facts.select(lat_col, lon_col, descent_col), descent_col)
