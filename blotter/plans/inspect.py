@@ -27,9 +27,14 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
 
 
 def physical_section(df: DataFrame) -> str:
-    """Only the physical operator tree of the plan (no per-node details)."""
-    text = plan_text(df, "simple")
-    return text.split("== Physical Plan ==", 1)[-1]
+    """The physical operator tree (no per-node details).
+
+    After an adaptive query has run, only its final plan is returned.
+    """
+    text = plan_text(df, "simple").split("== Physical Plan ==", 1)[-1]
+    if "== Final Plan ==" in text:
+        text = text.split("== Final Plan ==", 1)[1].split("== Initial Plan ==", 1)[0]
+    return text
 
 
 def join_strategies(df: DataFrame) -> list[str]:

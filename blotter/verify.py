@@ -76,7 +76,7 @@ def compare(spark: SparkSession, sf_dir: str, key: str, con: duckdb.DuckDBPyConn
     if key not in ORACLE_SQL:
         result["status"] = "rows-only"
         return result
-    want = con.execute(ORACLE_SQL[key]).to_arrow_table()
+    want = con.sql(ORACLE_SQL[key]).to_arrow_table()
     result["oracle_rows"] = want.num_rows
     names_ok = sorted(got.column_names) == sorted(want.column_names)
     types_ok = _types(got) == _types(want)
