@@ -18,6 +18,17 @@ def sort_by(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     return df.orderBy(*order)
 
 
+def sort_result(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """Order a final result whose size is bounded by its number of groups.
+
+    The rows are gathered into one partition and sorted there: a global
+    ``orderBy`` would first run a sampling job to cut range partitions,
+    which costs more than sorting a few hundred rows.  Only for results
+    such as per-group aggregates, never for row-level outputs.
+    """
+    return df.repartition(1).sortWithinPartitions(*order)
+
+
 def top_k(df: DataFrame, value: str, k: int, tie: str | None = None) -> DataFrame:
     """The k rows with the largest ``value``; ties broken by ``tie`` ascending."""
     order = [F.col(value).desc_nulls_last()]

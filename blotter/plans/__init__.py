@@ -1,7 +1,7 @@
 """Plan inspection and broadcast size guards."""
 
 from blotter.plans.guards import DEFAULT_BROADCAST_ROWS, broadcast_if_small, has_at_most, materialise
-from blotter.plans.inspect import has_node, join_strategies, physical_section, plan_text
+from blotter.plans.inspect import has_node, join_strategies, physical_section, plan_text, schema_listing
 
 __all__ = [
     "DEFAULT_BROADCAST_ROWS",
@@ -12,4 +12,5 @@ __all__ = [
     "join_strategies",
     "physical_section",
     "plan_text",
+    "schema_listing",
 ]

@@ -6,7 +6,7 @@ import contextlib
 import io
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 JOIN_NODES = (
     "BroadcastHashJoin",
@@ -44,3 +44,10 @@ def join_strategies(df: DataFrame) -> list[str]:
 
 def has_node(df: DataFrame, node: str) -> bool:
     return node in physical_section(df)
+
+
+def schema_listing(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """One row per column of ``df``: (column_name, data_type), in column order."""
+    rows = [(i, name, dtype) for i, (name, dtype) in enumerate(df.dtypes)]
+    listing = spark.createDataFrame(rows, "position int, column_name string, data_type string")
+    return listing.orderBy("position").drop("position")

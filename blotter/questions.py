@@ -24,7 +24,7 @@ from blotter.functions.time import REPORT_FORMAT, month_of, parse_timestamp, yea
 from blotter.operators.aggregates import avg_and_count, count_by, sum_ones_by
 from blotter.operators.filters import where_contains, where_not_equal, where_not_null
 from blotter.operators.joins import join_normalised
-from blotter.operators.ordering import bottom_k, top_k
+from blotter.operators.ordering import bottom_k, sort_result, top_k
 from blotter.operators.setops import union_positional
 from blotter.operators.windows import top_n_per_group
 from blotter.plans.guards import DEFAULT_BROADCAST_ROWS, broadcast_if_small, materialise
@@ -62,7 +62,7 @@ def peak_months(
     if method == "row_number":
         order.append(F.col("month").asc())  # positions need a deterministic tie break
     top = top_n_per_group(counts, ["year"], order, n, method, "rank")
-    return top.select("year", "month", "crime_total", "rank").orderBy("year", "rank", "month")
+    return sort_result(top.select("year", "month", "crime_total", "rank"), ["year", "rank", "month"])
 
 
 PEAK_MONTHS_SQL = """
@@ -118,7 +118,7 @@ def day_segment_counts(
     facts = incidents if premise is None else incidents.filter(F.col(premise_col) == premise)
     segments = facts.select(day_segment(hhmm).alias("day_seg"))
     counted = sum_ones_by(segments, ["day_seg"]) if pairs else count_by(segments, ["day_seg"])
-    return counted.orderBy(F.col("count").desc(), F.col("day_seg").asc())
+    return sort_result(counted, [F.col("count").desc(), F.col("day_seg").asc()])
 
 
 # --------------------------------------------------------------------- Q3
@@ -197,11 +197,8 @@ def descent_breakdown(
     joined = victims.join(chosen, [lat_col, lon_col])
     counts = count_by(joined, ["tag", descent_col], "total victims")
     decoded = counts.join(F.broadcast(codes.select(descent_col, code_text_col)), descent_col)
-    return decoded.select(
-        "tag",
-        F.col(code_text_col).alias("victim descent"),
-        "total victims",
-    ).orderBy("tag", F.col("total victims").desc(), F.col("victim descent").asc())
+    result = decoded.select("tag", F.col(code_text_col).alias("victim descent"), "total victims")
+    return sort_result(result, ["tag", F.col("total victims").desc(), F.col("victim descent").asc()])
 
 
 # --------------------------------------------------------------------- Q4
@@ -258,4 +255,4 @@ def station_distance(
     per_division = avg_and_count(
         measured, ["division"], "__distance", "average_distance", "incidents total", digits
     )
-    return per_division.orderBy(F.col("incidents total").desc(), F.col("division").asc())
+    return sort_result(per_division, [F.col("incidents total").desc(), F.col("division").asc()])

@@ -1,0 +1,10 @@
+"""Streaming.
+
+The questions this library answers are batch questions over files; no
+stream source, watermark or stateful operator is involved.  All operators
+are plain ``DataFrame -> DataFrame`` functions, so the stateless ones
+(filters, projections, column functions, joins against a static dimension)
+also apply to a DataFrame from ``spark.readStream`` unchanged; aggregates
+then need an output mode, and result ordering (``sort_result``) is a batch
+operation.  Nothing stream-specific is built here on purpose.
+"""

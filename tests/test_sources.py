@@ -79,3 +79,10 @@ def test_inline_table_is_a_local_relation(spark):
     assert "LocalTableScan" in physical_section(codes)
     with pytest.raises(ValueError):
         inline_table(spark, [("A",)], ["code", "text"])
+
+
+def test_schema_listing(spark):
+    from blotter.plans import schema_listing
+
+    df = spark.createDataFrame([(1, "a")], "`DR_NO` int, `AREA NAME` string")
+    assert [tuple(r) for r in schema_listing(spark, df).collect()] == [("DR_NO", "int"), ("AREA NAME", "string")]
