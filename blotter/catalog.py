@@ -103,7 +103,7 @@ def suppliers_as_incomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = read_table(spark, sf_dir, "region")
     geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name")
-    return s.join(F.broadcast(geo), s.s_nationkey == geo.n_nationkey).select(
+    return s.join(geo, s.s_nationkey == geo.n_nationkey).select(
         F.col("s_suppkey").alias("Zip Code"),
         F.col("r_name").alias("Community"),
         currency_text(F.floor("s_acctbal")).alias("Estimated Median Income"),

@@ -8,7 +8,7 @@ early; beyond the bound the caller takes a shuffle join instead.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from blotter.session import scratch_path
@@ -29,14 +29,17 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return df, False
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """Write ``df`` as Parquet below the shared checkpoint folder, read it back.
 
-    Cuts the lineage like ``checkpoint()`` but computes the input once (a
-    reliable checkpoint of an unpersisted plan computes it twice) and gives
-    the optimiser the real file size.  Executors lost later re-read the
-    files instead of recomputing the input.
+    Returns the re-read DataFrame and its row count.  The count is observed
+    while writing, so no second job runs for it.  Like ``checkpoint()`` this
+    cuts the lineage, but the input is computed once (a reliable checkpoint
+    of an unpersisted plan computes it twice) and the optimiser sees the real
+    file size.  Executors lost later re-read the files instead of recomputing.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    seen = Observation(f"{label}-rows")
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), int(seen.get["rows"])

@@ -27,7 +27,7 @@ from blotter.operators.joins import join_normalised
 from blotter.operators.ordering import bottom_k, sort_result, top_k
 from blotter.operators.setops import union_positional
 from blotter.operators.windows import top_n_per_group
-from blotter.plans.guards import DEFAULT_BROADCAST_ROWS, broadcast_if_small, materialise
+from blotter.plans.guards import DEFAULT_BROADCAST_ROWS, materialise
 
 # --------------------------------------------------------------------- Q1
 
@@ -188,15 +188,17 @@ def descent_breakdown(
     else:
         unique = keyed.withColumn("__latlon", join_key(lat_col, lon_col)).dropDuplicates(["__latlon"])
         chosen = unique.join(F.broadcast(zips), zip_col).select(lat_col, lon_col, "tag")
-    # Computed once and written to the shared scratch folder: the size check
-    # and the join then read the written files instead of recomputing places.
-    chosen = materialise(chosen, "q3-places")
-    chosen, _ = broadcast_if_small(chosen, max_broadcast_rows)
+    # Computed once and written to the shared scratch folder; the row count
+    # observed while writing decides whether the places are broadcast.
+    chosen, n_places = materialise(chosen, "q3-places")
+    if n_places <= max_broadcast_rows:
+        chosen = F.broadcast(chosen)
 
     victims = where_not_null(facts.select(lat_col, lon_col, descent_col), descent_col)
     joined = victims.join(chosen, [lat_col, lon_col])
     counts = count_by(joined, ["tag", descent_col], "total victims")
-    decoded = counts.join(F.broadcast(codes.select(descent_col, code_text_col)), descent_col)
+    # the code table is small; the planner broadcasts it on its size statistics
+    decoded = counts.join(codes.select(descent_col, code_text_col), descent_col)
     result = decoded.select("tag", F.col(code_text_col).alias("victim descent"), "total victims")
     return sort_result(result, ["tag", F.col("total victims").desc(), F.col("victim descent").asc()])
 
@@ -222,6 +224,7 @@ def station_distance(
     division_col: str = "DIVISION",
     drop_zero_coordinates: bool = False,
     digits: int | None = None,
+    station_strategy: str | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Per division: incident count and mean distance (km) to its station.
@@ -230,6 +233,10 @@ def station_distance(
     the code's int value) or, with ``code_pattern``, when the code text
     matches that regex anywhere.  Area keys are compared as ints, so
     ``'07'`` meets ``'7'``.  Result: division, average_distance, incidents total.
+
+    ``station_strategy=None`` lets the planner broadcast the station table
+    from its size statistics (a few kilobytes of Parquet); ``'broadcast'``
+    adds an explicit row-count check with a sort-merge fallback.
     """
     facts = incidents
     if area_name_col and exclude_area_name is not None:
@@ -249,7 +256,7 @@ def station_distance(
         F.col(station_lon_col).alias("__station_lon"),
     )
     joined = join_normalised(
-        facts, posts, area_col, station_area_col, "__area", "broadcast", max_broadcast_rows
+        facts, posts, area_col, station_area_col, "__area", station_strategy, max_broadcast_rows
     )
     measured = with_geodesic_km(joined, lat_col, lon_col, "__station_lat", "__station_lon", "__distance")
     per_division = avg_and_count(

@@ -15,9 +15,24 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.parquet(*([path] if isinstance(path, str) else list(path)))
 
 
+# Table definitions already resolved in a session, keyed by application and
+# path: resolving a Parquet table lists its files and reads a footer, which
+# costs more than planning a small query.  Like a catalog table, an entry is
+# reused until the session ends; call ``forget_tables()`` after files change.
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     """One table of a data folder laid out as ``<dir>/<name>.parquet``."""
-    return read_parquet(spark, os.path.join(data_dir, f"{name}.parquet"))
+    path = os.path.abspath(os.path.join(data_dir, f"{name}.parquet"))
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _TABLES:
+        _TABLES[key] = read_parquet(spark, path)
+    return _TABLES[key]
+
+
+def forget_tables() -> None:
+    _TABLES.clear()
 
 
 def csv_to_parquet(
