@@ -56,3 +56,38 @@ def test_normalised_key_join(spark):
     out = join_normalised(incidents, stations, "AREA", "PREC", "area")
     got = sorted((r.id, r.area, r.DIVISION) for r in out.collect())
     assert got == [("a", 1, "CENTRAL"), ("b", 7, "WILSHIRE"), ("b", 7, "WILSHIRE-2")]
+
+
+def test_hot_key_is_split_by_adaptive_skew_join(spark):
+    """One key holds a third of the facts; AQE splits its partition."""
+    from pyspark.sql import functions as F
+
+    from blotter.plans import physical_section
+
+    n = 30_000
+    facts = spark.range(n).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 997).cast("int").alias("k")
+    )
+    dims = spark.range(997).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("v"))
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = repartition_join(facts, dims, "k")
+        total = out.agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")).collect()[0]
+        assert total.n == n
+        out.collect()
+        assert "skew=true" in physical_section(out)
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

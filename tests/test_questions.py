@@ -169,3 +169,17 @@ def test_q4_matches_brute_force(spark):
     assert dropped == {"CENTRAL": 2, "WILSHIRE": 1}
     regex = {r.division: r["incidents total"] for r in station_distance(incidents, stations, code_range=None, code_pattern="1..").collect()}
     assert regex == {"CENTRAL": 2, "WILSHIRE": 3}
+
+
+def test_q1_sql_leaves_no_temp_view(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    out = peak_months_sql(spark, _incidents_by_month(spark))
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert len(out.collect()) == 5
+
+
+def test_q3_without_broadcast_gives_same_result(spark):
+    facts, places, incomes, codes = _q3_fixture(spark)
+    a = descent_breakdown(facts, places, incomes, codes, key_determines_zip=True)
+    b = descent_breakdown(facts, places, incomes, codes, key_determines_zip=True, max_broadcast_rows=0)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
