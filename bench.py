@@ -1,7 +1,9 @@
 """Benchmark the headline queries; prints one JSON line.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
-(default 8), ``BENCH_DRIVER_MEMORY`` (default 8g).  Each query is built and
+(default 8), ``BENCH_DRIVER_MEMORY`` (default 8g), ``BENCH_EVENT_LOG`` (a
+fresh folder: write Spark's event log there and add per-query input and
+shuffle bytes of the timed runs to the output).  Each query is built and
 run to completion through the ``noop`` sink (no rows collected), once to
 warm the JVM and once timed; ``value`` is the sum of the timed runs.
 """
@@ -24,6 +26,7 @@ HEADLINE = [
     "q2_pairs",
     "q3_top",
     "q3_bottom",
+    "q3_both",
     "q4_mean_distance",
     "join_broadcast",
     "join_shuffle_hash",
@@ -39,6 +42,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     memory = os.environ.get("BENCH_DRIVER_MEMORY", "8g")
+    event_log = os.environ.get("BENCH_EVENT_LOG")
+    conf = {"spark.driver.memory": memory}
+    if event_log:
+        os.makedirs(event_log, exist_ok=True)
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
     t0 = time.time()
     from blotter.session import build_session
 
@@ -46,36 +54,39 @@ def main() -> None:
         f"local[{cpus}]",
         "blotter-bench",
         shuffle_partitions=max(cpus * 2, 8),
-        conf={"spark.driver.memory": memory},
+        conf=conf,
     )
     spark.sparkContext.setLogLevel("ERROR")
     from blotter.catalog import QUERIES
 
     session_sec = time.time() - t0
 
-    def run(key: str) -> float:
+    def run(key: str, label: str) -> float:
+        spark.sparkContext.setJobDescription(label)
         start = time.time()
         QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.time() - start
 
-    cold = {k: round(run(k), 3) for k in HEADLINE}
-    warm = {k: round(run(k), 3) for k in HEADLINE}
+    cold = {k: round(run(k, f"cold:{k}"), 3) for k in HEADLINE}
+    warm = {k: round(run(k, k), 3) for k in HEADLINE}
     match = re.search(r"sf([0-9.]+)$", sf_dir)
-    print(
-        json.dumps(
-            {
-                "metric": "headline_queries_total",
-                "value": round(sum(warm.values()), 3),
-                "unit": "sec",
-                "queries": warm,
-                "cold": cold,
-                "session_start_sec": round(session_sec, 3),
-                "sf": float(match.group(1)) if match else sf_dir,
-                "cpus": cpus,
-            }
-        )
-    )
+    result = {
+        "metric": "headline_queries_total",
+        "value": round(sum(warm.values()), 3),
+        "unit": "sec",
+        "queries": warm,
+        "cold": cold,
+        "session_start_sec": round(session_sec, 3),
+        "sf": float(match.group(1)) if match else sf_dir,
+        "cpus": cpus,
+    }
     spark.stop()
+    if event_log:
+        from blotter.plans.eventlog import summarise
+
+        volumes = summarise(event_log)
+        result["io"] = {k: volumes.get(k, {}) for k in HEADLINE}
+    print(json.dumps(result))
 
 
 if __name__ == "__main__":

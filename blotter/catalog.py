@@ -551,6 +551,7 @@ QUERIES: dict[str, Query] = {
     "q2_pairs": q2_pairs,
     "q3_top": q3_top,
     "q3_bottom": q3_bottom,
+    "q3_both": q3_both,
     "q4_mean_distance": q4_mean_distance,
     # scans, sources, sinks
     "scan_parquet": scan_parquet,
