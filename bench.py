@@ -27,6 +27,9 @@ HEADLINE = [
     "q3_top",
     "q3_bottom",
     "q3_both",
+    "q3_top_broadcast",
+    "q3_top_shuffle_hash",
+    "q3_top_merge",
     "q4_mean_distance",
     "join_broadcast",
     "join_shuffle_hash",

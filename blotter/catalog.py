@@ -164,7 +164,7 @@ def q2_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def q3_both(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q3_both(spark: SparkSession, sf_dir: str, strategy: str | None = None) -> DataFrame:
     return descent_breakdown(
         lineitem_victims(spark, sf_dir),
         lineitem_places(spark, sf_dir),
@@ -172,9 +172,18 @@ def q3_both(spark: SparkSession, sf_dir: str) -> DataFrame:
         return_flag_codes(spark),
         community="A",
         key_determines_zip=True,
+        strategy=strategy,
     )
 
 
+def _q3_top_with(strategy: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return q3_both(spark, sf_dir, strategy).filter(F.col("tag") == "highest").drop("tag")
+
+    run.__name__ = f"q3_top_{strategy}"
+    return run
+
+
 def q3_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q3_both(spark, sf_dir).filter(F.col("tag") == "highest").drop("tag")
 
@@ -552,6 +561,9 @@ QUERIES: dict[str, Query] = {
     "q3_top": q3_top,
     "q3_bottom": q3_bottom,
     "q3_both": q3_both,
+    "q3_top_broadcast": _q3_top_with("broadcast"),
+    "q3_top_shuffle_hash": _q3_top_with("shuffle_hash"),
+    "q3_top_merge": _q3_top_with("merge"),
     "q4_mean_distance": q4_mean_distance,
     # scans, sources, sinks
     "scan_parquet": scan_parquet,

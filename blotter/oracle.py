@@ -239,6 +239,9 @@ ORACLE_SQL: dict[str, str] = {
     "q2_pairs": _Q2,
     "q3_top": _q3_sql(True),
     "q3_bottom": _q3_sql(False),
+    "q3_top_broadcast": _q3_sql(True),
+    "q3_top_shuffle_hash": _q3_sql(True),
+    "q3_top_merge": _q3_sql(True),
     "q3_both": (
         f"SELECT 'highest' AS tag, * FROM ({_q3_sql(True)}) "
         f"UNION ALL SELECT 'lowest' AS tag, * FROM ({_q3_sql(False)})"

@@ -168,6 +168,7 @@ def descent_breakdown(
     community: str | None = "Los Angeles",
     code_text_col: str = "Vict Descent text",
     key_determines_zip: bool = False,
+    strategy: str | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Victims by descent in the k richest and k poorest zip codes.
@@ -183,7 +184,14 @@ def descent_breakdown(
     to the places of 2k zips.  The chosen places are written once to the
     shared scratch folder; when they pass the size check they are broadcast
     and the facts are never shuffled.
+
+    ``strategy`` forces one join strategy on the facts ⋈ places and
+    counts ⋈ codes joins (``'broadcast'`` still only within the size bound,
+    else sort-merge; ``'shuffle_hash'``; ``'merge'``).  The join of places
+    with the 2k chosen zips is always a broadcast of those zips.
     """
+    if strategy not in (None, "broadcast", "shuffle_hash", "merge"):
+        raise ValueError(f"unknown join strategy {strategy!r}")
     zips = income_zips(incomes, k, zip_col, community_col, income_col, community)
     keyed = places.select(lat_col, lon_col, zip_col)
     if key_determines_zip:
@@ -195,14 +203,21 @@ def descent_breakdown(
     # Computed once and written to the shared scratch folder; the row count
     # observed while writing decides whether the places are broadcast.
     chosen, n_places = materialise(chosen, "q3-places")
-    if n_places <= max_broadcast_rows:
+    if strategy in (None, "broadcast") and n_places <= max_broadcast_rows:
         chosen = F.broadcast(chosen)
+    elif strategy in ("shuffle_hash", "merge"):
+        chosen = chosen.hint(strategy)
+    elif strategy == "broadcast":
+        chosen = chosen.hint("merge")  # beyond the bound: sort-merge fallback
 
     victims = where_not_null(facts.select(lat_col, lon_col, descent_col), descent_col)
     joined = victims.join(chosen, [lat_col, lon_col])
     counts = count_by(joined, ["tag", descent_col], "total victims")
     # the code table is small; the planner broadcasts it on its size statistics
-    decoded = counts.join(codes.select(descent_col, code_text_col), descent_col)
+    code_texts = codes.select(descent_col, code_text_col)
+    if strategy in ("shuffle_hash", "merge"):
+        code_texts = code_texts.hint(strategy)
+    decoded = counts.join(code_texts, descent_col)
     result = decoded.select("tag", F.col(code_text_col).alias("victim descent"), "total victims")
     return sort_result(result, ["tag", F.col("total victims").desc(), F.col("victim descent").asc()])
 

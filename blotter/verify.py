@@ -19,13 +19,16 @@ from blotter.catalog import QUERIES, TABLES
 from blotter.oracle import ORACLE_SQL
 
 
+EXACT = False  # compare doubles bit for bit instead of to 9 decimals
+
+
 def _canon(v: object) -> object:
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return repr(round(v, 9))
+        return repr(v) if EXACT else repr(round(v, 9))
     if isinstance(v, (dt.datetime, dt.date)):
         return v.isoformat()
     if isinstance(v, bool):
@@ -94,6 +97,9 @@ def compare(spark: SparkSession, sf_dir: str, key: str, con: duckdb.DuckDBPyConn
 
 
 def main(argv: list[str]) -> int:
+    global EXACT
+    if argv and argv[0] == "--exact":
+        EXACT, argv = True, argv[1:]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     keys = argv[1:] or list(QUERIES)
     from blotter.session import build_session

@@ -183,3 +183,16 @@ def test_q3_without_broadcast_gives_same_result(spark):
     a = descent_breakdown(facts, places, incomes, codes, key_determines_zip=True)
     b = descent_breakdown(facts, places, incomes, codes, key_determines_zip=True, max_broadcast_rows=0)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_q3_join_strategies_agree_and_are_planned(spark):
+    from blotter.plans import join_strategies
+
+    facts, places, incomes, codes = _q3_fixture(spark)
+    base = sorted(map(tuple, descent_breakdown(facts, places, incomes, codes).collect()))
+    expected_node = {"broadcast": "BroadcastHashJoin", "shuffle_hash": "ShuffledHashJoin", "merge": "SortMergeJoin"}
+    for strategy, node in expected_node.items():
+        out = descent_breakdown(facts, places, incomes, codes, strategy=strategy)
+        assert sorted(map(tuple, out.collect())) == base
+        plan = join_strategies(out)
+        assert plan[:2] == [node, node], (strategy, plan)
