@@ -34,12 +34,12 @@ def test_questions_over_csv_and_parquet_agree(spark, incident_files):  # noqa: F
 def test_q4_over_csv(spark, incident_files):  # noqa: F811
     a, b = _incidents(spark, incident_files)
     stations = spark.createDataFrame(
-        [("-118.3473", "34.0467", "1", "WILSHIRE", "x", "7"), ("-118.2468", "34.0447", "2", "CENTRAL", "y", "1")],
+        [("-118.3210", "34.0610", "1", "MIDTOWN", "x", "7"), ("-118.2150", "34.0290", "2", "HARBORVIEW", "y", "1")],
         "X string, Y string, FID string, DIVISION string, LOCATION string, PREC string",
     )
     out = {r.division: r["incidents total"] for r in station_distance(a.union(b), stations).collect()}
     # codes 102 (area 01) and 199 (area 7) are in [100, 200); '' and 2100 are not
-    assert out == {"CENTRAL": 1, "WILSHIRE": 1}
+    assert out == {"HARBORVIEW": 1, "MIDTOWN": 1}
     regex = {r.division: r["incidents total"]
              for r in station_distance(a.union(b), stations, code_range=None, code_pattern="1..").collect()}
-    assert regex == {"CENTRAL": 1, "WILSHIRE": 1}
+    assert regex == {"HARBORVIEW": 1, "MIDTOWN": 1}

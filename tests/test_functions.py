@@ -116,7 +116,7 @@ def test_geodesic_published_line_and_edges(spark):
         (flinders[0], flinders[1], buninyong[0], buninyong[1]),
         (34.05, -118.25, 34.05, -118.25),            # equal points
         (0.0, 0.0, 0.0, 1.0),                         # one degree along the equator
-        (0.0, 0.0, 34.0375, -118.3506),               # (0, 0) against a city point
+        (0.0, 0.0, 34.0375, -118.3620),               # (0, 0) against a city point
         (33.9, -118.4, 34.2, -118.1),
         (None, -118.4, 34.2, -118.1),
     ]

@@ -143,32 +143,32 @@ def test_q3_matches_brute_force(spark):
 def test_q4_matches_brute_force(spark):
     incidents = spark.createDataFrame(
         [
-            ("01", "Central", "102", "34.05", "-118.25"),
-            ("01", "Central", "199", "34.06", "-118.24"),
-            ("07", "Wilshire", "100", "34.0375", "-118.3506"),
-            ("07", "Wilshire", "2100", "34.0375", "-118.3506"),  # regex-only code
-            ("07", "Wilshire", None, "34.0375", "-118.3506"),
+            ("01", "Harborview", "102", "34.05", "-118.25"),
+            ("01", "Harborview", "199", "34.06", "-118.24"),
+            ("07", "Midtown", "100", "34.0375", "-118.3620"),
+            ("07", "Midtown", "2100", "34.0375", "-118.3620"),  # regex-only code
+            ("07", "Midtown", None, "34.0375", "-118.3620"),
             ("07", "Null Island", "150", "0", "0"),
             ("14", "Pacific", "150", "33.99", "-118.42"),        # no station
-            ("07", "Wilshire", "150", "0", "0"),                  # (0, 0) kept by default
+            ("07", "Midtown", "150", "0", "0"),                  # (0, 0) kept by default
         ],
         "AREA string, `AREA NAME` string, `Weapon Used Cd` string, LAT string, LON string",
     )
     stations = spark.createDataFrame(
-        [("-118.2468", "34.0447", "1", "CENTRAL", "251 E. 6TH ST.", "1"),
-         ("-118.3473", "34.0467", "2", "WILSHIRE", "4861 VENICE BLVD.", "7")],
+        [("-118.2150", "34.0290", "1", "HARBORVIEW", "40 OAK AVE.", "1"),
+         ("-118.3210", "34.0610", "2", "MIDTOWN", "12 ELM ST.", "7")],
         "X string, Y string, FID string, DIVISION string, LOCATION string, PREC string",
     )
     got = {r.division: (r.average_distance, r["incidents total"]) for r in station_distance(incidents, stations).collect()}
-    central = [_vincenty_reference(34.05, -118.25, 34.0447, -118.2468), _vincenty_reference(34.06, -118.24, 34.0447, -118.2468)]
-    wilshire = [_vincenty_reference(34.0375, -118.3506, 34.0467, -118.3473), _vincenty_reference(0, 0, 34.0467, -118.3473)]
-    assert got["CENTRAL"][1] == 2 and abs(got["CENTRAL"][0] - sum(central) / 2) < 1e-9
-    assert got["WILSHIRE"][1] == 2 and abs(got["WILSHIRE"][0] - sum(wilshire) / 2) < 1e-9
-    assert set(got) == {"CENTRAL", "WILSHIRE"}
+    harborview = [_vincenty_reference(34.05, -118.25, 34.0290, -118.2150), _vincenty_reference(34.06, -118.24, 34.0290, -118.2150)]
+    midtown = [_vincenty_reference(34.0375, -118.3620, 34.0610, -118.3210), _vincenty_reference(0, 0, 34.0610, -118.3210)]
+    assert got["HARBORVIEW"][1] == 2 and abs(got["HARBORVIEW"][0] - sum(harborview) / 2) < 1e-9
+    assert got["MIDTOWN"][1] == 2 and abs(got["MIDTOWN"][0] - sum(midtown) / 2) < 1e-9
+    assert set(got) == {"HARBORVIEW", "MIDTOWN"}
     dropped = {r.division: r["incidents total"] for r in station_distance(incidents, stations, drop_zero_coordinates=True).collect()}
-    assert dropped == {"CENTRAL": 2, "WILSHIRE": 1}
+    assert dropped == {"HARBORVIEW": 2, "MIDTOWN": 1}
     regex = {r.division: r["incidents total"] for r in station_distance(incidents, stations, code_range=None, code_pattern="1..").collect()}
-    assert regex == {"CENTRAL": 2, "WILSHIRE": 3}
+    assert regex == {"HARBORVIEW": 2, "MIDTOWN": 3}
 
 
 def test_q1_sql_leaves_no_temp_view(spark):

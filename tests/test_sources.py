@@ -11,13 +11,13 @@ from blotter.sources import csv_to_parquet, inline_table, read_csv, trim_headers
 # doubled quotes, two adjacent quoted fields, empty fields and a bad date.
 INCIDENTS_A = (
     'DR_NO,DATE OCC,TIME OCC,AREA ,AREA NAME,Premis Desc,Weapon Used Cd,LOCATION,Cross Street,LAT,LON\n'
-    '1,03/01/2020 12:00:00 AM,2130,07,Wilshire,STREET,,"100  MAIN, ST","A ""B"" C",34.0375,-118.3506\n'
-    '2,03/02/2020 12:00:00 PM,0459,01,Central,"STREET","102","X","Y",34.05,-118.25\n'
+    '1,03/01/2020 12:00:00 AM,2130,07,Midtown,STREET,,"100  MAIN, ST","A ""B"" C",34.0375,-118.3620\n'
+    '2,03/02/2020 12:00:00 PM,0459,01,Harborview,"STREET","102","X","Y",34.05,-118.25\n'
     '3,not a date,,15,North Park,PARKING LOT,2100,,,0,0\n'
 )
 INCIDENTS_B = (
     'DR_NO,DATE OCC,TIME OCC,AREA,AREA NAME,Premis Desc,Weapon Used Cd,LOCATION,Cross Street,LAT,LON\n'
-    '4,01/15/2021 01:30:00 PM,1200,7,Wilshire,STREET,199,1 ELM,,34.1,-118.3\n'
+    '4,01/15/2021 01:30:00 PM,1200,7,Midtown,STREET,199,1 ELM,,34.1,-118.3\n'
 )
 
 
