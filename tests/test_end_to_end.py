@@ -43,3 +43,28 @@ def test_q4_over_csv(spark, incident_files):  # noqa: F811
     regex = {r.division: r["incidents total"]
              for r in station_distance(a.union(b), stations, code_range=None, code_pattern="1..").collect()}
     assert regex == {"HARBORVIEW": 1, "MIDTOWN": 1}
+
+
+def test_cli_runs_each_question(spark, incident_files, tmp_path):  # noqa: F811
+    from blotter import cli
+
+    stations = tmp_path / "stations.csv"
+    stations.write_text("X,Y,FID,DIVISION,LOCATION,PREC\n-118.3210,34.0610,1,MIDTOWN,12 ELM ST.,7\n")
+    places = tmp_path / "places.csv"
+    places.write_text("LAT,LON,ZIPcode\n34.0375,-118.3620,90001\n34.05,-118.25,90002\n")
+    incomes = tmp_path / "incomes.csv"
+    incomes.write_text('Zip Code,Community,Estimated Median Income\n90001,Los Angeles,"$1,000"\n90002,Los Angeles,"$2,000"\n')
+    parser = cli._parser()
+    runs = {
+        "q1": ["q1", "--incidents", *incident_files],
+        "q1sql": ["q1", "--incidents", *incident_files, "--sql", "--rank"],
+        "q2": ["q2", "--incidents", *incident_files],
+        "q3": ["q3", "--incidents", incident_files[0], "--places", str(places), "--incomes", str(incomes)],
+        "q4": ["q4", "--incidents", *incident_files, "--stations", str(stations)],
+    }
+    out = {k: cli.run(parser.parse_args(v), spark).collect() for k, v in runs.items()}
+    assert len(out["q1"]) == 3 and len(out["q1sql"]) == 3
+    assert {r.day_seg for r in out["q2"]} == {"night", "afternoon"}
+    assert sorted((r.tag, r["victim descent"], r["total victims"]) for r in out["q3"]) == [
+        ("highest", "Other", 1), ("highest", "Unknown", 1), ("lowest", "Other", 1), ("lowest", "Unknown", 1)]
+    assert [(r.division, r["incidents total"]) for r in out["q4"]] == [("MIDTOWN", 1)]

@@ -10,14 +10,14 @@ from blotter.sources import csv_to_parquet, inline_table, read_csv, trim_headers
 # Made-up incident rows: a header with a trailing blank, quoted commas,
 # doubled quotes, two adjacent quoted fields, empty fields and a bad date.
 INCIDENTS_A = (
-    'DR_NO,DATE OCC,TIME OCC,AREA ,AREA NAME,Premis Desc,Weapon Used Cd,LOCATION,Cross Street,LAT,LON\n'
-    '1,03/01/2020 12:00:00 AM,2130,07,Midtown,STREET,,"100  MAIN, ST","A ""B"" C",34.0375,-118.3620\n'
-    '2,03/02/2020 12:00:00 PM,0459,01,Harborview,"STREET","102","X","Y",34.05,-118.25\n'
-    '3,not a date,,15,North Park,PARKING LOT,2100,,,0,0\n'
+    'DR_NO,DATE OCC,TIME OCC,AREA ,AREA NAME,Vict Descent,Premis Desc,Weapon Used Cd,LOCATION,Cross Street,LAT,LON\n'
+    '1,03/01/2020 12:00:00 AM,2130,07,Midtown,O,STREET,,"100  MAIN, ST","A ""B"" C",34.0375,-118.3620\n'
+    '2,03/02/2020 12:00:00 PM,0459,01,Harborview,X,"STREET","102","X","Y",34.05,-118.25\n'
+    '3,not a date,,15,North Park,,PARKING LOT,2100,,,0,0\n'
 )
 INCIDENTS_B = (
-    'DR_NO,DATE OCC,TIME OCC,AREA,AREA NAME,Premis Desc,Weapon Used Cd,LOCATION,Cross Street,LAT,LON\n'
-    '4,01/15/2021 01:30:00 PM,1200,7,Midtown,STREET,199,1 ELM,,34.1,-118.3\n'
+    'DR_NO,DATE OCC,TIME OCC,AREA,AREA NAME,Vict Descent,Premis Desc,Weapon Used Cd,LOCATION,Cross Street,LAT,LON\n'
+    '4,01/15/2021 01:30:00 PM,1200,7,Midtown,H,STREET,199,1 ELM,,34.1,-118.3\n'
 )
 
 
@@ -47,7 +47,7 @@ def test_csv_quotes_empties_and_header_repair(spark, incident_files):
 
 
 def test_csv_with_given_columns_runs_no_header_job(spark, incident_files):
-    cols = ["DR_NO", "DATE OCC", "TIME OCC", "AREA", "AREA NAME", "Premis Desc", "Weapon Used Cd",
+    cols = ["DR_NO", "DATE OCC", "TIME OCC", "AREA", "AREA NAME", "Vict Descent", "Premis Desc", "Weapon Used Cd",
             "LOCATION", "Cross Street", "LAT", "LON"]
     df = read_csv(spark, incident_files, cols)
     assert df.columns == cols and df.count() == 4
@@ -86,3 +86,10 @@ def test_schema_listing(spark):
 
     df = spark.createDataFrame([(1, "a")], "`DR_NO` int, `AREA NAME` string")
     assert [tuple(r) for r in schema_listing(spark, df).collect()] == [("DR_NO", "int"), ("AREA NAME", "string")]
+
+
+def test_descent_codes_table(spark):
+    from blotter.sources import descent_codes
+
+    codes = {r["Vict Descent"]: r["Vict Descent text"] for r in descent_codes(spark).collect()}
+    assert len(codes) == 19 and codes["W"] == "White" and codes["X"] == "Unknown"
