@@ -27,3 +27,32 @@ def test_entry_smoke(spark):
 def test_query_matches_oracle(spark, duck, key):
     result = compare(spark, SF01, key, duck)
     assert result["status"] == "ok", result
+
+
+PARTITION_SENSITIVE = [
+    "q1_df", "q1_rank_ties", "q2_day_segments", "q3_both", "q4_mean_distance",
+    "join_inner", "join_composite", "dedupe_first", "sort_mixed", "topk_bottomk", "inline_dimension",
+]
+
+
+@pytest.mark.parametrize("key", PARTITION_SENSITIVE)
+def test_results_do_not_depend_on_physical_layout(spark, duck, key):
+    """Many shuffle partitions, no coalescing, no automatic broadcast: same rows."""
+    conf = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        result = compare(spark, SF01, key, duck)
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert result["status"] == "ok", result
