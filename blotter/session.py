@@ -46,7 +46,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from the session; only when none is configured (local runs, tests)
     a private folder is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -57,6 +63,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def session_key(spark: SparkSession) -> str:
+    """An identifier of the running application (stable for the session's life)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from blotter.session import session_key
 from blotter.sources.csv import read_csv
 
 
@@ -25,7 +26,7 @@ _TABLES: dict[tuple[str, str], DataFrame] = {}
 def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     """One table of a data folder laid out as ``<dir>/<name>.parquet``."""
     path = os.path.abspath(os.path.join(data_dir, f"{name}.parquet"))
-    key = (spark.sparkContext.applicationId, path)
+    key = (session_key(spark), path)
     if key not in _TABLES:
         _TABLES[key] = read_parquet(spark, path)
     return _TABLES[key]
