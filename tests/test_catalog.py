@@ -2,7 +2,6 @@ import pytest
 
 import __spark_entry__ as entry_module
 from blotter.catalog import QUERIES
-from blotter.oracle import ORACLE_SQL
 from blotter.verify import compare, duck_connection
 from tests.conftest import SF01
 

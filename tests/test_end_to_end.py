@@ -1,8 +1,6 @@
 """The incident files' path end to end: CSV → header repair → union → questions,
 and the same questions over the Parquet conversion."""
 
-from pyspark.sql import functions as F
-
 from blotter.functions import to_int
 from blotter.questions import day_segment_counts, peak_months, peak_months_sql, station_distance
 from blotter.session import scratch_path

@@ -1,9 +1,6 @@
 import datetime as dt
 import math
 
-import pytest
-from pyspark.sql import functions as F
-
 from blotter.functions import (
     currency_to_int,
     day_segment,
