@@ -40,6 +40,26 @@ def build_session(
     return builder.getOrCreate()
 
 
+def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for a job that reads about ``input_bytes``.
+
+    Scan splits and post-shuffle partitions both aim at ``partition_bytes``
+    (256 MiB by default), so a task's working set fits executor memory and
+    spills rarely; AQE then coalesces small shuffle partitions and splits
+    skewed ones.  At 100 TB this gives about 400 000 scan tasks and a
+    shuffle partition count of the same order.
+    """
+    partitions = max(200, -(-int(input_bytes) // partition_bytes))
+    return {
+        **BASE_CONF,
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 

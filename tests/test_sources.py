@@ -93,3 +93,13 @@ def test_descent_codes_table(spark):
 
     codes = {r["Vict Descent"]: r["Vict Descent text"] for r in descent_codes(spark).collect()}
     assert len(codes) == 19 and codes["W"] == "White" and codes["X"] == "Unknown"
+
+
+def test_cluster_conf_scales_partitions():
+    from blotter.session import cluster_conf
+
+    small = cluster_conf(10 << 30)
+    big = cluster_conf(100 << 40)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert big["spark.sql.adaptive.enabled"] == "true"
