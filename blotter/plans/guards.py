@@ -2,8 +2,8 @@
 
 A side is broadcast only when its size is bounded: either by construction
 (a literal table, the output of ``limit(k)``) or by a check run here.  The
-check counts at most ``max_rows + 1`` rows, so on a plain scan it stops
-early; beyond the bound the caller takes a shuffle join instead.
+check counts at most ``max_rows + 1`` rows (each task of a plain scan stops
+after that many), and beyond the bound the caller takes a shuffle join.
 """
 
 from __future__ import annotations
