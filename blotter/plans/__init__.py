@@ -1,9 +1,17 @@
 """Plan inspection and broadcast size guards."""
 
-from blotter.plans.guards import DEFAULT_BROADCAST_ROWS, broadcast_if_small, has_at_most, materialise
+from blotter.plans.guards import (
+    DEFAULT_BROADCAST_BYTES,
+    DEFAULT_BROADCAST_ROWS,
+    broadcast_if_small,
+    has_at_most,
+    materialise,
+    row_bytes,
+)
 from blotter.plans.inspect import has_node, join_strategies, physical_section, plan_text, schema_listing
 
 __all__ = [
+    "DEFAULT_BROADCAST_BYTES",
     "DEFAULT_BROADCAST_ROWS",
     "broadcast_if_small",
     "has_at_most",
@@ -12,5 +20,6 @@ __all__ = [
     "join_strategies",
     "physical_section",
     "plan_text",
+    "row_bytes",
     "schema_listing",
 ]

@@ -2,44 +2,99 @@
 
 A side is broadcast only when its size is bounded: either by construction
 (a literal table, the output of ``limit(k)``) or by a check run here.  The
-check counts at most ``max_rows + 1`` rows (each task of a plain scan stops
-after that many), and beyond the bound the caller takes a shuffle join.
+check reads at most ``max_rows + 1`` rows (each task of a plain scan stops
+after that many) and bounds both their number and their bytes (strings by
+their UTF-8 length, other types by their fixed width); beyond either bound
+the caller takes a shuffle join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    ByteType,
+    DateType,
+    FloatType,
+    IntegerType,
+    MapType,
+    ShortType,
+    StringType,
+    StructType,
+)
 
 from blotter.session import scratch_path
 
-# Rows a dimension may have to be shipped whole to every executor.
+# Rows and bytes a dimension may have to be shipped whole to every executor.
 DEFAULT_BROADCAST_ROWS = 200_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` holds no more than ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _fixed_width(dtype) -> int:
+    if isinstance(dtype, (BooleanType, ByteType)):
+        return 1
+    if isinstance(dtype, ShortType):
+        return 2
+    if isinstance(dtype, (IntegerType, FloatType, DateType)):
+        return 4
+    return 8 if dtype.typeName() in ("long", "double", "timestamp", "timestamp_ntz") else 16
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def row_bytes(df: DataFrame) -> Column:
+    """Estimated bytes of one row: UTF-8 length of text (JSON length of nested
+    values), the fixed width of other types."""
+    total: Column = F.lit(0).cast("long")
+    for field in df.schema.fields:
+        ref = F.col("`" + field.name.replace("`", "``") + "`")
+        dtype = field.dataType
+        if isinstance(dtype, (StringType, BinaryType)):
+            total = total + F.coalesce(F.octet_length(ref), F.lit(0))
+        elif isinstance(dtype, (ArrayType, MapType, StructType)):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(ref))), F.lit(0))
+        else:
+            total = total + F.lit(_fixed_width(dtype))
+    return total
+
+
+def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` holds no more than ``max_rows`` rows and ``max_bytes`` bytes."""
+    probe = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")
+    )
+    rows, size = probe.first()
+    return rows <= max_rows and size <= max_bytes
+
+
+def broadcast_if_small(
+    df: DataFrame,
+    max_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_bytes: int = DEFAULT_BROADCAST_BYTES,
+) -> tuple[DataFrame, bool]:
     """``(F.broadcast(df), True)`` when the size check passes, else ``(df, False)``."""
-    if has_at_most(df, max_rows):
+    if has_at_most(df, max_rows, max_bytes):
         return F.broadcast(df), True
     return df, False
 
 
-def materialise(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+def materialise(df: DataFrame, label: str) -> tuple[DataFrame, int, int]:
     """Write ``df`` as Parquet below the shared checkpoint folder, read it back.
 
-    Returns the re-read DataFrame and its row count.  The count is observed
-    while writing, so no second job runs for it.  Like ``checkpoint()`` this
+    Returns the re-read DataFrame, its row count and its estimated bytes
+    (:func:`row_bytes`).  Both are observed while writing, so no second job
+    runs for them.  Like ``checkpoint()`` this
     cuts the lineage, but the input is computed once (a reliable checkpoint
     of an unpersisted plan computes it twice) and the optimiser sees the real
     file size.  Executors lost later re-read the files instead of recomputing.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    seen = Observation(f"{label}-rows")
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), int(seen.get["rows"])
+    seen = Observation(f"{label}-size")
+    observed = df.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")
+    )
+    observed.write.parquet(path)
+    metrics = seen.get
+    return spark.read.schema(df.schema).parquet(path), int(metrics["rows"]), int(metrics["bytes"])

@@ -27,7 +27,7 @@ from blotter.operators.joins import join_normalised
 from blotter.operators.ordering import bottom_k, sort_result, top_k
 from blotter.operators.setops import union_positional
 from blotter.operators.windows import top_n_per_group
-from blotter.plans.guards import DEFAULT_BROADCAST_ROWS, materialise
+from blotter.plans.guards import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, materialise
 
 # --------------------------------------------------------------------- Q1
 
@@ -205,10 +205,11 @@ def descent_breakdown(
     else:
         unique = keyed.withColumn("__latlon", join_key(lat_col, lon_col)).dropDuplicates(["__latlon"])
         chosen = unique.join(F.broadcast(zips), zip_col).select(lat_col, lon_col, "tag")
-    # Computed once and written to the shared scratch folder; the row count
+    # Computed once and written to the shared scratch folder; the size
     # observed while writing decides whether the places are broadcast.
-    chosen, n_places = materialise(chosen, "q3-places")
-    if strategy in (None, "broadcast") and n_places <= max_broadcast_rows:
+    chosen, n_places, places_bytes = materialise(chosen, "q3-places")
+    small = n_places <= max_broadcast_rows and places_bytes <= DEFAULT_BROADCAST_BYTES
+    if strategy in (None, "broadcast") and small:
         chosen = F.broadcast(chosen)
     elif strategy in ("shuffle_hash", "merge"):
         chosen = chosen.hint(strategy)

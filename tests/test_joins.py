@@ -91,3 +91,16 @@ def test_hot_key_is_split_by_adaptive_skew_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_size_check_bounds_rows_and_bytes(spark):
+    from blotter.plans import has_at_most, row_bytes
+
+    wide = spark.createDataFrame([(i, "x" * 1000) for i in range(50)], "k int, payload string")
+    assert has_at_most(wide, 100)
+    assert not has_at_most(wide, 10)
+    assert not has_at_most(wide, 100, max_bytes=10_000)
+    per_row = wide.select(row_bytes(wide).alias("b")).first().b
+    assert per_row == 4 + 1000
+    out = join_with_strategy(wide, wide.select("k"), "k", "broadcast", max_broadcast_rows=100)
+    assert join_strategies(out) == ["BroadcastHashJoin"]
