@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -39,5 +42,7 @@ def _segments(times: pd.Series) -> pd.Series:
 
 
 # Arrow-batched form of the same rule, for callers that need a Python
-# function (kept equal to ``day_segment`` by tests).
+# function (kept equal to ``day_segment`` by tests).  The module is pickled
+# by value, so executors' Python workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 day_segment_pandas = F.pandas_udf(_segments, StringType())

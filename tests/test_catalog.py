@@ -55,3 +55,25 @@ def test_results_do_not_depend_on_physical_layout(spark, duck, key):
             else:
                 spark.conf.set(k, v)
     assert result["status"] == "ok", result
+
+
+def test_python_udf_query_runs_from_another_folder(tmp_path):
+    """Executors' Python workers do not see the driver's sys.path; the pandas
+    UDF must not need the package installed there."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = (
+        "import importlib.util, sys\n"
+        f"spec = importlib.util.spec_from_file_location('entry', {os.path.join(repo, '__spark_entry__.py')!r})\n"
+        "entry = importlib.util.module_from_spec(spec); spec.loader.exec_module(entry)\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "n = entry.queries()['day_segment_udf'](spark, '/root/testdata/sf0.001').count()\n"
+        "print('ROWS', n)\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS 1000" in out.stdout, out.stderr[-2000:]
