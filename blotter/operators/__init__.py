@@ -24,7 +24,7 @@ from blotter.operators.joins import (
     map_side_join,
     repartition_join,
 )
-from blotter.operators.ordering import bottom_k, sort_by, top_k
+from blotter.operators.ordering import bottom_k, sort_by, sort_result, top_k
 from blotter.operators.projections import derive, distinct_values, project, rename, repair_headers
 from blotter.operators.setops import union_by_name, union_positional
 from blotter.operators.windows import rank_within, top_n_per_group
@@ -49,6 +49,7 @@ __all__ = [
     "repair_headers",
     "repartition_join",
     "sort_by",
+    "sort_result",
     "sum_ones_by",
     "top_k",
     "top_n_per_group",
