@@ -77,3 +77,12 @@ def test_python_udf_query_runs_from_another_folder(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "ROWS 1000" in out.stdout, out.stderr[-2000:]
+
+
+def test_values_recorded_in_the_survey(spark):
+    q2 = {r.day_seg: r["count"] for r in QUERIES["q2_day_segments"](spark, SF01).collect()}
+    assert q2 == {"night": 653, "morning": 554, "afternoon": 437, "evening": 337}
+    q3 = [(r["victim descent"], r["total victims"]) for r in QUERIES["q3_top"](spark, SF01).collect()]
+    assert q3 == [("Returned", 624), ("Accepted", 619), ("Not returned", 576)]
+    assert len(QUERIES["q1_df"](spark, SF01).collect()) == 21
+    assert len(QUERIES["q1_rank_ties"](spark, SF01).collect()) == 22
