@@ -209,13 +209,19 @@ def descent_breakdown(
     # observed while writing decides whether the places are broadcast.
     chosen, n_places, places_bytes = materialise(chosen, "q3-places")
     small = n_places <= max_broadcast_rows and places_bytes <= DEFAULT_BROADCAST_BYTES
-    if strategy in (None, "broadcast") and small:
+    broadcast_places = strategy in (None, "broadcast") and small
+    if broadcast_places:
+        # places go to every task: facts are joined where they are read and
+        # only partial counts per (group, code) are shuffled
         chosen = F.broadcast(chosen)
     elif strategy in ("shuffle_hash", "merge"):
         chosen = chosen.hint(strategy)
     elif strategy == "broadcast":
-        chosen = chosen.hint("merge")  # beyond the bound: sort-merge fallback
-
+        chosen = chosen.hint("merge")  # beyond the broadcast bound
+    # Without a broadcast the facts are shuffled once on (lat, lon); AQE splits
+    # a place holding a large share of them.  (Counting per (lat, lon, code)
+    # first was measured: with few repeats per place it adds a second shuffle
+    # and doubles the volume.)
     victims = where_not_null(facts.select(lat_col, lon_col, descent_col), descent_col)
     joined = victims.join(chosen, [lat_col, lon_col])
     counts = count_by(joined, ["tag", descent_col], "total victims")
