@@ -195,3 +195,10 @@ def test_q3_join_strategies_agree_and_are_planned(spark):
         assert sorted(map(tuple, out.collect())) == base
         plan = join_strategies(out)
         assert plan[:2] == [node, node], (strategy, plan)
+
+
+def test_q3_with_no_matching_community_is_empty(spark):
+    facts, places, incomes, codes = _q3_fixture(spark)
+    out = descent_breakdown(facts, places, incomes, codes, community="Nowhere")
+    assert out.collect() == []
+    assert out.columns == ["tag", "victim descent", "total victims"]
