@@ -5,7 +5,8 @@ Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 fresh folder: write Spark's event log there and add per-query input and
 shuffle bytes of the timed runs to the output).  Each query is built and
 run to completion through the ``noop`` sink (no rows collected), once to
-warm the JVM and once timed; ``value`` is the sum of the timed runs.
+warm the JVM and then ``BENCH_RUNS`` times (default 2); a query's time is
+its best timed run and ``value`` is the sum of those.
 """
 
 from __future__ import annotations
@@ -70,8 +71,13 @@ def main() -> None:
         QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.time() - start
 
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     cold = {k: round(run(k, f"cold:{k}"), 3) for k in HEADLINE}
-    warm = {k: round(run(k, k), 3) for k in HEADLINE}
+    timed = {k: [] for k in HEADLINE}
+    for i in range(runs):
+        for k in HEADLINE:
+            timed[k].append(run(k, k if i == 0 else f"run{i}:{k}"))
+    warm = {k: round(min(v), 3) for k, v in timed.items()}
     match = re.search(r"sf([0-9.]+)$", sf_dir)
     result = {
         "metric": "headline_queries_total",
@@ -79,6 +85,7 @@ def main() -> None:
         "unit": "sec",
         "queries": warm,
         "cold": cold,
+        "runs": runs,
         "session_start_sec": round(session_sec, 3),
         "sf": float(match.group(1)) if match else sf_dir,
         "cpus": cpus,
