@@ -72,14 +72,14 @@ def run(args: argparse.Namespace, spark: SparkSession) -> DataFrame | None:
         facts = union_positional(*incidents)
         return day_segment_counts(facts, to_int("TIME OCC"), premise=args.premise)
     if args.question == "q3":
-        (places,) = _load(spark, [args.places], "csv")
-        (incomes,) = _load(spark, [args.incomes], "csv")
+        (places,) = _load(spark, [args.places], args.format)
+        (incomes,) = _load(spark, [args.incomes], args.format)
         places = places.withColumnRenamed("ZIPcode", "Zip Code")
         return descent_breakdown(
             union_positional(*incidents), places, incomes, descent_codes(spark),
             community=args.community, strategy=args.strategy,
         )
-    (stations,) = _load(spark, [args.stations], "csv")
+    (stations,) = _load(spark, [args.stations], args.format)
     stations = stations.withColumnRenamed("LOCATION", "LOCATION_PD")
     if args.regex:
         return station_distance(union_positional(*incidents), stations, code_range=None, code_pattern=args.regex)

@@ -20,13 +20,12 @@ def int_or_zero(c: ColumnOrName) -> Column:
 
 
 def currency_to_int(c: ColumnOrName) -> Column:
-    """Currency text → int: drop the leading symbol and the thousands commas.
+    """Currency text → int: drop a leading currency symbol and the thousands commas.
 
-    ``'$1,234,567'`` → 1234567; empty or malformed text → NULL.
+    ``'$1,234,567'`` → 1234567, ``'1,234'`` → 1234; empty or malformed text → NULL.
     """
-    text = as_col(c)
-    digits = F.replace(F.substring(text, 2, 2147483647), F.lit(","), F.lit(""))
-    return digits.try_cast("int")
+    text = F.regexp_replace(as_col(c), r"^[^0-9+-]", "")
+    return F.replace(text, F.lit(","), F.lit("")).try_cast("int")
 
 
 def currency_text(c: ColumnOrName, symbol: str = "$") -> Column:

@@ -77,12 +77,15 @@ def dedupe_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
-    """Keep, per key, the row with the smallest ``order_by`` value.
+    """Keep, per key, the row with the smallest ``order_by`` value (NULLs last).
 
-    Written as ``min(struct(order_by, ...))`` so it aggregates map-side; a
-    window with ``row_number`` would sort every row of a key in one task.
+    Written as ``min(struct(order_by is null, order_by, ...))`` so it
+    aggregates map-side; a window with ``row_number`` would sort every row
+    of a key in one task.
     """
     rest = [c for c in df.columns if c not in keys and c != order_by]
-    best = F.min(F.struct(F.col(order_by), *[F.col(c) for c in rest])).alias("__best")
+    best = F.min(
+        F.struct(F.col(order_by).isNull().alias("__null"), F.col(order_by), *[F.col(c) for c in rest])
+    ).alias("__best")
     picked = df.groupBy(*keys).agg(best)
     return picked.select(*keys, *[F.col(f"__best.{c}").alias(c) for c in [order_by, *rest]])

@@ -11,8 +11,6 @@ Q4  station_distance       per division: incidents in a code range and their
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,7 +88,7 @@ def peak_months_sql(
     n: int = 3,
     method: str = "row_number",
 ) -> DataFrame:
-    """Q1 written in SQL over a temp view; same plan as :func:`peak_months`.
+    """Q1 written in SQL over the incidents as a view; same plan as :func:`peak_months`.
 
     The result (at most ``n`` rows per year) is ordered inside one partition
     (``REPARTITION(1)`` hint + ``SORT BY``) instead of by a range-partitioned
@@ -99,14 +97,10 @@ def peak_months_sql(
     if method not in ("row_number", "rank"):
         raise ValueError("method must be 'row_number' or 'rank'")
     facts = with_year_month(union_positional(*incidents), date_col, date_format)
-    view = f"blotter_incidents_{uuid.uuid4().hex[:12]}"
-    facts.select("year", "month").createOrReplaceTempView(view)
     tie = ", month ASC" if method == "row_number" else ""
-    try:
-        # spark.sql resolves the view at once, so it can be dropped right after
-        return spark.sql(PEAK_MONTHS_SQL.format(view=view, ranker=method.upper(), tie=tie, n=int(n)))
-    finally:
-        spark.catalog.dropTempView(view)
+    query = PEAK_MONTHS_SQL.format(view="{facts}", ranker=method.upper(), tie=tie, n=int(n))
+    # The DataFrame argument is bound as a temporary view for this query only.
+    return spark.sql(query, facts=facts.select("year", "month"))
 
 
 # --------------------------------------------------------------------- Q2

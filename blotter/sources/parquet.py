@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,20 +17,21 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.parquet(*([path] if isinstance(path, str) else list(path)))
 
 
-# Table definitions already resolved in a session, keyed by application and
-# path: resolving a Parquet table lists its files and reads a footer, which
-# costs more than planning a small query.  Like a catalog table, an entry is
-# reused until the session ends; call ``forget_tables()`` after files change.
-_TABLES: dict[tuple[str, str], DataFrame] = {}
+# Table definitions already resolved, per session object and path: resolving
+# a Parquet table lists its files and reads a footer, which costs more than
+# planning a small query.  Like a catalog table, an entry is reused while the
+# session lives; call ``forget_tables()`` after files change.
+_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict[tuple[str, str], DataFrame]]" = weakref.WeakKeyDictionary()
 
 
 def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     """One table of a data folder laid out as ``<dir>/<name>.parquet``."""
     path = os.path.abspath(os.path.join(data_dir, f"{name}.parquet"))
+    tables = _TABLES.setdefault(spark, {})
     key = (session_key(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = read_parquet(spark, path)
-    return _TABLES[key]
+    if key not in tables:
+        tables[key] = read_parquet(spark, path)
+    return tables[key]
 
 
 def forget_tables() -> None:

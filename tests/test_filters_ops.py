@@ -70,6 +70,12 @@ def test_dedupe_first_keeps_lowest_and_aggregates_map_side(spark):
     assert "Window" not in plan
 
 
+def test_dedupe_first_puts_null_order_last(spark):
+    df = spark.createDataFrame([("a", None, "n"), ("a", 5, "five"), ("b", None, "only")], "key string, o int, t string")
+    got = sorted((r.key, r.o, r.t) for r in dedupe_first(df, ["key"], "o").collect())
+    assert got == [("a", 5, "five"), ("b", None, "only")]
+
+
 def test_count_by(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
     assert sorted((r.k or "", r.n) for r in count_by(df, ["k"], "n").collect()) == [("", 1), ("a", 2)]

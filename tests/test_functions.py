@@ -53,8 +53,9 @@ def test_parse_hhmm(spark):
 
 
 def test_currency_to_int(spark):
-    df = _one_col(spark, ["$1,234", "$999", "$1,234,567", "", None, "$-12"])
-    assert [r.i for r in df.select(currency_to_int("v").alias("i")).collect()] == [1234, 999, 1234567, None, None, -12]
+    df = _one_col(spark, ["$1,234", "$999", "$1,234,567", "", None, "$-12", "1,234", "$", "$1,2x4"])
+    got = [r.i for r in df.select(currency_to_int("v").alias("i")).collect()]
+    assert got == [1234, 999, 1234567, None, None, -12, 1234, None, None]
 
 
 def test_int_casts(spark):

@@ -202,3 +202,14 @@ def test_q3_with_no_matching_community_is_empty(spark):
     out = descent_breakdown(facts, places, incomes, codes, community="Nowhere")
     assert out.collect() == []
     assert out.columns == ["tag", "victim descent", "total victims"]
+
+
+def test_tables_and_sql_stay_in_their_session(spark):
+    from blotter.catalog import QUERIES
+    from tests.conftest import SF001
+
+    other = spark.newSession()
+    a = QUERIES["q1_sql"](spark, SF001)
+    b = QUERIES["q1_sql"](other, SF001)
+    assert b.sparkSession is other
+    assert [tuple(r) for r in a.collect()] == [tuple(r) for r in b.collect()]
