@@ -104,3 +104,17 @@ def test_size_check_bounds_rows_and_bytes(spark):
     assert per_row == 4 + 1000
     out = join_with_strategy(wide, wide.select("k"), "k", "broadcast", max_broadcast_rows=100)
     assert join_strategies(out) == ["BroadcastHashJoin"]
+
+
+def test_materialise_reports_rows_and_bytes(spark):
+    from pyspark.sql import functions as F
+
+    from blotter.plans import materialise, row_bytes
+
+    df = spark.range(1000).select(F.col("id"), F.format_string("v%d", F.col("id")).alias("s"))
+    back, rows, size = materialise(df, "probe")
+    assert rows == back.count() == 1000
+    assert size == df.agg(F.sum(row_bytes(df))).first()[0]
+    assert back.dtypes == df.dtypes
+    root = spark.sparkContext.getCheckpointDir()
+    assert back.inputFiles()[0].startswith(root.rstrip("/"))
