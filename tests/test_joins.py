@@ -116,5 +116,7 @@ def test_materialise_reports_rows_and_bytes(spark):
     assert rows == back.count() == 1000
     assert size == df.agg(F.sum(row_bytes(df))).first()[0]
     assert back.dtypes == df.dtypes
-    root = spark.sparkContext.getCheckpointDir()
-    assert back.inputFiles()[0].startswith(root.rstrip("/"))
+    from blotter.session import local_path
+
+    root = local_path(spark.sparkContext.getCheckpointDir())
+    assert local_path(back.inputFiles()[0]).startswith(root)
