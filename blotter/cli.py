@@ -9,6 +9,8 @@
 Inputs are CSV with a header (all columns text, header names trimmed) or,
 with ``--format parquet``, Parquet.  Several incident files are unioned by
 position.  The result is shown, or written with ``--output`` (Parquet).
+Under ``spark-submit`` the master comes from it; with plain ``python`` pass
+``--master local[*]``.
 """
 
 from __future__ import annotations
