@@ -2,8 +2,9 @@
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 (default 8), ``BENCH_DRIVER_MEMORY`` (default 8g), ``BENCH_EVENT_LOG`` (a
-fresh folder: write Spark's event log there and add per-query input and
-shuffle bytes of the timed runs to the output).  Each query is built and
+fresh folder for Spark's event log; default: a new temporary folder, since
+the bench runs in local mode).  Per-query jobs, tasks, input and shuffle
+bytes of the first timed run are read from the log into ``io``.  Each query is built and
 run to completion through the ``noop`` sink (no rows collected), once to
 warm the JVM and then ``BENCH_RUNS`` times (default 2); a query's time is
 its best timed run and ``value`` is the sum of those.
@@ -15,6 +16,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -46,11 +48,13 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     memory = os.environ.get("BENCH_DRIVER_MEMORY", "8g")
-    event_log = os.environ.get("BENCH_EVENT_LOG")
-    conf = {"spark.driver.memory": memory}
-    if event_log:
-        os.makedirs(event_log, exist_ok=True)
-        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
+    event_log = os.environ.get("BENCH_EVENT_LOG") or tempfile.mkdtemp(prefix="blotter-bench-events-")
+    os.makedirs(event_log, exist_ok=True)
+    conf = {
+        "spark.driver.memory": memory,
+        "spark.eventLog.enabled": "true",
+        "spark.eventLog.dir": event_log,
+    }
     t0 = time.time()
     from blotter.session import build_session
 
@@ -91,11 +95,10 @@ def main() -> None:
         "cpus": cpus,
     }
     spark.stop()
-    if event_log:
-        from blotter.plans.eventlog import summarise
+    from blotter.plans.eventlog import summarise
 
-        volumes = summarise(event_log)
-        result["io"] = {k: volumes.get(k, {}) for k in HEADLINE}
+    volumes = summarise(event_log)
+    result["io"] = {k: volumes.get(k, {}) for k in HEADLINE}
     print(json.dumps(result))
 
 
