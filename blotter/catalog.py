@@ -31,7 +31,7 @@ from blotter.operators import filters as flt
 from blotter.operators import joins
 from blotter.operators import ordering
 from blotter.operators import projections as proj
-from blotter.operators.setops import union_positional
+from blotter.operators.setops import union_by_name, union_positional
 from blotter.questions import (
     day_segment_counts,
     descent_breakdown,
@@ -298,6 +298,14 @@ def union_positional_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_positional(early, late)
 
 
+def union_by_name_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders")
+    cut = F.expr(f"TIMESTAMP_NTZ '{SPLIT_DATE}'")
+    early = o.filter(F.col("o_orderdate") < cut).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    late = o.filter(F.col("o_orderdate") >= cut).select("o_orderdate", "o_orderstatus", "o_custkey", "o_orderkey")
+    return union_by_name(early, late)
+
+
 # ---------------------------------------------------------------- filters
 
 
@@ -579,6 +587,7 @@ QUERIES: dict[str, Query] = {
     "project_columns": project_columns,
     "distinct_values": distinct_values,
     "union_positional": union_positional_q,
+    "union_by_name": union_by_name_q,
     # filters
     "filter_equal": filter_equal,
     "filter_not_equal_null": filter_not_equal_null,

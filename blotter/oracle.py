@@ -274,6 +274,10 @@ ORACLE_SQL: dict[str, str] = {
         SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders WHERE o_orderdate < TIMESTAMP '{SPLIT_DATE}'
         UNION ALL
         SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '{SPLIT_DATE}'""",
+    "union_by_name": f"""
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders WHERE o_orderdate < TIMESTAMP '{SPLIT_DATE}'
+        UNION ALL BY NAME
+        SELECT o_orderdate, o_orderstatus, o_custkey, o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '{SPLIT_DATE}'""",
     "filter_equal": "SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase'",
     "filter_not_equal_null": f"SELECT o_orderkey, status FROM {_STATUS_NULLS} WHERE status <> 'F'",
     "filter_not_null": f"SELECT o_orderkey, status FROM {_STATUS_NULLS} WHERE status IS NOT NULL",
