@@ -3,12 +3,13 @@
 from blotter.sources.codes import DESCENT_CODES, descent_codes
 from blotter.sources.csv import read_csv, string_schema, trim_headers, write_csv
 from blotter.sources.inline import inline_table
-from blotter.sources.parquet import csv_to_parquet, read_parquet, read_table
+from blotter.sources.parquet import csv_to_parquet, forget_tables, read_parquet, read_table
 
 __all__ = [
     "DESCENT_CODES",
     "descent_codes",
     "csv_to_parquet",
+    "forget_tables",
     "inline_table",
     "read_csv",
     "read_parquet",
