@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import exact_dedup, mixing, packing, quality
+from blotter.llm import exact_dedup, mixing, ngram_join, packing, quality
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.annotate(_documents(spark, sf_dir))
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_documents(spark, sf_dir))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every source at least once, none more than twice, as near to the natural mix."""
     mixed = mixing.mix(_documents(spark, sf_dir), max_repeats=2.0)
@@ -49,6 +53,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_mixing": op3_mixing,
     "op7_quality_rules": op7_quality_rules,
     "op10_packing": op10_packing,

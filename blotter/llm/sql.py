@@ -13,7 +13,7 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 QUALITY_RULES = r"""
 WITH split AS (
   SELECT doc_id, coalesce(text, '') AS t,
-         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
          string_split(coalesce(text, ''), chr(10)) AS lines
   FROM documents
 ), windows AS (
