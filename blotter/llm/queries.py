@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import exact_dedup, mixing, ngram_join, packing, quality
+from blotter.llm import exact_dedup, mixing, ngram_join, packing, quality, suffix_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +30,18 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(_documents(spark, sf_dir))
+    lengths = F.transform("spans", lambda s: s["stop"] - s["start"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality.ledger(_documents(spark, sf_dir))
     return book.select(
@@ -55,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_mixing": op3_mixing,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op10_packing": op10_packing,
 }
