@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import exact_dedup, mixing, ngram_join, packing, quality, suffix_dedup
+from blotter.llm import exact_dedup, lm_scoring, mixing, ngram_join, packing, quality, suffix_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(_documents(spark, sf_dir))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -69,5 +73,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_lm_scoring": op8_lm_scoring,
     "op10_packing": op10_packing,
 }
