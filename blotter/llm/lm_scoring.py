@@ -54,7 +54,7 @@ from blotter.llm.columns import ref
 from blotter.plans.guards import materialise
 
 DEPTH = 5
-LEAST_SHARE = 2e-5
+LEAST_SHARE = 5e-6
 GAIN = 0.01  # nats
 STRENGTH = 20.0
 FREQUENT = 1 << 16

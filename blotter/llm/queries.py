@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import exact_dedup, lm_scoring, mixing, ngram_join, packing, quality, suffix_dedup
+from blotter.llm import exact_dedup, lm_scoring, mixing, ngram_join, packing, pii, quality, suffix_dedup, toxicity
+
+
+# The registered query needs some key; a real run brings its own.
+EXAMPLE_KEY = b"example key of the registered query"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +46,12 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality.ledger(_documents(spark, sf_dir))
     return book.select(
@@ -61,6 +71,17 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(_documents(spark, sf_dir))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = pii.pseudonymise(_documents(spark, sf_dir), key=EXAMPLE_KEY)
+    shown = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"]))
+    return named.select(
+        "doc_id",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.array_join(shown, ",").alias("spans"),
+        "pseudo_text",
+    )
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -72,7 +93,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_mixing": op3_mixing,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_quality_rules": op7_quality_rules,
     "op8_lm_scoring": op8_lm_scoring,
+    "op9_pii": op9_pii,
     "op10_packing": op10_packing,
 }
