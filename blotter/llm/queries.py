@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import exact_dedup, lm_scoring, mixing, ngram_join, packing, pii, quality, suffix_dedup, toxicity
+from blotter.llm import exact_dedup, lm_scoring, mixing, ngram_join, packing, pii, quality, secrets, suffix_dedup, toxicity
 
 
 # The registered query needs some key; a real run brings its own.
@@ -46,6 +46,21 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_documents(spark, sf_dir))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [
+        (F.size("base") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{secrets.KINDS[k]}")
+        for k in range(3)
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secrets.shown(F.col("base")), 256).alias("base_sha256"),
+        secrets.shown(F.col("spans")).alias("spans"),
+    )
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -93,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_mixing": op3_mixing,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_secret_scan": op5_secret_scan,
     "op6_toxicity": op6_toxicity,
     "op7_quality_rules": op7_quality_rules,
     "op8_lm_scoring": op8_lm_scoring,

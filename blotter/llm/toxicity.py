@@ -1,6 +1,6 @@
 """Toxicity scores: subword-bag embeddings averaged into a linear softmax.
 
-A text is the bag of the character n-grams (3 to 6 bytes, word boundaries
+A text is the bag of the character n-grams (4, 6 and 8 bytes, word boundaries
 included) of its lower-cased words.  Every n-gram has an embedding; a text's
 vector is the average over its bag, and a softmax over two classes reads it.
 Embeddings and softmax are trained together by gradient descent in numpy.
@@ -36,14 +36,15 @@ from blotter.llm import kernels
 from blotter.llm.columns import ref
 from blotter.llm.suffix_tree import END, normalise
 
-SIZES = (3, 4, 5, 6)
+SIZES = (4, 6, 8)
 BUCKET_BITS = 18
 PER_CLASS = 1500
 DIMENSIONS = 8
-LEAST_DOCUMENTS = 0.01  # share of the sample an n-gram must occur in
-STEPS = 300
-RATE = 0.5
-DECAY = 2e-3
+LEAST_DOCUMENTS = 0.03  # share of the sample an n-gram must occur in
+STEPS = 200
+RATE = 600.0
+DECAY = 1e-6
+SCALING = 0.25  # power of a feature's spread it is divided by: rare n-grams do not outweigh common ones
 
 
 def held_out(id_col: str) -> Column:
@@ -80,32 +81,37 @@ def fit(texts: list[bytes], labels: np.ndarray, share: float) -> tuple[np.ndarra
     positive = int(labels.sum())
     if not 0 < positive < len(labels):
         return np.zeros(buckets, np.float32), prior
-    found = []
-    for k in range(0, len(texts), 200):
-        bucket, doc = bags(texts[k : k + 200])
-        pair, times = np.unique(doc.astype(np.int64) * buckets + bucket, return_counts=True)
-        size = np.bincount(doc, minlength=min(200, len(texts) - k))
-        d = pair // buckets
-        found.append((d + k, (pair % buckets).astype(np.int64), (times / size[d]).astype(np.float32)))
-    doc, bucket, value = (np.concatenate(x) for x in zip(*found))
-    document_count = np.bincount(bucket, minlength=buckets)
+    document_count = np.zeros(buckets, dtype=np.int64)
+    for k in range(0, len(texts), 100):
+        bucket, doc = bags(texts[k : k + 100])
+        pair = np.unique(doc.astype(np.int64) * buckets + bucket)
+        document_count += np.bincount(pair % buckets, minlength=buckets)
     chosen = np.flatnonzero(document_count >= max(2, LEAST_DOCUMENTS * len(texts)))
+    if not len(chosen):
+        return np.zeros(buckets, np.float32), prior
+    width = len(chosen)
     column = np.full(buckets, -1)
-    column[chosen] = np.arange(len(chosen))
-    keep = column[bucket] >= 0
-    x = np.zeros((len(texts), len(chosen)), dtype=np.float32)
-    x[doc[keep], column[bucket[keep]]] = value[keep]
+    column[chosen] = np.arange(width)
+    x = np.zeros((len(texts), width), dtype=np.float32)
+    for k in range(0, len(texts), 100):
+        bucket, doc = bags(texts[k : k + 100])
+        part = x[k : k + 100]
+        size = np.maximum(np.bincount(doc, minlength=len(part)), 1)
+        kept = column[bucket] >= 0
+        cell = doc[kept] * width + column[bucket[kept]]
+        part += np.bincount(cell, minlength=part.size).reshape(part.shape) / size[:, None]
     mean, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
+    scale = spread**SCALING
+    scale *= np.sqrt(((spread / scale) ** 2).sum())  # all features together have variance 1
     x -= mean
-    x /= spread * np.sqrt(np.float32(max(len(chosen), 1)))
+    x /= scale
 
     rng = np.random.default_rng(0)
-    embed = (rng.standard_normal((len(chosen), DIMENSIONS)) * 0.01).astype(np.float32)
+    embed = (rng.standard_normal((width, DIMENSIONS)) * 0.01).astype(np.float32)
     soft = (rng.standard_normal((DIMENSIONS, 2)) * 0.5).astype(np.float32)
     bias = np.zeros(2, dtype=np.float32)
     target = np.stack([1 - labels, labels], axis=1).astype(np.float32)
     weight = np.where(labels > 0, 0.5 / positive, 0.5 / (len(labels) - positive)).astype(np.float32)[:, None]
-    rate = RATE * max(len(chosen), 1) ** 0.5
     moved = [np.zeros_like(v) for v in (embed, soft, bias)]
     for _ in range(STEPS):
         hidden = x @ embed
@@ -113,12 +119,12 @@ def fit(texts: list[bytes], labels: np.ndarray, share: float) -> tuple[np.ndarra
         p = np.exp(logit - logit.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         error = (p - target) * weight
-        slopes = (x.T @ (error @ soft.T) + DECAY / rate * embed, hidden.T @ error, error.sum(axis=0))
-        for v, m, g, r in zip((embed, soft, bias), moved, slopes, (rate, 0.1, 0.5)):
-            m *= 0.9
-            m -= r * 0.1 * g
+        slopes = (x.T @ (error @ soft.T) + DECAY * embed, hidden.T @ error, error.sum(axis=0))
+        for v, m, g, r in zip((embed, soft, bias), moved, slopes, (RATE, 0.1, 0.5)):
+            m *= 0.9  # momentum
+            m -= 0.1 * r * g
             v += m
-    line = (embed @ (soft[:, 1] - soft[:, 0])) / (spread * np.sqrt(np.float32(max(len(chosen), 1))))
+    line = (embed @ (soft[:, 1] - soft[:, 0])) / scale
     out = np.zeros(buckets, dtype=np.float32)
     out[chosen] = line
     return out, float(bias[1] - bias[0] - mean @ line + prior)
