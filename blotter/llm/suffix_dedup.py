@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -50,10 +51,12 @@ GRAM = 32
 SPAN = LENGTH - GRAM + 1  # 32-byte strings in a 100-byte string
 SEGMENT = 1 << 20  # bytes hashed at a time; longer texts are read in overlapping pieces
 PART = 2 << 20
+STRETCH_BYTES = 128  # usual size of a stretch, for the number of parts
 SHARD = 1 << 20
 HEAVY = 4096  # occurrences from which an anchor's stretches are cut into single strings
 HEAVY_ANCHORS = 1 << 16  # there are at most so many such anchors
 LAST_ID = (1 << 63) - 1
+_PACKED = "id long, part int, z binary"
 
 
 def _segments(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
@@ -142,11 +145,41 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield held[0]
 
 
-_STRETCH = "key long, id long, part int, start long, n int, body binary"
+_STRETCH = "bucket int, n int, blob binary"
+_FIELDS = (("key", "<i8"), ("id", "<i8"), ("part", "<i4"), ("start", "<i8"), ("size", "<i4"))
+COPIES = -1  # bucket of the stretches that are removed whole, which need no meeting
 
 
-def _collect_stretches(heavy: frozenset):
-    """Stretches of the repeated anchors; of identical ones only the earliest carries its bytes."""
+def _pack(rows: list[tuple]) -> bytes:
+    """Rows (key, id, part, start, size, body) as one compressed value."""
+    columns = list(zip(*rows))
+    parts = [np.array(c, dtype=t).tobytes() for c, (_, t) in zip(columns, _FIELDS)]
+    return zstandard.compress(b"".join([*parts, *columns[5]]), 1)
+
+
+def _unpack(n: int, blob: bytes) -> tuple[dict[str, np.ndarray], bytes]:
+    raw, at, out = zstandard.decompress(blob), 0, {}
+    for name, kind in _FIELDS:
+        width = np.dtype(kind).itemsize * n
+        out[name] = np.frombuffer(raw[at : at + width], dtype=kind)
+        at += width
+    return out, raw[at:]
+
+
+def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one: half the bytes in a shuffle."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        texts = pa.array([pack(t) for t in kernels.as_bytes(batch.column(2))], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], names=["id", "part", "z"])
+
+
+def _texts(column) -> list[bytes]:
+    return [zstandard.decompress(z) for z in column.to_pylist()]
+
+
+def _collect_stretches(heavy: frozenset, buckets: int):
+    """Stretches of the repeated anchors, packed by bucket; of identical ones only the earliest goes on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         earliest: dict[bytes, tuple] = {}
@@ -163,7 +196,7 @@ def _collect_stretches(heavy: frozenset):
 
         for batch in batches:
             ids, nos = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            texts, wanted = kernels.as_bytes(batch.column(2)), batch.column(3).to_pylist()
+            texts, wanted = _texts(batch.column(2)), batch.column(3).to_pylist()
             for docs, offsets, parts in _segments(texts):
                 part, start, n, value, _ = stretches(parts)
                 cut = np.searchsorted(part, np.arange(len(parts) + 1))
@@ -179,20 +212,40 @@ def _collect_stretches(heavy: frozenset):
                                 note(key, (ids[d], nos[d], offset + w), one)
                         else:
                             note(key, (ids[d], nos[d], offset + s), body[s : s + m + LENGTH - 1])
-        rows = [(key, *place, len(body) - LENGTH + 1, body) for body, (key, place) in earliest.items()]
-        rows += [(0, i, p, s, size - LENGTH + 1, None) for i, p, s, size in later]
-        for k in range(0, len(rows), 20_000):
-            yield _arrow(rows[k : k + 20_000])
+        rows = [(key, *place, len(body), body) for body, (key, place) in earliest.items()]
+        bucket = kernels.mix(np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64)) % np.uint64(buckets)
+        order = np.lexsort(([r[0] for r in rows], bucket))
+        cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+        for part in np.split(order, cuts) if len(rows) else []:
+            yield _packed(int(bucket[part[0]]), [rows[k] for k in part])
+        for k in range(0, len(later), 1 << 16):
+            yield _packed(COPIES, [(0, i, p, s, size, b"") for i, p, s, size in later[k : k + (1 << 16)]])
 
     return run
 
 
-_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+def _packed(bucket: int, rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([bucket], pa.int32()), pa.array([len(rows)], pa.int32()), pa.array([_pack(rows)], pa.binary())],
+        names=["bucket", "n", "blob"],
+    )
+
+
+def _ranges(ids, nos, starts, stops) -> dict:
+    return {
+        "id": pa.array(ids, pa.int64()),
+        "part": pa.array(nos, pa.int32()),
+        "start": pa.array(starts, pa.int64()),
+        "stop": pa.array(stops, pa.int64()),
+    }
 
 
-def _arrow(rows: list[tuple]) -> pa.RecordBatch:
-    arrays = [pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)]
-    return pa.RecordBatch.from_arrays(arrays, names=["key", "id", "part", "start", "n", "body"])
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ranges of the stretches that go whole."""
+    for batch in batches:
+        for n, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            r, _ = _unpack(n, blob)
+            yield pa.RecordBatch.from_pydict(_ranges(r["id"], r["part"], r["start"], r["start"] + r["size"]))
 
 
 def repeated_strings(strings: list[bytes], keys: np.ndarray, order: np.ndarray, shard: int = SHARD) -> list[np.ndarray]:
@@ -243,9 +296,13 @@ def repeated_strings(strings: list[bytes], keys: np.ndarray, order: np.ndarray,
 
 def _resolve(table: pa.Table) -> pa.Table:
     """Removed ranges of one part's stretches."""
-    ids, nos, starts = (table.column(c).to_numpy() for c in ("id", "part", "start"))
-    bodies = table.column("body").to_pylist()
-    keys = table.column("key").to_numpy()
+    held, bodies = [], []
+    for n, blob in zip(table.column("n").to_pylist(), table.column("blob").to_pylist()):
+        r, raw = _unpack(n, blob)
+        held.append(r)
+        ends = np.cumsum(r["size"])
+        bodies += [raw[e - w : e] for e, w in zip(ends.tolist(), r["size"].tolist())]
+    keys, ids, nos, starts = (np.concatenate([r[c] for r in held]) for c in ("key", "id", "part", "start"))
     by_place = np.lexsort((starts, nos, ids))
     doc = np.zeros(len(ids), dtype=np.int64)  # documents of this part numbered in corpus order
     i, p = ids[by_place], nos[by_place]
@@ -271,14 +328,7 @@ def _resolve(table: pa.Table) -> pa.Table:
                 out_start.append(int(starts[k]) + s)
                 out_end.append(int(starts[k]) + e + LENGTH - 1)
     at = np.array(out_row, dtype=np.int64)
-    return pa.table(
-        {
-            "id": pa.array(ids[at], pa.int64()),
-            "part": pa.array(nos[at], pa.int32()),
-            "start": pa.array(out_start, pa.int64()),
-            "stop": pa.array(out_end, pa.int64()),
-        }
-    )
+    return pa.table(_ranges(ids[at], nos[at], out_start, out_end))
 
 
 def _documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -305,22 +355,17 @@ def removed_ranges(docs: DataFrame) -> DataFrame:
     heavy = candidates.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
     heavy = frozenset(r.a for r in heavy.collect())  # fewer than HEAVY_ANCHORS numbers
     lists = candidates.distinct().groupBy("id", "part").agg(F.collect_list("a").alias("anchors"))
-    found, _, size = materialise(
-        docs.join(lists, ["id", "part"])
-        .select("id", "part", "text", "anchors")
-        .mapInArrow(_collect_stretches(heavy), _STRETCH),
+    buckets = max(1, -(-n * STRETCH_BYTES // PART))
+    found, _, _ = materialise(
+        docs.mapInArrow(_compress, _PACKED)
+        .join(lists, ["id", "part"])
+        .select("id", "part", "z", "anchors")
+        .mapInArrow(_collect_stretches(heavy, buckets), _STRETCH),
         "stretches",
     )
-    parts = max(1, -(-size // PART))
-    resolved = (
-        found.where("body is not null")
-        .withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(parts)))
-        .groupBy("bucket")
-        .applyInArrow(_resolve, "id long, part int, start long, stop long")
-    )
-    copies = found.where("body is null").select(
-        "id", "part", "start", (F.col("start") + F.col("n") + (LENGTH - 1)).alias("stop")
-    )
+    ranges = "id long, part int, start long, stop long"
+    resolved = found.where(F.col("bucket") != COPIES).groupBy("bucket").applyInArrow(_resolve, ranges)
+    copies = found.where(F.col("bucket") == COPIES).select("n", "blob").mapInArrow(_whole, ranges)
     return (
         resolved.unionByName(copies)
         .groupBy("id", "part")
@@ -342,7 +387,7 @@ def merge_ranges(ranges: list) -> list[tuple[int, int]]:
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, ranges = kernels.as_bytes(batch.column(1)), batch.column(2).to_pylist()
+        texts, ranges = _texts(batch.column(1)), batch.column(2).to_pylist()
         rest, runs = [], []
         for text, r in zip(texts, ranges):
             spans = merge_ranges(r or [])
@@ -368,7 +413,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``kept`` (the remaining bytes; a cut may fall inside a character)."""
     docs = _documents(df, id_col, text_col)
     ranges = removed_ranges(docs)
-    joined = docs.join(ranges, ["id", "part"], "left").select("id", "text", "ranges")
+    joined = docs.mapInArrow(_compress, _PACKED).join(ranges, ["id", "part"], "left").select("id", "z", "ranges")
     cut = joined.mapInArrow(
         _cut, "id long, n_bytes long, spans array<struct<start: bigint, stop: bigint>>, kept binary"
     )
