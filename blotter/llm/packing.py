@@ -51,17 +51,25 @@ class WordEncoder:
         self._ids: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]  # on the six ASCII white-space bytes
+        split = [t.lower().split() for t in texts]  # the tokenizer is lower case; six ASCII white-space bytes
         if len(self._ids) > CACHE_WORDS:
             self._ids.clear()
         ids = self._ids
         new = [w for w in set().union(*split) if w not in ids]
-        for k in range(0, len(new), 4096):
-            part = new[k : k + 4096]
+        # a last comma or full stop after a letter or digit is a word of its own to the tokenizer
+        ended = {w: w[:-1] for w in new if len(w) > 1 and w[-1:] in b",." and w[-2] < 128 and w[-2:-1].isalnum()}
+        plain = {ended.get(w, w) for w in new}.union((b",", b"."))
+        self._add([w for w in plain if w not in ids])
+        for w, body in ended.items():
+            ids[w] = ids[body] + ids[w[-1:]]
+        return [b"".join([ids[w] for w in s]) for s in split]
+
+    def _add(self, words: list[bytes]) -> None:
+        for k in range(0, len(words), 4096):
+            part = words[k : k + 4096]
             found = self._tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
             for w, e in zip(part, found):
-                ids[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join([ids[w] for w in s]) for s in split]
+                self._ids[w] = np.array(e.ids, dtype="<u4").tobytes()
 
 
 _encoders: dict[int, WordEncoder] = {}
