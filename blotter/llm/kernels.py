@@ -6,6 +6,8 @@ costs a fixed number of vector passes whatever the number of documents.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 # A fixed odd multiplier and the finishing constants of a 64-bit mixer.
@@ -85,6 +87,18 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.n
     return mix(h ^ (stops - starts).astype(np.uint64) * MIX_B)
 
 
+def slices(texts: list[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+    """Consecutive texts of about ``limit`` bytes, with the number of the first."""
+    first, held = 0, 0
+    for k, text in enumerate(texts):
+        held += len(text)
+        if held >= limit:
+            yield first, texts[first : k + 1]
+            first, held = k + 1, 0
+    if first < len(texts):
+        yield first, texts[first:]
+
+
 def as_bytes(column) -> list[bytes]:
     """UTF-8 bytes of an Arrow string column, null as empty."""
     import pyarrow as pa

@@ -67,18 +67,6 @@ def held_out(id_col: str) -> Column:
     return F.crc32(F.coalesce(ref(id_col).cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
 
-def _slices(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
-    """Consecutive texts of about BATCH_BYTES, with the number of the first."""
-    first, held = 0, 0
-    for k, text in enumerate(texts):
-        held += len(text)
-        if held >= BATCH_BYTES:
-            yield first, texts[first : k + 1]
-            first, held = k + 1, 0
-    if first < len(texts):
-        yield first, texts[first:]
-
-
 class _Counter:
     """Counts of integers, merged when enough new ones are pending."""
 
@@ -105,7 +93,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(kind, key, count): kind 0 are words, kind 1 byte strings."""
     words, strings = _Counter(), _Counter()
     for batch in batches:
-        for _, texts in _slices(kernels.as_bytes(batch.column(0))):
+        for _, texts in kernels.slices(kernels.as_bytes(batch.column(0)), BATCH_BYTES):
             data, ends = kernels.flatten(texts)
             starts, stops, _ = kernels.word_spans(data, ends)
             words.add(kernels.word_hashes(kernels.lower_ascii(data), starts, stops).view(np.int64))
@@ -187,7 +175,7 @@ def _score(shared, id_type: pa.DataType, buckets: int):
         state = fresh()
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for first, texts in _slices(kernels.as_bytes(batch.column(1))):
+            for first, texts in kernels.slices(kernels.as_bytes(batch.column(1)), BATCH_BYTES):
                 data, ends = kernels.flatten(texts)
                 symbols, begins = suffix_tree.normalise(data, ends, DEPTH)
                 state["score"] += automaton.log10(symbols, begins).tolist()

@@ -123,14 +123,14 @@ def forest_nodes(h: np.ndarray, ends: np.ndarray, depth: int, trees: int = TREES
 def _sketch(depth: int, trees: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 1024):
-                part = batch.slice(k, 1024)
-                h, ends = shingles(kernels.as_bytes(part.column(1)))
+            for first, texts in kernels.slices(kernels.as_bytes(batch.column(1))):
+                h, ends = shingles(texts)
                 keys = set_keys(h, ends)
                 nodes = iter(forest_nodes(h, ends, depth, trees).view(np.int64))
                 lists = [next(nodes) if key is not None else None for key in keys]
+                ids = batch.column(0).slice(first, len(texts))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(keys, pa.binary()), pa.array(lists, pa.list_(pa.int64()))],
+                    [ids, pa.array(keys, pa.binary()), pa.array(lists, pa.list_(pa.int64()))],
                     names=["id", "key", "nodes"],
                 )
 
@@ -139,22 +139,20 @@ def _sketch(depth: int, trees: int):
 
 def _keyed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for k in range(0, batch.num_rows, 1024):
-            part = batch.slice(k, 1024)
-            h, ends = shingles(kernels.as_bytes(part.column(0)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(set_keys(h, ends), pa.binary()), part.column(0)], names=["key", "text"]
-            )
+        for first, texts in kernels.slices(kernels.as_bytes(batch.column(0))):
+            h, ends = shingles(texts)
+            own = batch.column(0).slice(first, len(texts))
+            yield pa.RecordBatch.from_arrays([pa.array(set_keys(h, ends), pa.binary()), own], names=["key", "text"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(cid, sorted distinct shingles as bytes)."""
     for batch in batches:
-        for k in range(0, batch.num_rows, 1024):
-            part = batch.slice(k, 1024)
-            h, ends = shingles(kernels.as_bytes(part.column(1)))
+        for first, texts in kernels.slices(kernels.as_bytes(batch.column(1))):
+            h, ends = shingles(texts)
             sets = [np.unique(h[a:b]).tobytes() for a, b in zip(ends[:-1], ends[1:])]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["cid", "set"])
+            own = batch.column(0).slice(first, len(texts))
+            yield pa.RecordBatch.from_arrays([own, pa.array(sets, pa.binary())], names=["cid", "set"])
 
 
 def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
