@@ -9,9 +9,10 @@ with the iteration count, and within a projection the generated code
 evaluates repeated subexpressions once.
 
 Accuracy: for points up to a few thousand kilometres apart six iterations
-agree with the converged value far below a millimetre.  Nearly antipodal
-points do not converge with Vincenty's method at all; they are outside the
-intended use (distances inside one city or country).
+agree with the converged value far below a millimetre.  Where the last step
+still moved the longitude difference by more than ``TOLERANCE`` (nearly
+antipodal points, for which Vincenty's method does not converge) the result
+is NULL, never an unconverged number.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ WGS84_A = 6378137.0
 WGS84_F = 1 / 298.257223563
 WGS84_B = (1 - WGS84_F) * WGS84_A
 DEFAULT_ITERATIONS = 6
+MAX_ITERATIONS = 20  # the projections of one row must fit one generated method
+TOLERANCE = 1e-8  # radians, about 6 cm on the ground
 
 _P = "__geo_"
 
@@ -51,8 +54,8 @@ def with_geodesic_km(
 
     Any NULL coordinate gives NULL; equal points give 0.
     """
-    if iterations < 1:
-        raise ValueError("iterations must be >= 1")
+    if not 1 <= iterations <= MAX_ITERATIONS:
+        raise ValueError(f"iterations must be between 1 and {MAX_ITERATIONS}")
     f = _d(WGS84_F)
     keep = [_q(c) for c in df.columns]
     # Steps are SQL expression text: one parse per step instead of one
@@ -80,6 +83,7 @@ def with_geodesic_km(
     L, sU1, cU1, sU2, cU2 = (f"{_P}{n}" for n in ("L", "sU1", "cU1", "sU2", "cU2"))
     consts = [L, sU1, cU1, sU2, cU2]
     lam, ss, cs, sig, sa, c2a, c2sm = (f"{_P}{n}" for n in ("lam", "ss", "cs", "sig", "sa", "c2a", "c2sm"))
+    before = _P + "before"
     for _ in range(iterations):
         # step 1: the auxiliary sphere at the current longitude difference
         sl, cl = f"sin({lam})", f"cos({lam})"
@@ -88,6 +92,7 @@ def with_geodesic_km(
         work = work.selectExpr(
             *keep,
             *consts,
+            lam,
             f"{ss_e} AS {ss}",
             f"{cs_e} AS {cs}",
             f"atan2({ss_e}, {cs_e}) AS {sig}",
@@ -102,7 +107,7 @@ def with_geodesic_km(
             f"({c2sm_e} + {big_c} * {cs} * ({_d(-1.0)} + {_d(2.0)} * {c2sm_e} * {c2sm_e})))"
         )
         work = work.selectExpr(
-            *keep, *consts, ss, cs, sig, f"{c2a_e} AS {c2a}", f"{c2sm_e} AS {c2sm}", f"{lam_e} AS {lam}"
+            *keep, *consts, ss, cs, sig, f"{c2a_e} AS {c2a}", f"{c2sm_e} AS {c2sm}", f"{lam} AS {before}", f"{lam_e} AS {lam}"
         )
     usq = f"({c2a} * {_d((WGS84_A**2 - WGS84_B**2) / WGS84_B**2)})"
     big_a = (
@@ -115,4 +120,5 @@ def with_geodesic_km(
         f"- {big_b} / 6 * {c2sm} * ({_d(-3.0)} + {_d(4.0)} * {ss} * {ss}) * ({_d(-3.0)} + {_d(4.0)} * {c2sm} * {c2sm}))))"
     )
     distance = f"{_d(WGS84_B / 1000.0)} * {big_a} * ({sig} - {delta})"
-    return work.selectExpr(*keep, f"{distance} AS {_q(out)}")
+    settled = f"abs({lam} - {before}) <= {_d(TOLERANCE)}"
+    return work.selectExpr(*keep, f"CASE WHEN {settled} THEN {distance} END AS {_q(out)}")

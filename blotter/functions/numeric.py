@@ -19,6 +19,12 @@ def int_or_zero(c: ColumnOrName) -> Column:
     return F.when(text.isNull() | (text == ""), F.lit(0)).otherwise(text.try_cast("int"))
 
 
+def currency_to_long(c: ColumnOrName) -> Column:
+    """Like :func:`currency_to_int`, for amounts beyond the int range."""
+    text = F.regexp_replace(as_col(c), r"^[^0-9+-]", "")
+    return F.replace(text, F.lit(","), F.lit("")).try_cast("bigint")
+
+
 def currency_to_int(c: ColumnOrName) -> Column:
     """Currency text → int: drop a leading currency symbol and the thousands commas.
 

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from blotter.functions._cols import ColumnOrName, as_col
 
 # Fixed formats of the incident files.
-REPORT_FORMAT = "MM/dd/yyyy hh:mm:ss a"   # e.g. 03/01/2020 12:00:00 AM
-HHMM_FORMAT = "HHmm"                      # e.g. 2130
+REPORT_FORMAT = "MM/dd/yyyy hh:mm:ss a"   # e.g. 08/23/2020 12:00:00 AM
+HHMM_FORMAT = "HHmm"                      # e.g. 2245
 
 
 def parse_timestamp(c: ColumnOrName, fmt: str = REPORT_FORMAT) -> Column:

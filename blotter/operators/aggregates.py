@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 Keys = Sequence[str | Column]
 
@@ -79,13 +80,12 @@ def dedupe_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
     """Keep, per key, the row with the smallest ``order_by`` value (NULLs last).
 
-    Written as ``min(struct(order_by is null, order_by, ...))`` so it
-    aggregates map-side; a window with ``row_number`` would sort every row
-    of a key in one task.
+    ``row_number() = 1`` is planned as a group limit, so every task passes on
+    one row per key it holds.  Rows equal in ``order_by`` are told apart by
+    the other columns.
     """
-    rest = [c for c in df.columns if c not in keys and c != order_by]
-    best = F.min(
-        F.struct(F.col(order_by).isNull().alias("__null"), F.col(order_by), *[F.col(c) for c in rest])
-    ).alias("__best")
-    picked = df.groupBy(*keys).agg(best)
-    return picked.select(*keys, *[F.col(f"__best.{c}").alias(c) for c in [order_by, *rest]])
+    rest = [F.col(c).asc_nulls_first() for c in df.columns if c not in keys and c != order_by]
+    place = Window.partitionBy(*keys).orderBy(F.col(order_by).asc_nulls_last(), *rest)
+    numbered = df.withColumn("__place", F.row_number().over(place)).filter("__place = 1")
+    columns = [*keys, order_by, *[c for c in df.columns if c not in keys and c != order_by]]
+    return numbered.select(*columns)

@@ -6,8 +6,9 @@ Rules kept everywhere:
   lets Spark pick the build side from poor statistics, which can broadcast
   the facts.
 * ``broadcast`` is honoured only after a size check (``plans.guards``); a
-  dimension that fails it is joined by a shuffle join instead, so a
-  growing table never gets shipped whole to every executor.
+  dimension that fails it raises, so a growing table never gets shipped
+  whole to every executor and no other strategy is taken silently.  Leave
+  the strategy to Spark (``None``) where the size is not known.
 * With AQE on, a sort-merge join whose fact side has a hot key is split
   into sub-joins at run time (``spark.sql.adaptive.skewJoin.enabled``).
 * Joins are true inner joins: duplicate keys multiply, unmatched rows and
@@ -27,7 +28,6 @@ from blotter.functions.numeric import to_int
 from blotter.plans.guards import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 
 STRATEGIES = ("broadcast", "shuffle_hash", "merge")
-FALLBACK_STRATEGY = "merge"
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:
@@ -53,9 +53,9 @@ def join_with_strategy(
         raise ValueError(f"unknown join strategy {strategy!r}; use one of {STRATEGIES}")
     if strategy == "broadcast":
         small, ok = broadcast_if_small(dim, max_broadcast_rows)
-        if ok:
-            return facts.join(small, keys, how)
-        strategy = FALLBACK_STRATEGY
+        if not ok:
+            raise ValueError("the dimension is beyond the broadcast bound; choose another strategy or None")
+        return facts.join(small, keys, how)
     return facts.join(dim.hint(strategy), keys, how)
 
 
@@ -67,8 +67,7 @@ def map_side_join(
 ) -> DataFrame:
     """Look each fact row up in a dimension shipped to every task.
 
-    No shuffle of the facts.  Falls back to a sort-merge join when the
-    dimension fails the size check.
+    No shuffle of the facts.  Raises when the dimension fails the size check.
     """
     return join_with_strategy(facts, dim, on, "broadcast", max_broadcast_rows=max_broadcast_rows)
 

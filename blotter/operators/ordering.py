@@ -19,28 +19,22 @@ def sort_by(df: DataFrame, order: Sequence[Column]) -> DataFrame:
 
 
 def sort_result(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
-    """Order a final result whose size is bounded by its number of groups.
-
-    The rows are gathered into one partition and sorted there: a global
-    ``orderBy`` would first run a sampling job to cut range partitions,
-    which costs more than sorting a few hundred rows.  Only for results
-    such as per-group aggregates, never for row-level outputs.
-    """
-    return df.repartition(1).sortWithinPartitions(*order)
+    """Order a final result (a global sort: no task has to hold all rows)."""
+    return df.orderBy(*order)
 
 
 def top_k(df: DataFrame, value: str, k: int, tie: str | None = None) -> DataFrame:
-    """The k rows with the largest ``value``; ties broken by ``tie`` ascending."""
-    order = [F.col(value).desc_nulls_last()]
+    """The k rows with the largest non-NULL ``value``; ties broken by ``tie`` ascending."""
+    order = [F.col(value).desc()]
     if tie:
         order.append(F.col(tie).asc_nulls_last())
-    return df.orderBy(*order).limit(k)
+    return df.filter(F.col(value).isNotNull()).orderBy(*order).limit(k)
 
 
 def bottom_k(df: DataFrame, value: str, k: int, tie: str | None = None) -> DataFrame:
     """The k rows with the smallest non-NULL ``value``.
 
-    These are the last k rows of the :func:`top_k` order (NULLs excepted),
+    These are the last k rows of the :func:`top_k` order,
     hence the reversed tie key.
     """
     order = [F.col(value).asc_nulls_last()]

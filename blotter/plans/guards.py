@@ -4,14 +4,11 @@ A side is broadcast only when its size is bounded: either by construction
 (a literal table, the output of ``limit(k)``) or by a check run here.  The
 check bounds both the number of rows and their bytes (strings by their
 UTF-8 length, other types by their fixed width); beyond either bound the
-caller takes a shuffle join.
-
-The check is a ``take(max_rows + 1)`` of one number per row: Spark scans
-partitions incrementally (one, then four times more, ...) and stops as soon
-as it has that many, so on a large table only a few partitions are read and
-at most ``max_rows + 1`` longs reach the driver.  (``limit(n).count()``
-would instead read ``n + 1`` rows from every partition and move them all
-to one task.)
+caller must take a shuffle join.
+
+The check is one aggregate (row count and summed bytes) computed on the
+executors; one row reaches the driver.  It reads the dimension once, when the
+join is built.
 """
 
 from __future__ import annotations
@@ -67,8 +64,8 @@ def row_bytes(df: DataFrame) -> Column:
 
 def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
     """True when ``df`` holds no more than ``max_rows`` rows and ``max_bytes`` bytes."""
-    sizes = df.select(row_bytes(df).alias("b")).take(max_rows + 1)
-    return len(sizes) <= max_rows and sum(r.b for r in sizes) <= max_bytes
+    size = df.select(row_bytes(df).alias("b")).agg(F.count("b").alias("n"), F.sum("b").alias("b")).first()
+    return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
 
 
 def broadcast_if_small(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from blotter.functions.daypart import day_segment
 from blotter.functions.geodesy import with_geodesic_km
-from blotter.functions.numeric import currency_to_int, to_int
+from blotter.functions.numeric import currency_to_long, to_int
 from blotter.functions.text import join_key
 from blotter.functions.time import REPORT_FORMAT, month_of, parse_timestamp, year_of
 from blotter.operators.aggregates import avg_and_count, count_by, sum_ones_by
@@ -64,19 +64,14 @@ def peak_months(
 
 
 PEAK_MONTHS_SQL = """
-WITH counts AS (
-    SELECT year, month, COUNT(*) AS crime_total
+SELECT * FROM (
+    SELECT year, month, count(*) AS crime_total,
+           {ranker}() OVER (PARTITION BY year ORDER BY count(*) DESC{tie}) AS rank
     FROM {view}
     GROUP BY year, month
-), ranked AS (
-    SELECT year, month, crime_total,
-           {ranker}() OVER (PARTITION BY year ORDER BY crime_total DESC{tie}) AS rank
-    FROM counts
 )
-SELECT /*+ REPARTITION(1) */ year, month, crime_total, rank
-FROM ranked
 WHERE rank <= {n}
-SORT BY year, rank, month
+ORDER BY year, rank, month
 """
 
 
@@ -88,12 +83,7 @@ def peak_months_sql(
     n: int = 3,
     method: str = "row_number",
 ) -> DataFrame:
-    """Q1 written in SQL over the incidents as a view; same plan as :func:`peak_months`.
-
-    The result (at most ``n`` rows per year) is ordered inside one partition
-    (``REPARTITION(1)`` hint + ``SORT BY``) instead of by a range-partitioned
-    ``ORDER BY``, which would run a sampling job first.
-    """
+    """Q1 written in SQL over the incidents as a view: one SELECT whose window ranks the grouped counts."""
     if method not in ("row_number", "rank"):
         raise ValueError("method must be 'row_number' or 'rank'")
     facts = with_year_month(union_positional(*incidents), date_col, date_format)
@@ -139,7 +129,7 @@ def income_zips(
     Income text such as ``'$61,201'`` is parsed natively.  At most ``2k`` rows,
     so the result is safe to broadcast.
     """
-    parsed = incomes.withColumn("__income", currency_to_int(income_col))
+    parsed = incomes.withColumn("__income", currency_to_long(income_col))
     if community is not None:
         parsed = where_contains(parsed, community_col, community)
     parsed = parsed.select(zip_col, "__income")
@@ -194,7 +184,12 @@ def descent_breakdown(
         # one zip per (lat, lon): tag first, then a plain hash distinct
         chosen = keyed.join(F.broadcast(zips), zip_col).select(lat_col, lon_col, "tag").distinct()
     else:
-        unique = keyed.withColumn("__latlon", join_key(lat_col, lon_col)).dropDuplicates(["__latlon"])
+        # several zips for one coordinate: the smallest counts, whatever the row order
+        unique = (
+            keyed.groupBy(join_key(lat_col, lon_col).alias("__latlon"))
+            .agg(F.min(F.struct(zip_col, lat_col, lon_col)).alias("__row"))
+            .select("__row.*")
+        )
         chosen = unique.join(F.broadcast(zips), zip_col).select(lat_col, lon_col, "tag")
     # Computed once and written to the shared scratch folder; the size
     # observed while writing decides whether the places are broadcast.

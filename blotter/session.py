@@ -60,6 +60,10 @@ def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str
     }
 
 
+def _one_process(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
@@ -76,7 +80,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    # "local[...]" runs in one process; "local-cluster[...]" has executors of their own
     configured = sc.getConf().get("spark.checkpoint.dir")
+    if not configured and not _one_process(sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     if not configured:
         configured = tempfile.mkdtemp(prefix="blotter-ckpt-")
     sc.setCheckpointDir(configured)

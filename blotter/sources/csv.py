@@ -9,8 +9,10 @@ per-line Python tokenising is needed and the scan stays splittable.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 CSV_OPTIONS = {
@@ -18,6 +20,8 @@ CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',
     "mode": "PERMISSIVE",
+    # only an unquoted empty field is NULL; a quoted one is an empty text
+    "nullValue": "\x00",
 }
 
 
@@ -45,17 +49,30 @@ def read_csv(
 ) -> DataFrame:
     """Read CSV as all-string columns.
 
-    With ``columns`` the schema is given and no job runs to read the header;
-    without it the header of the first file names the columns (still all
-    strings, never inferred).  ``multiline`` allows line breaks inside quoted
-    fields but makes each file one task, so it is off by default.
+    Without ``columns`` the header of the first file names them (still all
+    strings, never inferred).  With ``columns`` and a header, the names are
+    looked up in the header, blanks around names ignored, in any order; a
+    missing name raises.  Without a header they name the fields by position,
+    and no job runs.  ``multiline`` allows line breaks inside quoted fields
+    but makes each file one task, so it is off by default.
     """
+    paths = path if isinstance(path, str) else list(path)
     reader = spark.read.options(**CSV_OPTIONS).option("header", str(header).lower())
     reader = reader.option("multiLine", str(multiline).lower())
-    if columns is not None:
-        reader = reader.schema(string_schema(columns)).option("enforceSchema", "true")
-    df = reader.csv(path if isinstance(path, str) else list(path))
-    return trim_headers(df) if repair_headers else df
+    if columns is not None and not header:
+        return reader.schema(string_schema(columns)).csv(paths)
+    if columns is None:
+        df = reader.csv(paths)
+        return trim_headers(df) if repair_headers else df
+    parts = []
+    for one in [path] if isinstance(path, str) else paths:
+        # files below one path whose headers differ from the first one's raise
+        named = trim_headers(reader.option("enforceSchema", "false").csv(one))
+        missing = [c for c in columns if c not in named.columns]
+        if missing:
+            raise ValueError(f"columns {missing} are not in the header {named.columns} of {one}")
+        parts.append(named.select(*[F.col("`" + c.replace("`", "``") + "`") for c in columns]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def write_csv(
@@ -65,11 +82,20 @@ def write_csv(
     header: bool = False,
     mode: str = "overwrite",
 ) -> None:
-    """Write CSV; quoting mirrors :func:`read_csv` so a round trip is exact."""
+    """Write CSV that :func:`read_csv` reads back unchanged.
+
+    Blanks at either end of a field stay, an empty text is written as ``""``
+    and NULL as nothing.  A line break inside a field is kept in quotes; such
+    a file needs ``multiline=True`` when read.
+    """
     (
         df.write.mode(mode)
         .option("header", str(header).lower())
         .option("quote", '"')
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
+        .option("emptyValue", '""')
+        .option("nullValue", "")
         .csv(path)
     )

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import os
-import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blotter.session import session_key
 from blotter.sources.csv import read_csv
 
 
@@ -17,25 +14,9 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.parquet(*([path] if isinstance(path, str) else list(path)))
 
 
-# Table definitions already resolved, per session object and path: resolving
-# a Parquet table lists its files and reads a footer, which costs more than
-# planning a small query.  Like a catalog table, an entry is reused while the
-# session lives; call ``forget_tables()`` after files change.
-_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict[tuple[str, str], DataFrame]]" = weakref.WeakKeyDictionary()
-
-
 def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    """One table of a data folder laid out as ``<dir>/<name>.parquet``."""
-    path = os.path.abspath(os.path.join(data_dir, f"{name}.parquet"))
-    tables = _TABLES.setdefault(spark, {})
-    key = (session_key(spark), path)
-    if key not in tables:
-        tables[key] = read_parquet(spark, path)
-    return tables[key]
-
-
-def forget_tables() -> None:
-    _TABLES.clear()
+    """One table of a data folder laid out as ``<dir>/<name>.parquet``, resolved anew on every call."""
+    return read_parquet(spark, f"{data_dir.rstrip('/')}/{name}.parquet")
 
 
 def csv_to_parquet(
@@ -45,6 +26,7 @@ def csv_to_parquet(
     columns: Sequence[str] | None = None,
     *,
     repair_headers: bool = True,
+    multiline: bool = False,
     mode: str = "errorifexists",
 ) -> DataFrame:
     """Convert CSV to Parquet once, return a reader over the result.
@@ -52,6 +34,6 @@ def csv_to_parquet(
     The default mode refuses to overwrite an existing target, as a plain
     ``df.write.parquet`` does.
     """
-    df = read_csv(spark, source, columns, repair_headers=repair_headers)
+    df = read_csv(spark, source, columns, repair_headers=repair_headers, multiline=multiline)
     df.write.mode(mode).parquet(target)
     return read_parquet(spark, target)

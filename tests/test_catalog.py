@@ -12,8 +12,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_module.queries()) == set(QUERIES)
-    assert set(entry_module.oracle_sql()) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(QUERIES) <= set(entry_module.oracle_sql())
 
 
 def test_entry_smoke(spark):

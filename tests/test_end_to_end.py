@@ -49,7 +49,7 @@ def test_cli_runs_each_question(spark, incident_files, tmp_path):  # noqa: F811
     stations = tmp_path / "stations.csv"
     stations.write_text("X,Y,FID,DIVISION,LOCATION,PREC\n-118.3210,34.0610,1,MIDTOWN,12 ELM ST.,7\n")
     places = tmp_path / "places.csv"
-    places.write_text("LAT,LON,ZIPcode\n34.0375,-118.3620,90001\n34.05,-118.25,90002\n")
+    places.write_text("LAT,LON,ZIPcode\n41.2875,-70.4410,90001\n34.05,-118.25,90002\n")
     incomes = tmp_path / "incomes.csv"
     incomes.write_text('Zip Code,Community,Estimated Median Income\n90001,Los Angeles,"$1,000"\n90002,Los Angeles,"$2,000"\n')
     parser = cli._parser()
@@ -64,5 +64,5 @@ def test_cli_runs_each_question(spark, incident_files, tmp_path):  # noqa: F811
     assert len(out["q1"]) == 3 and len(out["q1sql"]) == 3
     assert {r.day_seg for r in out["q2"]} == {"night", "afternoon"}
     assert sorted((r.tag, r["victim descent"], r["total victims"]) for r in out["q3"]) == [
-        ("highest", "Other", 1), ("highest", "Unknown", 1), ("lowest", "Other", 1), ("lowest", "Unknown", 1)]
+        ("highest", "Unknown", 1), ("highest", "White", 1), ("lowest", "Unknown", 1), ("lowest", "White", 1)]
     assert [(r.division, r["incidents total"]) for r in out["q4"]] == [("MIDTOWN", 1)]

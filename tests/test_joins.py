@@ -30,10 +30,10 @@ def test_strategies_agree_and_are_planned(spark, facts_dims, strategy):
         assert join_strategies(out) == [EXPECTED[strategy]]
 
 
-def test_broadcast_falls_back_beyond_size_bound(spark, facts_dims):
+def test_broadcast_beyond_size_bound_raises(spark, facts_dims):
     facts, dims = facts_dims
-    out = join_with_strategy(facts, dims, "k", "broadcast", max_broadcast_rows=2)
-    assert join_strategies(out) == ["SortMergeJoin"]
+    with pytest.raises(ValueError):
+        join_with_strategy(facts, dims, "k", "broadcast", max_broadcast_rows=2)
 
 
 def test_map_side_equals_repartition(spark, facts_dims):

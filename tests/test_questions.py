@@ -73,9 +73,9 @@ def _q3_fixture(spark):
     )
     places = spark.createDataFrame(
         [
-            ("34.0375", "-118.35", "90003"),
-            ("34.0375", "-118.35", "90003"),   # repeated pair
-            ("34.03750", "-118.35", "90002"),  # differs as text only
+            ("41.2875", "-70.45", "90003"),
+            ("41.2875", "-70.45", "90003"),   # repeated pair
+            ("41.28750", "-70.45", "90002"),  # differs as text only
             ("34.1", "-118.2", "90004"),
             ("34.2", "-118.2", "90005"),
             ("34.3", "-118.2", "90001"),
@@ -86,8 +86,8 @@ def _q3_fixture(spark):
     )
     facts = spark.createDataFrame(
         [
-            ("34.0375", "-118.35", "W"), ("34.0375", "-118.35", "W"), ("34.0375", "-118.35", "H"),
-            ("34.03750", "-118.35", "B"), ("34.1", "-118.2", "W"), ("34.2", "-118.2", "X"),
+            ("41.2875", "-70.45", "W"), ("41.2875", "-70.45", "W"), ("41.2875", "-70.45", "H"),
+            ("41.28750", "-70.45", "B"), ("34.1", "-118.2", "W"), ("34.2", "-118.2", "X"),
             ("34.3", "-118.2", "H"), ("34.3", "-118.2", None), ("34.4", "-118.2", "W"),
             ("34.3", "-118.2", "Q"),  # code without text
         ],
@@ -144,9 +144,9 @@ def test_q4_matches_brute_force(spark):
         [
             ("01", "Harborview", "102", "34.05", "-118.25"),
             ("01", "Harborview", "199", "34.06", "-118.24"),
-            ("07", "Midtown", "100", "34.0375", "-118.3620"),
-            ("07", "Midtown", "2100", "34.0375", "-118.3620"),  # regex-only code
-            ("07", "Midtown", None, "34.0375", "-118.3620"),
+            ("07", "Midtown", "100", "41.2875", "-70.4410"),
+            ("07", "Midtown", "2100", "41.2875", "-70.4410"),  # regex-only code
+            ("07", "Midtown", None, "41.2875", "-70.4410"),
             ("07", "Null Island", "150", "0", "0"),
             ("14", "Pacific", "150", "33.99", "-118.42"),        # no station
             ("07", "Midtown", "150", "0", "0"),                  # (0, 0) kept by default
@@ -160,7 +160,7 @@ def test_q4_matches_brute_force(spark):
     )
     got = {r.division: (r.average_distance, r["incidents total"]) for r in station_distance(incidents, stations).collect()}
     harborview = [_vincenty_reference(34.05, -118.25, 34.0290, -118.2150), _vincenty_reference(34.06, -118.24, 34.0290, -118.2150)]
-    midtown = [_vincenty_reference(34.0375, -118.3620, 34.0610, -118.3210), _vincenty_reference(0, 0, 34.0610, -118.3210)]
+    midtown = [_vincenty_reference(41.2875, -70.4410, 34.0610, -118.3210), _vincenty_reference(0, 0, 34.0610, -118.3210)]
     assert got["HARBORVIEW"][1] == 2 and abs(got["HARBORVIEW"][0] - sum(harborview) / 2) < 1e-9
     assert got["MIDTOWN"][1] == 2 and abs(got["MIDTOWN"][0] - sum(midtown) / 2) < 1e-9
     assert set(got) == {"HARBORVIEW", "MIDTOWN"}

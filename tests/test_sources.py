@@ -5,13 +5,13 @@ import pytest
 
 from blotter.plans import physical_section
 from blotter.session import local_path, scratch_path
-from blotter.sources import csv_to_parquet, inline_table, read_csv, trim_headers, write_csv
+from blotter.sources import csv_to_parquet, inline_table, read_csv, read_table, trim_headers, write_csv
 
 # Made-up incident rows: a header with a trailing blank, quoted commas,
 # doubled quotes, two adjacent quoted fields, empty fields and a bad date.
 INCIDENTS_A = (
     'DR_NO,DATE OCC,TIME OCC,AREA ,AREA NAME,Vict Descent,Premis Desc,Weapon Used Cd,LOCATION,Cross Street,LAT,LON\n'
-    '1,03/01/2020 12:00:00 AM,2130,07,Midtown,O,STREET,,"100  MAIN, ST","A ""B"" C",34.0375,-118.3620\n'
+    '1,03/17/2020 12:00:00 AM,2245,03,Lakeside,W,STREET,,"55  QUAY, RD","A ""B"" C",41.2875,-70.4410\n'
     '2,03/02/2020 12:00:00 PM,0459,01,Harborview,X,"STREET","102","X","Y",34.05,-118.25\n'
     '3,not a date,,15,North Park,,PARKING LOT,2100,,,0,0\n'
 )
@@ -39,7 +39,7 @@ def test_csv_quotes_empties_and_header_repair(spark, incident_files):
     df = trim_headers(raw)
     assert "AREA" in df.columns and all(t == "string" for _, t in df.dtypes)
     rows = {r["DR_NO"]: r for r in df.collect()}
-    assert rows["1"]["LOCATION"] == "100  MAIN, ST"
+    assert rows["1"]["LOCATION"] == "55  QUAY, RD"
     assert rows["1"]["Cross Street"] == 'A "B" C'
     assert rows["1"]["Weapon Used Cd"] is None
     assert rows["2"]["Premis Desc"] == "STREET" and rows["2"]["LOCATION"] == "X"
@@ -103,3 +103,35 @@ def test_cluster_conf_scales_partitions():
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert big["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_csv_keeps_blanks_empties_quotes_and_line_breaks(spark):
+    values = ["  lead", "trail  ", "", None, 'a "q" b', "back\\slash", "two\nlines", "comma, here", "\t"]
+    df = spark.createDataFrame([(str(k), v) for k, v in enumerate(values)], "k string, v string").coalesce(1)
+    out = scratch_path(spark, "exact")
+    write_csv(df, out, header=True)
+    back = {r.k: r.v for r in read_csv(spark, out, multiline=True).collect()}
+    assert back == {str(k): v for k, v in enumerate(values)}
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a,b \n1,2\n")
+    path = str(tmp_path / "x.csv")
+    assert [tuple(r) for r in read_csv(spark, path, ["b", "a"]).collect()] == [("2", "1")]
+    with pytest.raises(ValueError):
+        read_csv(spark, path, ["a", "c"])
+
+
+def test_read_table_sees_new_rows(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.range(3).write.parquet(path)
+    assert read_table(spark, str(tmp_path), "t").count() == 3
+    spark.range(2).write.mode("append").parquet(path)
+    assert read_table(spark, str(tmp_path), "t").count() == 5
+
+
+def test_checkpoint_root_needs_a_shared_folder_on_a_cluster():
+    from blotter.session import _one_process
+
+    assert _one_process("local[4]") and _one_process("local")
+    assert not _one_process("local-cluster[2,1,1024]") and not _one_process("spark://host:7077")
