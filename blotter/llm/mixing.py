@@ -248,7 +248,9 @@ def mix(
         rows.where(F.coalesce(taken, F.lit(False)))
         .withColumn(new["n_tokens"], F.coalesce(counted, F.lit(0)))
         .withColumn(new["block"], block)
-        .withColumn(new["mix_key"], (ref(new["epoch"]) + position) / F.greatest(p["reads"], F.lit(1.0)))
+        .withColumn(
+            new["mix_key"], F.least(F.lit(1.0), (ref(new["epoch"]) + position) / F.greatest(p["reads"], F.lit(1.0)))
+        )
         .withColumn(new["weight"], p["weight"])
         .withColumn(new["exponent"], p["exponent"])
         .drop(new["plan"])
