@@ -34,7 +34,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from blotter.llm.columns import ref
 from blotter.llm.kernels import as_bytes
 
-CACHE_WORDS = 250_000
+CACHE_WORDS = 500_000
 ROWS_OUT = 8192
 
 COLUMNS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

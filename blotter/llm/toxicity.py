@@ -13,8 +13,8 @@ are never learnt from).  The sample and the model (one number per n-gram
 bucket once the two linear maps are multiplied out) have fixed sizes; one task
 trains, all others score whole texts.
 
-Defined results: a null or empty text has an empty bag and gets the score of
-the intercept; several labels of one id count as the largest; null labels and
+Defined results: a null or empty text has an empty bag and the score of an
+average text; several labels of one id count as the largest; null labels and
 labels without a document are left out; without labels of both classes the
 score is the smoothed share of label 1; repeated rows are scored one by one;
 a null id belongs to no label and is not held out; an empty table gives an
@@ -74,13 +74,13 @@ def bags(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(out), np.concatenate(where)) if out else (np.zeros(0, np.int32), np.zeros(0, np.int64))
 
 
-def fit(texts: list[bytes], labels: np.ndarray, share: float) -> tuple[np.ndarray, float]:
-    """(weight of every bucket, intercept); ``share`` is label 1's share among all labelled rows."""
+def fit(texts: list[bytes], labels: np.ndarray, share: float) -> tuple[np.ndarray, float, float]:
+    """(weight of every bucket, intercept, logit of an empty bag); ``share`` is label 1's share among all labelled rows."""
     buckets = 1 << BUCKET_BITS
     prior = float(np.log(share / (1 - share)))
     positive = int(labels.sum())
     if not 0 < positive < len(labels):
-        return np.zeros(buckets, np.float32), prior
+        return np.zeros(buckets, np.float32), prior, prior
     document_count = np.zeros(buckets, dtype=np.int64)
     for k in range(0, len(texts), 100):
         bucket, doc = bags(texts[k : k + 100])
@@ -88,7 +88,7 @@ def fit(texts: list[bytes], labels: np.ndarray, share: float) -> tuple[np.ndarra
         document_count += np.bincount(pair % buckets, minlength=buckets)
     chosen = np.flatnonzero(document_count >= max(2, LEAST_DOCUMENTS * len(texts)))
     if not len(chosen):
-        return np.zeros(buckets, np.float32), prior
+        return np.zeros(buckets, np.float32), prior, prior
     width = len(chosen)
     column = np.full(buckets, -1)
     column[chosen] = np.arange(width)
@@ -127,7 +127,8 @@ def fit(texts: list[bytes], labels: np.ndarray, share: float) -> tuple[np.ndarra
     line = (embed @ (soft[:, 1] - soft[:, 0])) / scale
     out = np.zeros(buckets, dtype=np.float32)
     out[chosen] = line
-    return out, float(bias[1] - bias[0] - mean @ line + prior)
+    neutral = float(bias[1] - bias[0] + prior)  # where every n-gram has its average share
+    return out, neutral - float(mean @ line), neutral
 
 
 def sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, per_class: int) -> DataFrame:
@@ -155,9 +156,10 @@ def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts += kernels.as_bytes(batch.column(0))
         labels += batch.column(1).to_pylist()
         share = batch.column(2)[0].as_py() if batch.num_rows else share
-    weights, intercept = fit(texts, np.array(labels, dtype=np.int64), share)
+    weights, intercept, neutral = fit(texts, np.array(labels, dtype=np.int64), share)
     yield pa.RecordBatch.from_arrays(
-        [pa.array([weights.tobytes()], pa.binary()), pa.array([intercept])], names=["weights", "intercept"]
+        [pa.array([weights.tobytes()], pa.binary()), pa.array([intercept]), pa.array([neutral])],
+        names=["weights", "intercept", "neutral"],
     )
 
 
@@ -168,17 +170,17 @@ def train(
     text_col: str = "text",
     label_col: str = "toxic",
     per_class: int = PER_CLASS,
-) -> tuple[np.ndarray, float]:
+) -> tuple[np.ndarray, float, float]:
     """The model, fitted in one task on the bounded sample."""
     rows = sample(df, labels, id_col, text_col, label_col, per_class)
     rows = rows.repartition(1).sortWithinPartitions(F.xxhash64("text"), "text")
-    row = rows.mapInArrow(_fit_rows, "weights binary, intercept double").first()
-    return np.frombuffer(row["weights"], dtype=np.float32), row["intercept"]
+    row = rows.mapInArrow(_fit_rows, "weights binary, intercept double, neutral double").first()
+    return np.frombuffer(row["weights"], dtype=np.float32), row["intercept"], row["neutral"]
 
 
 def _score(shared, id_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, intercept = shared.value
+        weights, intercept, neutral = shared.value
         for batch in batches:
             texts, out, first, held = kernels.as_bytes(batch.column(1)), [], 0, 0
             for k, text in enumerate(texts):
@@ -188,7 +190,7 @@ def _score(shared, id_col: str):
                     bucket, doc = bags(part)
                     total = np.bincount(doc, weights[bucket], len(part))
                     size = np.bincount(doc, minlength=len(part))
-                    logit = total / np.maximum(size, 1) + intercept
+                    logit = np.where(size > 0, total / np.maximum(size, 1) + intercept, neutral)
                     out.append(1 / (1 + np.exp(-np.clip(logit, -700, 700))))
                     first, held = k + 1, 0
             scores = np.concatenate(out) if out else np.zeros(0)
@@ -198,7 +200,7 @@ def _score(shared, id_col: str):
 
 
 def score(
-    df: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text"
+    df: DataFrame, model: tuple[np.ndarray, float, float], id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per input row: id, ``held_out``, ``score`` and ``predicted`` (score at least 0.5)."""
     shared = df.sparkSession.sparkContext.broadcast(model)

