@@ -145,9 +145,8 @@ def sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_c
         known.where(F.col("label") == c).orderBy(F.xxhash64("label_id"), "label_id").limit(per_class) for c in (0, 1)
     ]
     picked = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most 2 * per_class rows of two numbers
-    return df.join(picked, ref(id_col) == F.col("label_id")).select(
-        ref(text_col).cast("string").alias("text"), "label", F.lit(0.5 if share is None else share).alias("share")
-    )
+    rows = df.select(ref(id_col).alias("label_id"), ref(text_col).cast("string").alias("text"))
+    return rows.join(picked, "label_id").select("text", "label", F.lit(0.5 if share is None else share).alias("share"))
 
 
 def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
