@@ -174,6 +174,8 @@ def train(
     rows = sample(df, labels, id_col, text_col, label_col, per_class)
     rows = rows.repartition(1).sortWithinPartitions(F.xxhash64("text"), "text")
     row = rows.mapInArrow(_fit_rows, "weights binary, intercept double, neutral double").first()
+    if row is None:  # no labelled document at all
+        return np.zeros(1 << BUCKET_BITS, np.float32), 0.0, 0.0
     return np.frombuffer(row["weights"], dtype=np.float32), row["intercept"], row["neutral"]
 
 

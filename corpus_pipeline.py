@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from blotter.llm import exact_dedup, mixing, ngram_join, packing, quality
+from blotter.llm.columns import ref
 from blotter.plans.guards import materialise
 
 # Production parameters, the same as those of the single queries.
@@ -39,7 +40,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every source at least once, small ones again up to the repetition limit."""
-    return mixing.mix(docs, max_repeats=MAX_REPEATS).select(*docs.columns)
+    return mixing.mix(docs, max_repeats=MAX_REPEATS).select(*[ref(c) for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
