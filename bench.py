@@ -27,12 +27,19 @@ HEADLINE = [
     "q1_rank_ties",
     "q2_day_segments",
     "q2_pairs",
+    "q1_two_files",
+    "q1_csv",
+    "q2_csv",
     "q3_top",
     "q3_bottom",
     "q3_both",
     "q3_top_broadcast",
     "q3_top_shuffle_hash",
     "q3_top_merge",
+    "q3_top_merge_all",
+    "q3_top_mixed",
+    "q3_bottom_mixed",
+    "q3_dedupe_first",
     "q4_mean_distance",
     "join_broadcast",
     "join_shuffle_hash",

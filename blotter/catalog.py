@@ -150,6 +150,27 @@ def q1_rank_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _by_date(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Orders before the split date, and all others (also those without a date)."""
+    early = F.col("o_orderdate") < F.expr(f"TIMESTAMP_NTZ '{SPLIT_DATE}'")
+    return df.filter(early), df.filter(~F.coalesce(early, F.lit(False)))
+
+
+def q1_two_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    early, late = _by_date(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"))
+    return peak_months(early, late, date_col="o_orderdate", date_format=None)
+
+
+def q1_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 over two CSV files with the dates as text."""
+    halves = []
+    for n, part in enumerate(_by_date(read_table(spark, sf_dir, "orders"))):
+        path = scratch_path(spark, f"q1-csv-{n}")
+        write_csv(part.select("o_orderkey", format_timestamp("o_orderdate").alias("DATE OCC")), path, header=True)
+        halves.append(read_csv(spark, path, ["o_orderkey", "DATE OCC"]))
+    return peak_months(*halves)
+
+
 def _purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events").select("event_type", "ts")
 
@@ -164,32 +185,49 @@ def q2_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def q3_both(spark: SparkSession, sf_dir: str, strategy: str | None = None) -> DataFrame:
+def q2_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 over CSV with the time of day as HHmm text."""
+    path = scratch_path(spark, "q2-csv")
+    events = read_table(spark, sf_dir, "events")
+    write_csv(events.select("event_type", hhmm_text("ts").alias("TIME OCC")), path, header=True)
+    facts = read_csv(spark, path, ["event_type", "TIME OCC"])
+    return day_segment_counts(facts, to_int("TIME OCC"), "event_type", "purchase")
+
+
+def q3_both(
+    spark: SparkSession,
+    sf_dir: str,
+    strategy: str | dict[str, str | None] | None = None,
+    groups: tuple[str, ...] = ("highest", "lowest"),
+    key_determines_zip: bool = True,
+) -> DataFrame:
     return descent_breakdown(
         lineitem_victims(spark, sf_dir),
         lineitem_places(spark, sf_dir),
         suppliers_as_incomes(spark, sf_dir),
         return_flag_codes(spark),
         community="A",
-        key_determines_zip=True,
+        key_determines_zip=key_determines_zip,
         strategy=strategy,
+        groups=groups,
     )
 
 
-def _q3_top_with(strategy: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return q3_both(spark, sf_dir, strategy).filter(F.col("tag") == "highest").drop("tag")
+# A strategy chosen per join, as a user who knows the sizes would hint them.
+MIXED = {"zips": "broadcast", "places": "shuffle_hash", "codes": "broadcast"}
+ALL_MERGE = {"zips": "merge", "places": "merge", "codes": "merge"}
 
-    run.__name__ = f"q3_top_{strategy}"
-    return run
 
+def _q3_group(group: str, strategy: str | dict[str, str | None] | None = None) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return q3_both(spark, sf_dir, strategy, (group,)).drop("tag")
 
-def q3_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q3_both(spark, sf_dir).filter(F.col("tag") == "highest").drop("tag")
+    return run
 
 
-def q3_bottom(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q3_both(spark, sf_dir).filter(F.col("tag") == "lowest").drop("tag")
+def q3_dedupe_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One zip per coordinate first, then the join with the chosen zips."""
+    return q3_both(spark, sf_dir, key_determines_zip=False)
 
 
 def q4_mean_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,7 +243,7 @@ def q4_mean_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir}/nation.parquet")
+    return read_parquet(spark, f"{sf_dir}/lineitem.parquet")
 
 
 def _orders_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,6 +282,21 @@ def sink_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, ["event_id", "event_type"], header=False)
 
 
+def sink_csv_awkward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Padded, quoted, empty and missing text through the CSV sink and back."""
+    e = read_table(spark, sf_dir, "events")
+    kind = F.col("event_id") % 5
+    text = (
+        F.when(kind == 0, F.concat(F.lit("  "), "event_type", F.lit(" ")))
+        .when(kind == 1, F.concat(F.lit('say "'), "event_type", F.lit('", \\')))
+        .when(kind == 2, F.lit(""))
+        .when(kind == 3, F.col("event_type"))
+    )
+    path = scratch_path(spark, "events-awkward-csv")
+    write_csv(e.select("event_id", text.alias("text")), path, header=True)
+    return read_csv(spark, path, ["event_id", "text"])
+
+
 def table_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [
         read_table(spark, sf_dir, name).agg(F.count(F.lit(1)).alias("n_rows")).select(
@@ -290,20 +343,17 @@ def distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def union_positional_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
-    cut = F.expr(f"TIMESTAMP_NTZ '{SPLIT_DATE}'")
     cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"]
-    early = o.filter(F.col("o_orderdate") < cut).select(*cols)
-    late = o.filter(F.col("o_orderdate") >= cut).select(*cols).withColumnRenamed("o_orderstatus", "o_orderstatus ")
-    return union_positional(early, late)
+    early, late = _by_date(read_table(spark, sf_dir, "orders").select(*cols))
+    return union_positional(early, late.withColumnRenamed("o_orderstatus", "o_orderstatus "))
 
 
 def union_by_name_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
-    cut = F.expr(f"TIMESTAMP_NTZ '{SPLIT_DATE}'")
-    early = o.filter(F.col("o_orderdate") < cut).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    late = o.filter(F.col("o_orderdate") >= cut).select("o_orderdate", "o_orderstatus", "o_custkey", "o_orderkey")
-    return union_by_name(early, late)
+    early, late = _by_date(read_table(spark, sf_dir, "orders"))
+    return union_by_name(
+        early.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"),
+        late.select("o_orderdate", "o_orderstatus", "o_custkey", "o_orderkey"),
+    )
 
 
 # ---------------------------------------------------------------- filters
@@ -346,6 +396,12 @@ def filter_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flt.where_in_range(codes, "code", 100, 200)
 
 
+def filter_range_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The range on a stored number: both bounds reach the Parquet scan."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    return flt.where_in_range(c, "c_custkey", 100, 200)
+
+
 # ------------------------------------------------------------------ joins
 
 
@@ -564,14 +620,21 @@ QUERIES: dict[str, Query] = {
     "q1_df": q1_df,
     "q1_sql": q1_sql,
     "q1_rank_ties": q1_rank_ties,
+    "q1_two_files": q1_two_files,
+    "q1_csv": q1_csv,
     "q2_day_segments": q2_day_segments,
     "q2_pairs": q2_pairs,
-    "q3_top": q3_top,
-    "q3_bottom": q3_bottom,
+    "q2_csv": q2_csv,
+    "q3_top": _q3_group("highest"),
+    "q3_bottom": _q3_group("lowest"),
     "q3_both": q3_both,
-    "q3_top_broadcast": _q3_top_with("broadcast"),
-    "q3_top_shuffle_hash": _q3_top_with("shuffle_hash"),
-    "q3_top_merge": _q3_top_with("merge"),
+    "q3_dedupe_first": q3_dedupe_first,
+    "q3_top_broadcast": _q3_group("highest", "broadcast"),
+    "q3_top_shuffle_hash": _q3_group("highest", "shuffle_hash"),
+    "q3_top_merge": _q3_group("highest", "merge"),
+    "q3_top_merge_all": _q3_group("highest", ALL_MERGE),
+    "q3_top_mixed": _q3_group("highest", MIXED),
+    "q3_bottom_mixed": _q3_group("lowest", MIXED),
     "q4_mean_distance": q4_mean_distance,
     # scans, sources, sinks
     "scan_parquet": scan_parquet,
@@ -579,6 +642,7 @@ QUERIES: dict[str, Query] = {
     "scan_csv_quoted": scan_csv_quoted,
     "convert_parquet": convert_parquet,
     "sink_csv": sink_csv,
+    "sink_csv_awkward": sink_csv_awkward,
     "table_count": table_count,
     "inline_dimension": inline_dimension,
     # projections and unions
@@ -595,6 +659,7 @@ QUERIES: dict[str, Query] = {
     "filter_contains": filter_contains,
     "filter_regex": filter_regex,
     "filter_range": filter_range,
+    "filter_range_native": filter_range_native,
     # joins
     "join_inner": join_inner,
     "join_composite": join_composite,

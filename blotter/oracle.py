@@ -10,8 +10,18 @@ as DECIMAL.
 
 from __future__ import annotations
 
-from blotter.catalog import FIREARM_LIKE_CODES, ORDER_STATUS_TEXT, RETURN_FLAG_TEXT, SPLIT_DATE, TABLES
-from blotter.functions.geodesy import DEFAULT_ITERATIONS, WGS84_A, WGS84_B, WGS84_F
+# Fixed values, written out here so that a wrong one in the library shows.
+ORDER_STATUS_TEXT = [("F", "Fulfilled"), ("O", "Open"), ("P", "Partial")]
+RETURN_FLAG_TEXT = [("A", "Accepted"), ("N", "Not returned"), ("R", "Returned"), ("X", "Unknown")]
+EARLY = "coalesce(o_orderdate < TIMESTAMP '1998-01-01 00:00:00', FALSE)"
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
+    "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+WGS84_A = 6378137.0
+WGS84_F = 1 / 298.257223563
+WGS84_B = WGS84_A * (1 - WGS84_F)
+STEPS = 12  # the made-up stations lie within 200 km: converged to the last bits well before
 
 
 def _d(x: float) -> str:
@@ -74,7 +84,7 @@ def _vincenty_ctes(source: str, keep: str, lat1: str, lon1: str, lat2: str, lon2
         f"L AS lam FROM {prev})"
     )
     base = f"{keep}, L, sU1, cU1, sU2, cU2"
-    for i in range(DEFAULT_ITERATIONS):
+    for i in range(STEPS):
         prev, name = name, f"{prefix}i{i}a"
         ctes.append(
             f"{name} AS MATERIALIZED (SELECT {base}, lam, "
@@ -143,7 +153,7 @@ def _geodesic_sql() -> str:
 
 
 def _q4_sql() -> str:
-    lo, hi = FIREARM_LIKE_CODES
+    lo, hi = 1000, 2000
     where = (
         f"c_mktsegment <> 'Null Island' AND CAST(floor(c_acctbal) AS BIGINT) >= {lo} "
         f"AND CAST(floor(c_acctbal) AS BIGINT) < {hi}"
@@ -200,6 +210,11 @@ SELECT year, month, crime_total, "rank" FROM ranked WHERE "rank" <= 3
 """
 
 
+_Q3_BOTH = (
+    f"SELECT 'highest' AS tag, * FROM ({_q3_sql(True)}) "
+    f"UNION ALL SELECT 'lowest' AS tag, * FROM ({_q3_sql(False)})"
+)
+
 _Q2 = f"""
 SELECT {_day_segment_case('h')} AS day_seg, CAST(COUNT(*) AS BIGINT) AS count
 FROM (SELECT CAST(hour(ts) * 100 + minute(ts) AS INTEGER) AS h FROM events WHERE event_type = 'purchase')
@@ -235,19 +250,23 @@ ORACLE_SQL: dict[str, str] = {
     "q1_df": _q1_sql("ROW_NUMBER", ", month ASC"),
     "q1_sql": _q1_sql("ROW_NUMBER", ", month ASC"),
     "q1_rank_ties": _q1_sql("RANK", ""),
+    "q1_two_files": _q1_sql("ROW_NUMBER", ", month ASC"),
+    "q1_csv": _q1_sql("ROW_NUMBER", ", month ASC"),
     "q2_day_segments": _Q2,
     "q2_pairs": _Q2,
+    "q2_csv": _Q2,
     "q3_top": _q3_sql(True),
     "q3_bottom": _q3_sql(False),
     "q3_top_broadcast": _q3_sql(True),
     "q3_top_shuffle_hash": _q3_sql(True),
     "q3_top_merge": _q3_sql(True),
-    "q3_both": (
-        f"SELECT 'highest' AS tag, * FROM ({_q3_sql(True)}) "
-        f"UNION ALL SELECT 'lowest' AS tag, * FROM ({_q3_sql(False)})"
-    ),
+    "q3_top_merge_all": _q3_sql(True),
+    "q3_top_mixed": _q3_sql(True),
+    "q3_bottom_mixed": _q3_sql(False),
+    "q3_both": _Q3_BOTH,
+    "q3_dedupe_first": _Q3_BOTH,
     "q4_mean_distance": _q4_sql(),
-    "scan_parquet": "SELECT * FROM nation",
+    "scan_parquet": "SELECT * FROM lineitem",
     "scan_csv": """
         SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
                o_orderstatus, o_orderpriority
@@ -257,6 +276,12 @@ ORACLE_SQL: dict[str, str] = {
         FROM customer""",
     "convert_parquet": "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand FROM part",
     "sink_csv": "SELECT CAST(event_id AS VARCHAR) AS event_id, event_type FROM events",
+    "sink_csv_awkward": """
+        SELECT CAST(event_id AS VARCHAR) AS event_id,
+               CASE event_id % 5 WHEN 0 THEN '  ' || event_type || ' '
+                                 WHEN 1 THEN 'say "' || event_type || '", \\'
+                                 WHEN 2 THEN '' WHEN 3 THEN event_type END AS text
+        FROM events""",
     "table_count": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows FROM {t}" for t in TABLES
     ),
@@ -271,13 +296,13 @@ ORACLE_SQL: dict[str, str] = {
     "project_columns": "SELECT l_orderkey, l_partkey, l_quantity FROM lineitem",
     "distinct_values": "SELECT DISTINCT c_mktsegment FROM customer",
     "union_positional": f"""
-        SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders WHERE o_orderdate < TIMESTAMP '{SPLIT_DATE}'
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders WHERE {EARLY}
         UNION ALL
-        SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '{SPLIT_DATE}'""",
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders WHERE NOT {EARLY}""",
     "union_by_name": f"""
-        SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders WHERE o_orderdate < TIMESTAMP '{SPLIT_DATE}'
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders WHERE {EARLY}
         UNION ALL BY NAME
-        SELECT o_orderdate, o_orderstatus, o_custkey, o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '{SPLIT_DATE}'""",
+        SELECT o_orderdate, o_orderstatus, o_custkey, o_orderkey FROM orders WHERE NOT {EARLY}""",
     "filter_equal": "SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase'",
     "filter_not_equal_null": f"SELECT o_orderkey, status FROM {_STATUS_NULLS} WHERE status <> 'F'",
     "filter_not_null": f"SELECT o_orderkey, status FROM {_STATUS_NULLS} WHERE status IS NOT NULL",
@@ -286,6 +311,7 @@ ORACLE_SQL: dict[str, str] = {
     "filter_range": f"""
         SELECT c_custkey, CAST(code AS INTEGER) AS code FROM {_CUSTOMER_CODES}
         WHERE CAST(code AS INTEGER) >= 100 AND CAST(code AS INTEGER) < 200""",
+    "filter_range_native": "SELECT c_custkey, c_nationkey FROM customer WHERE c_custkey >= 100 AND c_custkey < 200",
     "join_inner": """
         SELECT c.c_custkey, c.c_nationkey AS nationkey, n.n_name
         FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""",

@@ -4,7 +4,7 @@ Usage: ``python -m blotter.plans.report <sf_dir> <out.md> [key ...]``
 
 For each query: the operator tree Spark plans (before adaptive changes),
 the scans' pushed filters and read schemas, and, from the event log of one
-run, jobs, tasks, task time, input and shuffle bytes.
+run, jobs, tasks, task time and shuffle bytes.
 """
 
 from __future__ import annotations
@@ -88,7 +88,7 @@ def main(argv: list[str]) -> int:
         if v:
             lines.append(
                 f"* jobs {v['jobs']}, tasks {v['tasks']}, task time {v['task_ms']} ms, "
-                f"input {v['input_bytes']} B, shuffle written {v['shuffle_write_bytes']} B"
+                f"shuffle written {v['shuffle_write_bytes']} B"
             )
         lines.append("")
     with open(out_path, "w", encoding="utf-8") as fh:

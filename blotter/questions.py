@@ -11,6 +11,8 @@ Q4  station_distance       per division: incidents in a code range and their
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from blotter.functions.text import join_key
 from blotter.functions.time import REPORT_FORMAT, month_of, parse_timestamp, year_of
 from blotter.operators.aggregates import avg_and_count, count_by, sum_ones_by
 from blotter.operators.filters import where_contains, where_not_equal, where_not_null
-from blotter.operators.joins import join_normalised
+from blotter.operators.joins import STRATEGIES, join_normalised, join_with_strategy
 from blotter.operators.ordering import bottom_k, sort_result, top_k
 from blotter.operators.setops import union_positional
 from blotter.operators.windows import top_n_per_group
@@ -116,6 +118,22 @@ def day_segment_counts(
 
 # --------------------------------------------------------------------- Q3
 
+GROUPS = ("highest", "lowest")
+Q3_JOINS = ("zips", "places", "codes")
+
+
+def _join_strategies(strategy: str | Mapping[str, str | None] | None) -> dict[str, str | None]:
+    """One strategy per join of Q3; a single name covers the fact and code joins."""
+    if strategy is None or isinstance(strategy, str):
+        strategy = {"places": strategy, "codes": strategy if strategy != "broadcast" else None}
+    if set(strategy) - set(Q3_JOINS):
+        raise ValueError(f"strategies are given for {Q3_JOINS}")
+    for name in strategy.values():
+        if name is not None and name not in STRATEGIES:
+            raise ValueError(f"unknown join strategy {name!r}; use one of {STRATEGIES}")
+    return {join: strategy.get(join) for join in Q3_JOINS}
+
+
 def income_zips(
     incomes: DataFrame,
     k: int = 3,
@@ -123,8 +141,9 @@ def income_zips(
     community_col: str = "Community",
     income_col: str = "Estimated Median Income",
     community: str | None = "Los Angeles",
+    groups: Sequence[str] = GROUPS,
 ) -> DataFrame:
-    """The k richest (tag ``highest``) and k poorest (``lowest``) zip codes.
+    """The k richest (tag ``highest``) and k poorest (``lowest``) zip codes, or one of the two groups.
 
     Income text such as ``'$61,201'`` is parsed natively.  At most ``2k`` rows,
     so the result is safe to broadcast.
@@ -133,9 +152,12 @@ def income_zips(
     if community is not None:
         parsed = where_contains(parsed, community_col, community)
     parsed = parsed.select(zip_col, "__income")
-    high = top_k(parsed, "__income", k, tie=zip_col).select(zip_col, F.lit("highest").alias("tag"))
-    low = bottom_k(parsed, "__income", k, tie=zip_col).select(zip_col, F.lit("lowest").alias("tag"))
-    return high.unionByName(low)
+    if not groups or set(groups) - set(GROUPS):
+        raise ValueError(f"groups must be some of {GROUPS}")
+    pick = {"highest": top_k, "lowest": bottom_k}
+    return union_positional(
+        *[pick[g](parsed, "__income", k, tie=zip_col).select(zip_col, F.lit(g).alias("tag")) for g in groups]
+    )
 
 
 def descent_breakdown(
@@ -154,7 +176,8 @@ def descent_breakdown(
     community: str | None = "Los Angeles",
     code_text_col: str = "Vict Descent text",
     key_determines_zip: bool = False,
-    strategy: str | None = None,
+    strategy: str | Mapping[str, str | None] | None = None,
+    groups: Sequence[str] = GROUPS,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Victims by descent in the k richest and k poorest zip codes.
@@ -162,6 +185,7 @@ def descent_breakdown(
     Result: ``tag`` (highest / lowest), ``victim descent``, ``total victims``,
     most first.  Both groups come from one pass over the facts: the 2k zip
     codes are tagged, the facts are joined once and counted per (tag, code).
+    ``groups`` leaves one of them out of all the work.
 
     ``places`` maps (lat, lon) text to a zip code; one row per (lat, lon) is
     kept.  When the zip code is a function of (lat, lon)
@@ -171,18 +195,19 @@ def descent_breakdown(
     shared scratch folder; when they pass the size check they are broadcast
     and the facts are never shuffled.
 
-    ``strategy`` forces one join strategy on the facts ⋈ places and
-    counts ⋈ codes joins (``'broadcast'`` still only within the size bound,
-    else sort-merge; ``'shuffle_hash'``; ``'merge'``).  The join of places
-    with the 2k chosen zips is always a broadcast of those zips.
+    ``strategy`` forces a join strategy: one name for the facts ⋈ places and
+    counts ⋈ codes joins, or a mapping with a name per join (``'zips'``:
+    places ⋈ chosen zips, ``'places'``, ``'codes'``).  ``'broadcast'`` of
+    places or codes raises beyond the size bound.  The chosen zips, at most
+    2k rows, are broadcast unless another strategy is given for them.
     """
-    if strategy not in (None, "broadcast", "shuffle_hash", "merge"):
-        raise ValueError(f"unknown join strategy {strategy!r}")
-    zips = income_zips(incomes, k, zip_col, community_col, income_col, community)
+    chosen_by = _join_strategies(strategy)
+    zips = income_zips(incomes, k, zip_col, community_col, income_col, community, groups)
+    zips = zips.hint(chosen_by["zips"] or "broadcast")
     keyed = places.select(lat_col, lon_col, zip_col)
     if key_determines_zip:
         # one zip per (lat, lon): tag first, then a plain hash distinct
-        chosen = keyed.join(F.broadcast(zips), zip_col).select(lat_col, lon_col, "tag").distinct()
+        chosen = keyed.join(zips, zip_col).select(lat_col, lon_col, "tag").distinct()
     else:
         # several zips for one coordinate: the smallest counts, whatever the row order
         unique = (
@@ -190,20 +215,19 @@ def descent_breakdown(
             .agg(F.min(F.struct(zip_col, lat_col, lon_col)).alias("__row"))
             .select("__row.*")
         )
-        chosen = unique.join(F.broadcast(zips), zip_col).select(lat_col, lon_col, "tag")
+        chosen = unique.join(zips, zip_col).select(lat_col, lon_col, "tag")
     # Computed once and written to the shared scratch folder; the size
     # observed while writing decides whether the places are broadcast.
     chosen, n_places, places_bytes = materialise(chosen, "q3-places")
     small = n_places <= max_broadcast_rows and places_bytes <= DEFAULT_BROADCAST_BYTES
-    broadcast_places = strategy in (None, "broadcast") and small
-    if broadcast_places:
+    if chosen_by["places"] == "broadcast" and not small:
+        raise ValueError("the chosen places are beyond the broadcast bound; choose another strategy or None")
+    if chosen_by["places"] is not None:
+        chosen = chosen.hint(chosen_by["places"])
+    elif small:
         # places go to every task: facts are joined where they are read and
         # only partial counts per (group, code) are shuffled
         chosen = F.broadcast(chosen)
-    elif strategy in ("shuffle_hash", "merge"):
-        chosen = chosen.hint(strategy)
-    elif strategy == "broadcast":
-        chosen = chosen.hint("merge")  # beyond the broadcast bound
     # Without a broadcast the facts are shuffled once on (lat, lon); AQE splits
     # a place holding a large share of them.  (Counting per (lat, lon, code)
     # first was measured: with few repeats per place it adds a second shuffle
@@ -211,11 +235,11 @@ def descent_breakdown(
     victims = where_not_null(facts.select(lat_col, lon_col, descent_col), descent_col)
     joined = victims.join(chosen, [lat_col, lon_col])
     counts = count_by(joined, ["tag", descent_col], "total victims")
-    # the code table is small; the planner broadcasts it on its size statistics
+    # without a strategy the planner broadcasts the code table on its size statistics
     code_texts = codes.select(descent_col, code_text_col)
-    if strategy in ("shuffle_hash", "merge"):
-        code_texts = code_texts.hint(strategy)
-    decoded = counts.join(code_texts, descent_col)
+    decoded = join_with_strategy(
+        counts, code_texts, descent_col, chosen_by["codes"], max_broadcast_rows=max_broadcast_rows
+    )
     result = decoded.select("tag", F.col(code_text_col).alias("victim descent"), "total victims")
     return sort_result(result, ["tag", F.col("total victims").desc(), F.col("victim descent").asc()])
 
@@ -253,7 +277,7 @@ def station_distance(
 
     ``station_strategy=None`` lets the planner broadcast the station table
     from its size statistics (a few kilobytes of Parquet); ``'broadcast'``
-    adds an explicit row-count check with a sort-merge fallback.
+    adds an explicit size check and raises beyond it.
     """
     facts = incidents
     if area_name_col and exclude_area_name is not None:

@@ -36,3 +36,9 @@ def test_q4_distance_chain_is_fused_into_generated_code(spark):
     assert len(projects) > 10
     assert all("*(" in ln for ln in projects), "a projection fell out of whole-stage codegen"
     assert "BatchEvalPython" not in physical_section(df)
+
+
+def test_range_on_a_stored_number_reaches_the_scan(spark):
+    text = plan_text(QUERIES["filter_range_native"](spark, SF01))
+    pushed = next(line for line in text.splitlines() if "PushedFilters" in line)
+    assert "GreaterThanOrEqual(c_custkey,100)" in pushed and "LessThan(c_custkey,200)" in pushed

@@ -1,5 +1,6 @@
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from blotter.functions import to_int
@@ -197,6 +198,45 @@ def test_q3_join_strategies_agree_and_are_planned(spark):
         assert plan[:2] == [node, node], (strategy, plan)
 
 
+def test_q3_takes_one_strategy_per_join(spark):
+    from blotter.plans import join_strategies
+
+    facts, places, incomes, codes = _q3_fixture(spark)
+    base = sorted(map(tuple, descent_breakdown(facts, places, incomes, codes).collect()))
+    mixed = {"zips": "broadcast", "places": "shuffle_hash", "codes": "broadcast"}
+    out = descent_breakdown(facts, places, incomes, codes, strategy=mixed)
+    assert sorted(map(tuple, out.collect())) == base
+    assert join_strategies(out)[:2] == ["BroadcastHashJoin", "ShuffledHashJoin"]
+    merged = descent_breakdown(facts, places, incomes, codes, strategy=dict.fromkeys(mixed, "merge"))
+    assert sorted(map(tuple, merged.collect())) == base
+    assert join_strategies(merged)[:2] == ["SortMergeJoin", "SortMergeJoin"]
+    with pytest.raises(ValueError):
+        descent_breakdown(facts, places, incomes, codes, strategy={"facts": "merge"})
+    with pytest.raises(ValueError):
+        descent_breakdown(facts, places, incomes, codes, strategy={"zips": "shuffle_replicate_nl"})
+
+
+def test_q3_broadcast_raises_past_its_bound(spark):
+    facts, places, incomes, codes = _q3_fixture(spark)
+    with pytest.raises(ValueError):
+        descent_breakdown(facts, places, incomes, codes, strategy="broadcast", max_broadcast_rows=0)
+
+
+@pytest.mark.parametrize("group", ["highest", "lowest"])
+def test_q3_one_group_equals_that_part_of_both(spark, group):
+    facts, places, incomes, codes = _q3_fixture(spark)
+    both = descent_breakdown(facts, places, incomes, codes).collect()
+    alone = descent_breakdown(facts, places, incomes, codes, groups=[group]).collect()
+    assert sorted(map(tuple, alone)) == sorted(tuple(r) for r in both if r["tag"] == group)
+
+
+def test_q1_counts_undated_rows_of_both_files(spark):
+    old = spark.createDataFrame([("02/03/2011 01:00:00 PM",), (None,)], "`DATE OCC` string")
+    new = spark.createDataFrame([("02/04/2011 01:00:00 AM",), (None,)], "`DATE OCC` string")
+    rows = {(r["year"], r["month"]): r["crime_total"] for r in peak_months(old, new).collect()}
+    assert rows == {(2011, 2): 2, (None, None): 2}
+
+
 def test_q3_with_no_matching_community_is_empty(spark):
     facts, places, incomes, codes = _q3_fixture(spark)
     out = descent_breakdown(facts, places, incomes, codes, community="Nowhere")
