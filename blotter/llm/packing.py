@@ -50,9 +50,9 @@ class WordEncoder:
         self._tokenizer = Tokenizer.from_str(definition)
         self._ids: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
+    def encode(self, texts: list[bytes], cache_words: int = CACHE_WORDS) -> list[bytes]:
         split = [t.lower().split() for t in texts]  # the tokenizer is lower case; six ASCII white-space bytes
-        if len(self._ids) > CACHE_WORDS:
+        if len(self._ids) > cache_words:
             self._ids.clear()
         ids = self._ids
         new = [w for w in set().union(*split) if w not in ids]
@@ -170,7 +170,9 @@ class SumOfSquares:
         return out
 
 
-def _pack_partition(definition: str, end_id: int, size: int, id_type: pa.DataType, id_col: str):
+def _pack_partition(
+    definition: str, end_id: int, size: int, id_type: pa.DataType, id_col: str, cache_words: int
+):
     names = [id_col, *COLUMNS]
 
     def table(rows: list[tuple]) -> pa.RecordBatch:
@@ -198,7 +200,7 @@ def _pack_partition(definition: str, end_id: int, size: int, id_type: pa.DataTyp
             ids_of = batch.column(0).to_pylist()
             texts = as_bytes(batch.column(1))
             for k in range(0, len(texts), 256):
-                for doc, ids in zip(ids_of[k : k + 256], encoder.encode(texts[k : k + 256])):
+                for doc, ids in zip(ids_of[k : k + 256], encoder.encode(texts[k : k + 256], cache_words)):
                     ids += end
                     emit(packer.add((doc, len(ids) // 4), 0, ids))
                 if len(rows) >= ROWS_OUT:
@@ -218,6 +220,7 @@ def pack(
     text_col: str = "text",
     end_id: int = 2,
     size: int = 4096,
+    cache_words: int = CACHE_WORDS,
 ) -> DataFrame:
     """One row per piece: id, ``start`` and ``length`` in the document's ids,
     ``ids_crc32``, ``doc_tokens``, ``sequence_id`` and ``offset`` therein.
@@ -225,6 +228,7 @@ def pack(
     The tokenizer's definition is read once on the driver and sent along
     (its size is that of one vocabulary file).  ``sequence_id`` is the task's
     number times 2**32 plus a running number, the same when a task runs again.
+    ``cache_words`` trades a task's memory against time; the rows are the same.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -233,5 +237,5 @@ def pack(
     id_type = df.schema[id_col].dataType
     schema = StructType([StructField(id_col, id_type), *(StructField(c, LongType()) for c in COLUMNS)])
     return df.select(ref(id_col), ref(text_col).cast("string")).mapInArrow(
-        _pack_partition(definition, end_id, size, to_arrow_type(id_type), id_col), schema
+        _pack_partition(definition, end_id, size, to_arrow_type(id_type), id_col, cache_words), schema
     )

@@ -100,7 +100,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packing.pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(_documents(spark, sf_dir), path, cache_words=1_000_000)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
