@@ -29,15 +29,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from blotter.llm.columns import ref
 from blotter.llm.kernels import as_bytes
 
 CACHE_WORDS = 250_000
-ROWS_OUT = 8192
+BYTES_OUT = 8 << 20
 
-COLUMNS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+COLUMNS = ("start", "length", "ids", "doc_tokens", "sequence_id", "offset")
 
 
 class WordEncoder:
@@ -106,11 +106,12 @@ class SumOfSquares:
 
     def add(self, doc: int, start: int, ids: bytes) -> list[list[tuple]]:
         full = []
-        n, step = len(ids) // 4, self.size * 4
-        while n >= self.size:
-            full.append([(doc, start, ids[:step])])
-            ids, start, n = ids[step:], start + self.size, n - self.size
+        n, step = len(ids) // 4 % self.size, self.size * 4
+        whole = len(ids) - 4 * n
+        for a in range(0, whole, step):
+            full.append([(doc, start + a // 4, ids[a : a + step])])
         if n:
+            start, ids = start + whole // 4, ids[whole:]
             level = self.level_for(n)
             if level:
                 window = self.open[level].pop()
@@ -177,23 +178,25 @@ def _pack_partition(
 
     def table(rows: list[tuple]) -> pa.RecordBatch:
         cols = list(zip(*rows))
-        arrays = [pa.array(cols[0], id_type), *(pa.array(c, pa.int64()) for c in cols[1:])]
+        kinds = [pa.binary() if c == "ids" else pa.int64() for c in COLUMNS]
+        arrays = [pa.array(c, k) for c, k in zip(cols, [id_type, *kinds])]
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(definition)
         end = np.array([end_id], dtype="<u4").tobytes()
         first = TaskContext.get().partitionId() << 32  # sequence ids of this task start here
-        packer, made, rows = SumOfSquares(size), 0, []
+        packer, made, rows, held = SumOfSquares(size), 0, [], 0
 
         def emit(windows: list[list[tuple]]) -> None:
-            nonlocal made
+            nonlocal made, held
             for window in windows:
                 offset = 0
                 for (doc, total), start, ids in window:
                     n = len(ids) // 4
-                    rows.append((doc, start, n, zlib.crc32(ids), total, first + made, offset))
+                    rows.append((doc, start, n, ids, total, first + made, offset))
                     offset += n
+                    held += len(ids) + 64
                 made += 1
 
         for batch in batches:
@@ -203,12 +206,13 @@ def _pack_partition(
                 for doc, ids in zip(ids_of[k : k + 256], encoder.encode(texts[k : k + 256], cache_words)):
                     ids += end
                     emit(packer.add((doc, len(ids) // 4), 0, ids))
-                if len(rows) >= ROWS_OUT:
-                    yield table(rows)
-                    rows.clear()
+                    if held >= BYTES_OUT:
+                        yield table(rows)
+                        rows.clear()
+                        held = 0
         emit(packer.close())
-        if rows:
-            yield table(rows)
+        for a in range(0, len(rows), BYTES_OUT // (4 * size) + 1):
+            yield table(rows[a : a + BYTES_OUT // (4 * size) + 1])
 
     return run
 
@@ -223,7 +227,8 @@ def pack(
     cache_words: int = CACHE_WORDS,
 ) -> DataFrame:
     """One row per piece: id, ``start`` and ``length`` in the document's ids,
-    ``ids_crc32``, ``doc_tokens``, ``sequence_id`` and ``offset`` therein.
+    the piece's ``ids`` (little-endian unsigned 32-bit), ``doc_tokens``,
+    ``sequence_id`` and ``offset`` therein.
 
     The tokenizer's definition is read once on the driver and sent along
     (its size is that of one vocabulary file).  ``sequence_id`` is the task's
@@ -235,7 +240,7 @@ def pack(
     with open(tokenizer_path, encoding="utf-8") as f:
         definition = f.read()
     id_type = df.schema[id_col].dataType
-    schema = StructType([StructField(id_col, id_type), *(StructField(c, LongType()) for c in COLUMNS)])
+    schema = StructType([StructField(id_col, id_type), *(StructField(c, BinaryType() if c == "ids" else LongType()) for c in COLUMNS)])
     return df.select(ref(id_col), ref(text_col).cast("string")).mapInArrow(
         _pack_partition(definition, end_id, size, to_arrow_type(id_type), id_col, cache_words), schema
     )

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from blotter.llm import exact_dedup, mixing, ngram_join, packing, quality
 from blotter.llm.columns import ref
@@ -44,8 +45,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences."""
-    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
+    """Pieces of token sequences, with a checksum of each."""
+    pieces = packing.pack(docs, public_tokenizers.path(TOKENIZER))
+    return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [

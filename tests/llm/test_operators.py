@@ -506,7 +506,7 @@ def check_pieces(rows, pieces, size=4096):
     for p in pieces:
         cut = slice(p["start"], p["start"] + p["length"])
         assert any(
-            len(x) == p["doc_tokens"] and zlib.crc32(x[cut].tobytes()) == p["ids_crc32"] for x in by_doc[p["doc_id"]]
+            len(x) == p["doc_tokens"] and x[cut].tobytes() == bytes(p["ids"]) for x in by_doc[p["doc_id"]]
         )
     sequences = collections.defaultdict(list)
     for p in pieces:
@@ -525,6 +525,34 @@ def test_packing(docs, empty):
     assert packing.pack(empty, TOKENIZER).count() == 0
 
 
+def test_packing_query_digests(spark):
+    from tokenizers import Tokenizer
+
+    from blotter.llm.queries import op10_packing
+
+    sf = "/root/testdata/sf0.001"
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    ids = {}
+    for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect():
+        ids[r["doc_id"]] = np.array(tokenizer.encode(_text(r["text"]), add_special_tokens=False).ids + [2], dtype="<u4")
+    covered = collections.Counter()
+    for p in _rows(op10_packing(spark, sf)):
+        whole = ids[p["doc_id"]]
+        part = whole[p["start"] : p["start"] + p["length"]]
+        assert (p["doc_tokens"], p["length"], p["ids_crc32"]) == (len(whole), len(part), zlib.crc32(part.tobytes()))
+        covered[p["doc_id"]] += p["length"]
+    assert covered == {k: len(v) for k, v in ids.items()}
+
+
+def test_whole_windows_of_a_long_document():
+    packer = packing.SumOfSquares(8)
+    ids = np.arange(8 * 5 + 3, dtype="<u4").tobytes()
+    full = packer.add("d", 0, ids)
+    assert [(w[0][1], w[0][2]) for w in full] == [(8 * k, ids[32 * k : 32 * k + 32]) for k in range(5)]
+    assert packer.open[3] == [[("d", 40, ids[160:])]] and packer.counts.sum() == 1
+    assert packer.add("e", 0, ids[:32]) == [[("e", 0, ids[:32])]] and packer.counts.sum() == 1
+
+
 def test_sum_of_squares_choice():
     rng = np.random.default_rng(2)
     packer = packing.SumOfSquares(64)
