@@ -11,8 +11,8 @@ are powers of two, which need no padding.
 
 Token ids are looked up word by word: the tokenizer drops white space and
 never joins across it, so a text's ids are those of its words in a row.
-Words are cached (``CACHE_WORDS`` at most, then the cache starts anew), only
-unseen ones are tokenised.
+Words are cached (``CACHE_WORDS`` at most, those in use stay), only unseen ones
+are tokenised.
 
 Defined results: a null or empty text is the end id alone; repeated rows and
 repeated ids are packed as separate documents; a null id is kept; an empty
@@ -22,6 +22,7 @@ table gives no rows; further columns do not matter.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -36,40 +37,101 @@ from blotter.llm.kernels import as_bytes
 
 CACHE_WORDS = 250_000
 BYTES_OUT = 8 << 20
+_STOPS = frozenset((b",", b"."))
+_LETTERS = re.compile("[a-z\u00e0-\u00f6\u00f8-\u00ff]+").fullmatch  # lower-case, without combining marks
 
 COLUMNS = ("start", "length", "ids", "doc_tokens", "sequence_id", "offset")
 
 
 class WordEncoder:
-    """Ids of a text as little-endian unsigned 32-bit bytes, through a word cache."""
+    """Ids of a text as little-endian unsigned 32-bit bytes, through a word cache.
+
+    The cache has two halves: words are looked up in the young one, moved
+    there from the old one or added to it; a full young half becomes the old
+    one.  So words in use stay and at most ``cache_words`` and one batch are held.
+    """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(definition)
-        self._ids: dict[bytes, bytes] = {}
+        self._young: dict[bytes, bytes] = {}
+        self._old: dict[bytes, bytes] = {}
+        self._bar = int(self._ids_of("|")[0])
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self._ends[[k for piece, k in vocabulary.items() if piece.endswith("</w>")]] = True
 
     def encode(self, texts: list[bytes], cache_words: int = CACHE_WORDS) -> list[bytes]:
         split = [t.lower().split() for t in texts]  # the tokenizer is lower case; six ASCII white-space bytes
-        if len(self._ids) > cache_words:
-            self._ids.clear()
-        ids = self._ids
-        new = [w for w in set().union(*split) if w not in ids]
-        # a last comma or full stop after a letter or digit is a word of its own to the tokenizer
-        ended = {w: w[:-1] for w in new if len(w) > 1 and w[-1:] in b",." and w[-2] < 128 and w[-2:-1].isalnum()}
-        plain = {ended.get(w, w) for w in new}.union((b",", b"."))
-        self._add([w for w in plain if w not in ids])
-        for w, body in ended.items():
-            ids[w] = ids[body] + ids[w[-1:]]
-        return [b"".join([ids[w] for w in s]) for s in split]
+        if 2 * len(self._young) > cache_words:
+            self._old, self._young = self._young, {}
+        out = []
+        for words in split:
+            found = list(map(self._young.get, words))
+            missing = [k for k, ids in enumerate(found) if ids is None]
+            out.append((words, found, missing))
+        self._learn({words[k] for words, _, missing in out for k in missing})
+        ids = self._young
+        for words, found, missing in out:
+            for k in missing:
+                found[k] = ids[words[k]]
+        return [b"".join(found) for _, found, _ in out]
+
+    def _learn(self, new: set[bytes]) -> None:
+        young, old = self._young, self._old
+        fresh, ended = set(), []
+        for w in new:
+            # a last comma or full stop after a letter or digit is a word of its own to the tokenizer
+            if w[-1:] in _STOPS and len(w) > 1 and w[-2] < 128 and w[-2:-1].isalnum():
+                ended.append(w)
+                fresh.add(w[:-1])
+            else:
+                fresh.add(w)
+        fresh.update(_STOPS)
+        unseen = []
+        for w in fresh:
+            if w not in young:
+                ids = old.get(w)
+                if ids is None:
+                    unseen.append(w)
+                else:
+                    young[w] = ids
+        self._add(unseen)
+        for w in ended:
+            young[w] = young[w[:-1]] + young[w[-1:]]
+
+    def _ids_of(self, text: str) -> np.ndarray:
+        found = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        return np.array(found.ids, dtype="<u4")
 
     def _add(self, words: list[bytes]) -> None:
-        for k in range(0, len(words), 4096):
-            part = words[k : k + 4096]
-            found = self._tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for w, e in zip(part, found):
-                self._ids[w] = np.array(e.ids, dtype="<u4").tobytes()
+        """Tokenises words many at a time.
+
+        A word of letters is one piece to the tokenizer and its last id ends a
+        piece; other words have a bar between, those with a bar go one by one.
+        """
+        letters, others, barred = [], [], []
+        for w in words:
+            (letters if _LETTERS(w.decode()) else barred if b"|" in w else others).append(w)
+        for part, ids in self._joined(letters, b" "):
+            self._keep(part, ids, 0, np.flatnonzero(self._ends[ids]) + 1)
+        for part, ids in self._joined(others, b" | "):
+            self._keep(part, ids, 1, np.flatnonzero(ids == self._bar))
+        for w in barred:
+            self._young[w] = self._ids_of(w.decode()).tobytes()
+
+    def _joined(self, words: list[bytes], mark: bytes) -> Iterator[tuple[list[bytes], np.ndarray]]:
+        for k in range(0, len(words), 2048):
+            part = words[k : k + 2048]
+            yield part, self._ids_of((mark.join(part) + mark).decode())
+
+    def _keep(self, words: list[bytes], ids: np.ndarray, skip: int, stops: np.ndarray) -> None:
+        starts = np.concatenate([[0], stops[:-1] + skip])
+        raw, young = ids.tobytes(), self._young
+        for w, a, b in zip(words, (4 * starts).tolist(), (4 * stops).tolist(), strict=True):
+            young[w] = raw[a:b]
 
 
 _encoders: dict[int, WordEncoder] = {}

@@ -101,7 +101,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    pieces = packing.pack(_documents(spark, sf_dir), path, cache_words=1_000_000)
+    pieces = packing.pack(_documents(spark, sf_dir), path, cache_words=2_000_000)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 

@@ -571,3 +571,18 @@ def test_sum_of_squares_choice():
         options = [h for h in range(64 - n + 1) if not h or counts[h]]
         assert after(packer.level_for(n)) == min(after(h) for h in options)
         packer.add(0, 0, bytes(4 * n))
+
+
+def test_word_cache_equals_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    texts = [_text(t) for t in TEXTS.values()] * 2
+    texts += ["a|b | || <|endoftext|> |", "don't I'll, x., 3.14, $$$, é, ÷ İstanbul é naïve. ﬁne,   \x85z", ",", "., ,."]
+    with open(TOKENIZER, encoding="utf-8") as f:
+        encoder = packing.WordEncoder(f.read())
+    for cache in (0, 20, 10_000):
+        for k in range(0, len(texts), 3):
+            for text, got in zip(texts[k : k + 3], encoder.encode([t.encode() for t in texts[k : k + 3]], cache)):
+                want = tokenizer.encode(text, add_special_tokens=False).ids
+                assert np.frombuffer(got, "<u4").tolist() == want
