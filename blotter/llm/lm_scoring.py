@@ -5,15 +5,17 @@ not 2) and score every document.
 
 * Counts.  One pass over the texts counts, in every task, words (by a 64-bit
   hash) and byte strings of ``DEPTH`` + 1 symbols; the pre-aggregated counts
-  are summed by a shuffle.  They grow with the corpus.
-* Suffix tree.  Contexts of up to ``DEPTH`` symbols that make up at least
-  ``LEAST_SHARE`` of the training symbols, hence at most
-  (DEPTH + 1) / LEAST_SHARE of them, go through divergence tests
-  (:func:`blotter.llm.suffix_tree.build`).  The tree's size is bounded by that
-  parameter whatever the size of the corpus, so it is built on the driver and
-  broadcast.
+  are dealt out and summed.  They grow with the corpus.
+* Suffix tree.  Every context of up to ``DEPTH`` symbols that occurs at least
+  ``LEAST`` times goes through divergence tests, at any size of the corpus
+  (:func:`blotter.llm.suffix_tree.retain`).  Contexts are dealt by their latest
+  three symbols, so a context lies with its parent.  The tree grows with the
+  corpus too.
 * Scoring.  One more pass computes the score of each text from the longest
-  suffix state at every symbol.  For the baseline, words that make up at
+  retained context at every symbol.  A tree of at most ``most_entries`` entries
+  is broadcast; of a larger one only the counts of three symbols are (at most
+  256 ** 3), and the texts' byte strings leave the task as postings to the
+  shards of the tree, as the words do.  For the baseline, words that make up at
   least 1 / FREQUENT of all tokens (so at most FREQUENT of them) are broadcast
   with their counts; the others leave the task as postings (word, document),
   dealt by word to where the counts lie, and come back as sums per document.
@@ -54,11 +56,14 @@ from blotter.llm.columns import ref
 from blotter.plans.guards import materialise
 
 DEPTH = 5
-LEAST_SHARE = 5e-6
+LEAST = 2  # occurrences of a context, whatever the size of the corpus
 GAIN = 0.01  # nats
 STRENGTH = 20.0
 FREQUENT = 1 << 16
+MOST_ENTRIES = 1 << 24  # of a broadcast tree, 12 bytes each
+HELD_KEYS = 6 << 20  # distinct byte strings a counting task holds
 BATCH_BYTES = 2 << 20
+SCORED_BYTES = 8 << 20  # equal byte strings of so much text are looked up once
 BLOCK_BYTES = 24 << 20
 
 
@@ -89,70 +94,147 @@ class _Counter:
         self.keys, self.counts, self.pending = keys, counts, []
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(kind, key, count): kind 0 are words, kind 1 byte strings."""
-    words, strings = _Counter(), _Counter()
-    for batch in batches:
-        for _, texts in kernels.slices(kernels.as_bytes(batch.column(0)), BATCH_BYTES):
-            data, ends = kernels.flatten(texts)
-            starts, stops, _ = kernels.word_spans(data, ends)
-            words.add(kernels.word_hashes(kernels.lower_ascii(data), starts, stops).view(np.int64))
-            symbols, begins = suffix_tree.normalise(data, ends, DEPTH)
-            strings.add(suffix_tree.grams(symbols, suffix_tree.scored(begins, DEPTH), DEPTH))
-    for kind, held in enumerate((words, strings)):
-        held.merge()
-        for k in range(0, len(held.keys), 1 << 16):
-            keys, counts = held.keys[k : k + (1 << 16)], held.counts[k : k + (1 << 16)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(counts)],
-                names=["kind", "key", "n"],
-            )
+_COUNTS = StructType(
+    [StructField("bucket", IntegerType()), StructField("kind", IntegerType())]
+    + [StructField(c, BinaryType()) for c in ("keys", "counts")]
+)
+
+
+def _dealt(kind: int, held: _Counter, buckets: int) -> Iterator[pa.RecordBatch]:
+    held.merge()
+    bucket = suffix_tree.shard(held.keys.view(np.uint64), buckets) if kind else held.keys % buckets
+    order = np.argsort(bucket, kind="stable")
+    keys, counts = held.keys[order], held.counts[order].astype(np.uint32)
+    cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    some = np.flatnonzero(np.diff(cut))
+    for k in range(0, len(some), 64):
+        part = some[k : k + 64]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(part.astype(np.int32)),
+                pa.array(np.full(len(part), kind, np.int32)),
+                pa.array([keys[cut[x] : cut[x + 1]].tobytes() for x in part], pa.binary()),
+                pa.array([counts[cut[x] : cut[x + 1]].tobytes() for x in part], pa.binary()),
+            ],
+            names=_COUNTS.names,
+        )
+
+
+def _count(buckets: int):
+    """Packed counts per bucket: kind 0 are words, kind 1 byte strings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, strings = _Counter(), _Counter()
+        for batch in batches:
+            for _, texts in kernels.slices(kernels.as_bytes(batch.column(0)), BATCH_BYTES):
+                data, ends = kernels.flatten(texts)
+                starts, stops, _ = kernels.word_spans(data, ends)
+                words.add(kernels.word_hashes(kernels.lower_ascii(data), starts, stops).view(np.int64))
+                symbols, begins = suffix_tree.normalise(data, ends, DEPTH)
+                at = suffix_tree.scored(begins, DEPTH)
+                strings.add(suffix_tree.ordered_grams(symbols, at, DEPTH).view(np.int64))
+                if len(strings.keys) > HELD_KEYS:
+                    yield from _dealt(1, strings, buckets)
+                    strings = _Counter()
+                if len(words.keys) > HELD_KEYS:
+                    yield from _dealt(0, words, buckets)
+                    words = _Counter()
+        yield from _dealt(0, words, buckets)
+        yield from _dealt(1, strings, buckets)
+
+    return run
 
 
-def _levels(strings: DataFrame, total: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Counts of frequent contexts with their next symbol, per context length (bounded by LEAST_SHARE)."""
-    least = max(2.0, LEAST_SHARE * total)
-    out = []
-    level = strings
-    for d in range(DEPTH, -1, -1):
-        level = level.select(F.col("key").bitwiseAND(F.lit((1 << 8 * (d + 1)) - 1)).alias("key"), "n")
-        level, _, _ = materialise(level.groupBy("key").agg(F.sum("n").alias("n")), f"contexts{d}")
-        context = F.shiftright("key", 8)
-        frequent = (
-            level.groupBy(context.alias("context")).agg(F.sum("n").alias("all")).where(F.col("all") >= least)
+# kind -1: a word, its count and bucket; kind d >= 0: a bucket's entries of level d.
+_TRAINED = StructType(
+    [StructField("kind", IntegerType()), StructField("bucket", IntegerType())]
+    + [StructField(c, LongType()) for c in ("key", "n")]
+    + [StructField(c, BinaryType()) for c in ("keys", "counts")]
+)
+
+
+def _build(table: pa.Table) -> pa.Table:
+    """A bucket's words, and its shard of the tree."""
+    kind = table.column("kind").to_numpy()
+    bucket = table.column("bucket")[0].as_py()
+    parts = [table.filter(pa.array(kind == k)) for k in (0, 1)]
+    merged = []
+    for part, dtype in zip(parts, (np.int64, np.uint64)):
+        keys, counts = (part.column(c).to_pylist() for c in ("keys", "counts"))
+        merged.append(
+            suffix_tree.summed(
+                np.frombuffer(b"".join(keys), dtype), np.frombuffer(b"".join(counts), np.uint32).astype(np.int64)
+            )
         )
-        rows = level.withColumn("context", context).join(frequent, "context").select("key", "n").toArrow()
-        out.append((rows.column("key").to_numpy(), rows.column("n").to_numpy()))
-    return out[::-1]
+    (words, times), (grams, counts) = merged
+    levels = suffix_tree.retain(grams, counts, DEPTH, LEAST, GAIN, STRENGTH) if len(grams) else {}
+    none = [None] * len(words)
+    arrays = [
+        [-1] * len(words) + list(levels),
+        [bucket] * (len(words) + len(levels)),
+        words.tolist() + [None] * len(levels),
+        times.tolist() + [None] * len(levels),
+        none + [k.tobytes() for k, _ in levels.values()],
+        none + [n.astype(np.int64).tobytes() for _, n in levels.values()],
+    ]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    return pa.table({f: pa.array(v, k) for f, v, k in zip(_TRAINED.names, arrays, kinds)})
+
+
+def _levels(rows: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Entries with counts per level from the rows of one or more buckets."""
+    out = {}
+    kind = rows.column("kind").to_numpy()
+    for d in range(min(suffix_tree.LOW, DEPTH), DEPTH + 1):
+        part = rows.filter(pa.array(kind == d))
+        keys, counts = (b"".join(part.column(c).to_pylist()) for c in ("keys", "counts"))
+        out[d] = suffix_tree.summed(np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64))
+    return out
+
+
+def _text_scores(tree: suffix_tree.Tree, grams: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+    """The sum of log10 probabilities of each text; equal byte strings are looked up once."""
+    distinct, place = np.unique(grams, return_inverse=True)
+    return np.bincount(text, tree.log10(distinct)[place], n)
+
+
+def _posted(keys: list, doc: list, buckets: int, shard) -> tuple:
+    """Postings in the order of bucket and key: distinct keys, where each bucket's
+    postings and distinct keys begin, how often each key occurs, and the documents."""
+    keys, doc = (np.concatenate(x) if len(x) else np.zeros(0, np.int64) for x in (keys, doc))
+    order = np.argsort(keys, kind="stable")
+    keys, doc = keys[order], doc[order].astype(np.uint32)
+    bucket = shard(keys, buckets) if shard and len(keys) else keys.astype(np.int64) % buckets
+    order = np.argsort(bucket, kind="stable")
+    keys, doc, bucket = keys[order], doc[order], bucket[order]
+    head = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    times = np.diff(np.append(head, len(keys))).astype(np.uint32)
+    cut = np.searchsorted(bucket, np.arange(buckets + 1))
+    return keys[head], cut, np.searchsorted(bucket[head], np.arange(buckets + 1)), times, doc
 
 
 def _score(shared, id_type: pa.DataType, buckets: int):
     """Blocks of documents: one row with what is known here, and one row per bucket of rare words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, frequent, counts = shared.value
+        tree, _, frequent, counts = shared.value
         log_counts = np.log10(counts + 1.0)
         task = TaskContext.get().partitionId() << 24
         number = 0
         state: dict = {}
 
         def fresh() -> dict:
-            return {"ids": [], "tokens": [], "known": [], "base": [], "score": [], "hash": [], "doc": [], "bytes": 0, "n": 0}
+            lists = ("ids", "tokens", "known", "base", "score", "hash", "doc", "gram", "gram_doc")
+            return {c: [] for c in lists} | {"bytes": 0, "n": 0}
 
         def rows(s: dict, block: int) -> Iterator[pa.RecordBatch]:
-            h = np.concatenate(s["hash"])
-            doc = np.concatenate(s["doc"]).astype(np.uint32)
-            bucket = h % buckets
-            order = np.lexsort((h, bucket))
-            h, doc, bucket = h[order], doc[order], bucket[order]
-            head = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
-            times = np.diff(np.append(head, len(h))).astype(np.uint32)
+            h, cut, word_cut, times, doc = _posted(s["hash"], s["doc"], buckets, None)
+            g, gram_cut, g_cut, gram_times, gram_doc = _posted(s["gram"], s["gram_doc"], buckets, suffix_tree.shard)
             own = block % buckets
-            cut = np.searchsorted(bucket, np.arange(buckets + 1))
-            word_cut = np.searchsorted(bucket[head], np.arange(buckets + 1))
             for b in range(buckets):
                 w, d = slice(word_cut[b], word_cut[b + 1]), slice(cut[b], cut[b + 1])
-                if b != own and cut[b] == cut[b + 1]:
+                gw, gd = slice(g_cut[b], g_cut[b + 1]), slice(gram_cut[b], gram_cut[b + 1])
+                if b != own and cut[b] == cut[b + 1] and gram_cut[b] == gram_cut[b + 1]:
                     continue
                 here = [s[c] if b == own else None for c in ("ids", "tokens", "known", "base", "score")]
                 yield pa.RecordBatch.from_arrays(
@@ -165,9 +247,12 @@ def _score(shared, id_type: pa.DataType, buckets: int):
                         pa.array([here[2]], pa.list_(pa.int64())),
                         pa.array([here[3]], pa.list_(pa.float64())),
                         pa.array([here[4]], pa.list_(pa.float64())),
-                        pa.array([h[head[w]].tobytes()], pa.binary()),
+                        pa.array([h[w].tobytes()], pa.binary()),
                         pa.array([times[w].tobytes()], pa.binary()),
                         pa.array([doc[d].tobytes()], pa.binary()),
+                        pa.array([g[gw].tobytes()], pa.binary()),
+                        pa.array([gram_times[gw].tobytes()], pa.binary()),
+                        pa.array([gram_doc[gd].tobytes()], pa.binary()),
                     ],
                     names=_BLOCK_NAMES,
                 )
@@ -175,10 +260,19 @@ def _score(shared, id_type: pa.DataType, buckets: int):
         state = fresh()
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for first, texts in kernels.slices(kernels.as_bytes(batch.column(1)), BATCH_BYTES):
+            for first, texts in kernels.slices(kernels.as_bytes(batch.column(1)), SCORED_BYTES):
                 data, ends = kernels.flatten(texts)
                 symbols, begins = suffix_tree.normalise(data, ends, DEPTH)
-                state["score"] += automaton.log10(symbols, begins).tolist()
+                at = suffix_tree.scored(begins, DEPTH)
+                grams = suffix_tree.ordered_grams(symbols, at, DEPTH)
+                text = np.searchsorted(begins, at, side="right") - 1
+                if tree is None:
+                    state["score"] += [0.0] * len(texts)
+                    state["gram"].append(grams)
+                    state["gram_doc"].append((text + state["n"]).astype(np.uint32))
+                else:
+                    state["score"] += _text_scores(tree, grams, text, len(texts)).tolist()
+                del symbols, at, grams, text
                 starts, stops, doc = kernels.word_spans(data, ends)
                 h = kernels.word_hashes(kernels.lower_ascii(data), starts, stops).view(np.int64)
                 at = np.searchsorted(frequent, h)
@@ -193,7 +287,7 @@ def _score(shared, id_type: pa.DataType, buckets: int):
                 state["ids"] += ids[first : first + n]
                 state["n"] += n
                 state["bytes"] += len(data)
-                if state["bytes"] >= BLOCK_BYTES:
+                if state["bytes"] >= (SCORED_BYTES if tree is None else BLOCK_BYTES):
                     yield from rows(state, task + number)
                     state, number = fresh(), number + 1
         if state["n"]:
@@ -202,17 +296,39 @@ def _score(shared, id_type: pa.DataType, buckets: int):
     return run
 
 
-_BLOCK_NAMES = ["bucket", "block", "n", "ids", "tokens", "known", "base", "score", "hashes", "times", "docs"]
+_BLOCK_NAMES = ["bucket", "block", "n", "ids", "tokens", "known", "base", "score"]
+_BLOCK_NAMES += ["hashes", "times", "docs", "grams", "gram_times", "gram_docs"]
 
 
 def _block_schema(id_type) -> StructType:
     kinds = [IntegerType(), LongType(), LongType(), ArrayType(id_type), ArrayType(LongType()), ArrayType(LongType())]
-    kinds += [ArrayType(DoubleType()), ArrayType(DoubleType()), BinaryType(), BinaryType(), BinaryType()]
+    kinds += [ArrayType(DoubleType()), ArrayType(DoubleType()), *[BinaryType()] * 6]
     return StructType([StructField(n, k) for n, k in zip(_BLOCK_NAMES, kinds)])
 
 
-def _look_up(posts: pa.Table, counts: pa.Table) -> pa.Table:
-    """Adds a bucket's rare words to the sums of each block's documents."""
+def _look_up(shared):
+    """Adds a bucket's rare words, and its byte strings where the tree is not broadcast, to the sums of each block's documents."""
+
+    def run(posts: pa.Table, trained: pa.Table) -> pa.Table:
+        tree, low, _, _ = shared.value
+        word = trained.column("kind").to_numpy() < 0 if trained.num_rows else np.zeros(0, dtype=bool)
+        out = _with_words(posts, trained.filter(pa.array(word, pa.bool_())))
+        if tree is not None:
+            return out
+        levels = _levels(trained.filter(pa.array(~word, pa.bool_())))
+        part = suffix_tree.Tree(levels | {min(suffix_tree.LOW, DEPTH): low}, DEPTH)
+        score = []
+        for size, grams, times, docs in zip(
+            *(posts.column(c).to_pylist() for c in ("n", "grams", "gram_times", "gram_docs"))
+        ):
+            each = np.repeat(part.log10(np.frombuffer(grams, np.uint64)), np.frombuffer(times, np.uint32))
+            score.append(np.bincount(np.frombuffer(docs, np.uint32), each, size))
+        return out.set_column(out.schema.get_field_index("score"), "score", pa.array(score, pa.list_(pa.float64())))
+
+    return run
+
+
+def _with_words(posts: pa.Table, counts: pa.Table) -> pa.Table:
     key = counts.column("key").to_numpy()
     order = np.argsort(key, kind="stable")
     key, n = key[order], counts.column("n").to_numpy()[order]
@@ -240,44 +356,44 @@ def _gather(table: pa.Table) -> pa.Table:
     """One row per document of a block, summed over the buckets."""
     known = sum(np.array(k) for k in table.column("known").to_pylist())
     base = sum(np.array(b) for b in table.column("base").to_pylist())
+    score = sum(np.array(x) for x in table.column("score").to_pylist() if x is not None)
     full = table.filter(pa.compute.is_valid(table.column("ids"))).slice(0, 1)
-    flat = {c: pa.compute.list_flatten(full.column(c)) for c in ("ids", "tokens", "score")}
-    return pa.table(
-        {"id": flat["ids"], "n_tokens": flat["tokens"], "known": known, "base": base, "score": flat["score"]}
-    )
+    flat = {c: pa.compute.list_flatten(full.column(c)) for c in ("ids", "tokens")}
+    return pa.table({"id": flat["ids"], "n_tokens": flat["tokens"], "known": known, "base": base, "score": score})
 
 
-def train(df: DataFrame, text_col: str = "text") -> tuple[DataFrame, suffix_tree.Automaton, int, int]:
-    """(word counts, automaton, training words, distinct training words) from all rows of ``df``."""
-    counted = (
-        df.select(ref(text_col).cast("string"))
-        .mapInArrow(_count, "kind int, key long, n long")
-        .groupBy("kind", "key")
-        .agg(F.sum("n").alias("n"))
-    )
-    counted, _, _ = materialise(counted, "counts")
-    sums = {
-        r.kind: (int(r.n), int(r.v))
-        for r in counted.groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()
-    }
-    words, kinds = sums.get(0, (0, 0))
-    symbols = sums.get(1, (0, 0))[0]
-    levels = _levels(counted.where("kind = 1").select("key", "n"), symbols)
-    automaton = suffix_tree.build(levels, DEPTH, max(2.0, LEAST_SHARE * symbols), GAIN, STRENGTH)
-    return counted.where("kind = 0").select("key", "n"), automaton, words, kinds
-
-
-def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def train(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """Word counts (kind -1) and the packed entries of the tree, from all rows of ``df``."""
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = df.select(ref(text_col).cast("string")).mapInArrow(_count(buckets), _COUNTS)
+    return materialise(counted.groupBy("bucket").applyInArrow(_build, _TRAINED), "trained")[0]
+
+
+def score(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_entries: int = MOST_ENTRIES
+) -> DataFrame:
     """One row per input row: id, ``held_out``, ``n_tokens``, ``n_known``,
     ``train_tokens``, ``base_score`` and ``score`` (both log10)."""
     spark = df.sparkSession
     learnt = df.where(~held_out(id_col))
-    counts, automaton, words, kinds = train(learnt, text_col)
+    trained = train(learnt, text_col)
+    counts, shards = trained.where("kind < 0"), trained.where("kind >= 0")
+    sums = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
+    words, kinds = int(sums.n or 0), int(sums.v)
     texts = learnt.count()  # each has one end token
     total, distinct = words + texts, kinds + (1 if texts else 0)
-    common = counts.where(F.col("n") > words // FREQUENT).orderBy("key").toArrow()  # at most FREQUENT rows
+    common = counts.where(F.col("n") > words // FREQUENT).orderBy("key").select("key", "n").toArrow()  # at most FREQUENT rows
+    entries = shards.agg(F.sum(F.octet_length("keys") / 8)).first()[0] or 0
+    whole = entries <= most_entries
+    lowest = min(suffix_tree.LOW, DEPTH)
+    levels = _levels((shards if whole else shards.where(F.col("kind") == lowest)).toArrow())
     shared = spark.sparkContext.broadcast(
-        (automaton, common.column("key").to_numpy(), common.column("n").to_numpy())
+        (
+            suffix_tree.Tree(levels, DEPTH) if whole else None,
+            levels[lowest],
+            common.column("key").to_numpy(),
+            common.column("n").to_numpy(),
+        )
     )
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     id_type = df.schema[id_col].dataType
@@ -285,14 +401,14 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     blocks = df.select(ref(id_col), ref(text_col).cast("string")).mapInArrow(
         _score(shared, to_arrow_type(id_type), buckets), schema
     )
-    rare = counts.where(F.col("n") <= words // FREQUENT).withColumn(
-        "bucket", F.pmod("key", F.lit(buckets).cast("long")).cast("int")
-    )
+    rare = trained.where((F.col("kind") < 0) & (F.col("n") <= words // FREQUENT))
+    if not whole:
+        rare = rare.unionByName(shards.where(F.col("kind") > lowest))
     answered = (
         blocks.groupBy("bucket")
         .cogroup(rare.groupBy("bucket"))
         .applyInArrow(
-            _look_up,
+            _look_up(shared),
             StructType([schema[c] for c in ("block", "n", "ids", "tokens", "score", "known", "base")]),
         )
     )

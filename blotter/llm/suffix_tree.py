@@ -178,3 +178,152 @@ def build(levels: list[tuple[np.ndarray, np.ndarray]], depth: int, least: float,
                     if child is not None:
                         step[s, k] = child
     return Automaton(classes, step, np.log10(prob).astype(np.float32), depth)
+
+
+# --- a tree that grows with the corpus ---------------------------------------
+#
+# A gram is a symbol with its ``depth`` predecessors in 64 bits: the latest
+# predecessor highest, then the older ones, the symbol lowest.  Sorted grams
+# thus lie in the order of their contexts at every length.  An entry of level
+# d is a context of d symbols followed by the symbol, in d + 1 bytes.
+
+LOW = 2  # contexts of up to LOW symbols are always retained: at most 256 ** LOW
+MOST_DEPTH = 7
+
+
+def ordered_grams(symbols: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    """The gram at each position."""
+    n = len(symbols)
+    out = symbols[depth:].astype(np.uint64)
+    for k in range(1, depth + 1):
+        out |= symbols[depth - k : n - k].astype(np.uint64) << np.uint64(64 - 8 * k)
+    return out[at - depth]
+
+
+def shard(grams: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each gram: all contexts with the same latest LOW + 1 symbols lie together."""
+    from blotter.llm.kernels import mix
+
+    return (mix(grams >> np.uint64(64 - 8 * (LOW + 1))) % np.uint64(buckets)).astype(np.int64)
+
+
+def entries(grams: np.ndarray, level: int) -> np.ndarray:
+    """The entry of each gram at a level."""
+    if not level:
+        return grams & np.uint64(255)
+    return (grams >> np.uint64(64 - 8 * level) << np.uint64(8)) | (grams & np.uint64(255))
+
+
+def parents(keys: np.ndarray) -> np.ndarray:
+    """The entry without the oldest symbol of its context."""
+    return (keys >> np.uint64(16) << np.uint64(8)) | (keys & np.uint64(255))
+
+
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, with their counts added up."""
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    if not len(keys):
+        return keys, counts
+    head = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[head], np.add.reduceat(counts, head)
+
+
+def _contexts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts of sorted entries, where they begin, and the number of each entry's."""
+    context = keys >> np.uint64(8)
+    first = np.concatenate([[True], context[1:] != context[:-1]]) if len(keys) else np.zeros(0, dtype=bool)
+    head = np.flatnonzero(first)
+    return context[head], head, np.cumsum(first) - 1
+
+
+def retain(
+    grams: np.ndarray, counts: np.ndarray, depth: int, least: int, gain: float, strength: float
+) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Entries with their counts per level, of the contexts that a shard of (distinct) grams retains.
+
+    Level LOW is whole: its counts are partial, the other shards have the
+    rest.  A longer context of at least ``least`` occurrences is retained when
+    its next-symbol distribution diverges from its parent's: relative entropy
+    of at least ``gain`` and of ``strength`` in all its occurrences; so is
+    every parent of a retained one.  Contexts of LOW + 1 symbols need only the
+    occurrences, as their parents' counts are not all here.
+    """
+    levels = {min(LOW, depth): summed(entries(grams, min(LOW, depth)), counts)}
+    keep: dict[int, np.ndarray] = {}
+    for d in range(LOW + 1, depth + 1):
+        keys, n = levels[d] = summed(entries(grams, d), counts)
+        context, head, of = _contexts(keys)
+        if not len(keys):
+            keep[d] = np.zeros(0, dtype=bool)
+            continue
+        total = np.add.reduceat(n, head)
+        keep[d] = total >= least
+        if d > LOW + 1:
+            above, m = levels[d - 1]
+            at = np.searchsorted(above, parents(keys))
+            _, above_head, above_of = _contexts(above)
+            p = n / total[of]
+            q = m[at] / np.add.reduceat(m, above_head)[above_of[at]]
+            divergence = np.add.reduceat(p * np.log(p / q), head)
+            keep[d] &= (divergence >= gain) & (divergence * total >= strength)
+    for d in range(depth, LOW, -1):
+        keys, n = levels[d]
+        context, _, of = _contexts(keys)
+        if d > LOW + 1:
+            above = _contexts(levels[d - 1][0])[0]
+            keep[d - 1][np.searchsorted(above, context[keep[d]] >> np.uint64(8))] = True
+        levels[d] = keys[keep[d][of]], n[keep[d][of]]
+    return levels
+
+
+class Tree:
+    """Next-symbol distributions of the retained contexts.
+
+    Each is smoothed towards its parent's, by the number of distinct next
+    symbols (Witten-Bell); the root towards the uniform one.
+    """
+
+    def __init__(self, levels: dict[int, tuple[np.ndarray, np.ndarray]], depth: int):
+        """``levels``: sorted entries with counts from level min(LOW, depth) on, parents always among them."""
+        levels = dict(levels)
+        for d in range(min(LOW, depth), 0, -1):
+            keys, n = levels[d]
+            levels[d - 1] = summed(parents(keys) if d > 1 else keys & np.uint64(255), n)
+        self.depth = depth
+        keys, n = levels[0]
+        root = np.zeros(SYMBOLS)
+        root[keys.astype(np.int64)] = n
+        root = (root + 1.0) / (root.sum() + SYMBOLS)
+        self.root = np.log10(root)
+        self.levels = []
+        above, p = np.arange(SYMBOLS, dtype=np.uint64), root
+        for d in range(1, depth + 1):
+            keys, n = levels[d]
+            context, head, of = _contexts(keys)
+            total = np.add.reduceat(n, head) if len(keys) else n
+            kinds = np.diff(np.append(head, len(keys)))
+            below = p[np.searchsorted(above, parents(keys) if d > 1 else keys & np.uint64(255))]
+            p = (n + kinds[of] * below) / (total + kinds)[of]
+            above = keys
+            self.levels.append((keys, np.log10(p).astype(np.float32), context, np.log10(kinds / (total + kinds))))
+
+    def log10(self, grams: np.ndarray) -> np.ndarray:
+        """log10 probability of each (sorted) gram's symbol, from its longest retained context."""
+        out = self.root[(grams & np.uint64(255)).astype(np.int64)]
+        alive = np.arange(len(grams))
+        for d, (keys, logp, context, back) in enumerate(self.levels, 1):
+            if not len(keys) or not len(alive):
+                break
+            wanted = grams[alive] >> np.uint64(64 - 8 * d)
+            first = np.concatenate([[True], wanted[1:] != wanted[:-1]])
+            mine = wanted[first]
+            at = np.searchsorted(context, mine)
+            at[at == len(context)] = 0
+            at = np.where(context[at] == mine, at, -1)[np.cumsum(first) - 1]
+            alive, at = alive[at >= 0], at[at >= 0]
+            key = entries(grams[alive], d)
+            hit = np.searchsorted(keys, key)
+            hit[hit == len(keys)] = 0
+            out[alive] = np.where(keys[hit] == key, logp[hit], out[alive] + back[at])
+        return out

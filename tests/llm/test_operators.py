@@ -424,6 +424,70 @@ def test_lanes_equal_one_walk():
         assert tree.log10(symbols, begins, lane=7)[k] == pytest.approx(total, abs=1e-2)
 
 
+def _walked(texts, learnt, depth, least, gain, strength):
+    """Scores by the definition: counts per context in dictionaries, one symbol after the other."""
+    normal = lambda t: [255] * depth + [*b" ".join(re.sub(b"[A-Z]", lambda m: m[0].lower(), t).split()), 255]
+    counts = collections.defaultdict(collections.Counter)
+    for t in learnt:
+        s = normal(t)
+        for k in range(depth, len(s)):
+            for d in range(depth + 1):
+                counts[tuple(s[k - d : k])][s[k]] += 1
+    kept = set()
+    for c, row in list(counts.items()):
+        n = sum(row.values())
+        up = counts[c[1:]]
+        apart = sum(m / n * math.log(m / n / (up[x] / sum(up.values()))) for x, m in row.items()) if len(c) > 3 else 9e9
+        if len(c) <= 2 or (n >= least and apart >= gain and apart * n >= strength):
+            kept |= {c[k:] for k in range(len(c) + 1)}
+
+    def p(c, x):
+        if c not in kept:
+            return p(c[1:], x)
+        row = counts[c]
+        if not c:
+            return (row[x] + 1) / (sum(row.values()) + 256)
+        return (row[x] + len(row) * p(c[1:], x)) / (sum(row.values()) + len(row))
+
+    return [
+        sum(math.log10(p(tuple(s[k - depth : k]), s[k])) for k in range(depth, len(s))) for s in map(normal, texts)
+    ]
+
+
+def test_suffix_tree_scores_by_definition(docs):
+    key = lambda k, t: ("" if k is None else str(k), t)
+    rows = [(k, _text(t).encode()) for k, t, *_ in ROWS]
+    learnt = [t for k, t in rows if zlib.crc32(("" if k is None else str(k)).encode()) % 7 != 2]
+    names = (lm_scoring.DEPTH, lm_scoring.LEAST, lm_scoring.GAIN, lm_scoring.STRENGTH)
+    want = sorted(zip([-1 if k is None else k for k, _ in rows], _walked([t for _, t in rows], learnt, *names)))
+    for most in (lm_scoring.MOST_ENTRIES, 0):  # broadcast, and looked up by key
+        scored = _rows(lm_scoring.score(docs, most_entries=most))
+        got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["score"]) for r in scored)
+        assert [k for k, _ in got] == [k for k, _ in want]
+        assert [s for _, s in got] == pytest.approx([s for _, s in want], rel=1e-4)
+
+
+def test_suffix_tree_keeps_contexts_as_the_corpus_grows():
+    """A spelling that occurs 60 times is learnt among much other text as among little."""
+    from blotter.llm import suffix_tree
+
+    d = lm_scoring.DEPTH
+
+    def counted(texts):
+        data, ends = kernels.flatten([t.encode() for t in texts])
+        symbols, begins = suffix_tree.normalise(data, ends, d)
+        grams = suffix_tree.ordered_grams(symbols, suffix_tree.scored(begins, d), d)
+        return np.unique(grams, return_counts=True)
+
+    rare, n = counted([f"{_prose(k, 8)} vorxaki zitxake" for k in range(60)])
+    other, m = counted([_prose(500 + k, 400) for k in range(20)])
+    for times in (1, 100, 100_000):  # up to 9e9 symbols
+        grams, counts = suffix_tree.summed(np.concatenate([rare, other]), np.concatenate([n, m * times]))
+        levels = suffix_tree.retain(grams, counts, d, lm_scoring.LEAST, lm_scoring.GAIN, lm_scoring.STRENGTH)
+        held = set((levels[4][0] >> np.uint64(8)).tolist())  # contexts, latest symbol highest
+        assert {int.from_bytes(c, "big") for c in (b"kaxr", b"kaxt")} <= held
+
+
 # 9 -------------------------------------------------------------------------
 
 
