@@ -55,15 +55,15 @@ from blotter.llm import kernels, suffix_tree
 from blotter.llm.columns import ref
 from blotter.plans.guards import materialise
 
-DEPTH = 5
+DEPTH = 7  # bytes: about two short words; as many as 64 bits hold with the next symbol
 LEAST = 2  # occurrences of a context, whatever the size of the corpus
 GAIN = 0.01  # nats
 STRENGTH = 20.0
 FREQUENT = 1 << 16
 MOST_ENTRIES = 1 << 24  # of a broadcast tree, 12 bytes each
-HELD_KEYS = 6 << 20  # distinct byte strings a counting task holds
+LEAST_PARTS = 192  # the counts are summed in, one at a time
+HELD_KEYS = 2 << 20  # distinct byte strings a counting task holds
 BATCH_BYTES = 2 << 20
-SCORED_BYTES = 8 << 20  # equal byte strings of so much text are looked up once
 BLOCK_BYTES = 24 << 20
 
 
@@ -80,7 +80,7 @@ class _Counter:
 
     def add(self, keys: np.ndarray) -> None:
         self.pending.append(np.unique(keys, return_counts=True))
-        if sum(len(k) for k, _ in self.pending) > max(1 << 20, len(self.keys)):
+        if sum(len(k) for k, _ in self.pending) > min(max(1 << 20, len(self.keys)), HELD_KEYS // 2):
             self.merge()
 
     def merge(self) -> None:
@@ -130,7 +130,7 @@ def _count(buckets: int):
                 data, ends = kernels.flatten(texts)
                 starts, stops, _ = kernels.word_spans(data, ends)
                 words.add(kernels.word_hashes(kernels.lower_ascii(data), starts, stops).view(np.int64))
-                symbols, begins = suffix_tree.normalise(data, ends, DEPTH)
+                symbols, begins = suffix_tree.spelt(texts, DEPTH)
                 at = suffix_tree.scored(begins, DEPTH)
                 strings.add(suffix_tree.ordered_grams(symbols, at, DEPTH).view(np.int64))
                 if len(strings.keys) > HELD_KEYS:
@@ -153,10 +153,14 @@ _TRAINED = StructType(
 )
 
 
-def _build(table: pa.Table) -> pa.Table:
-    """A bucket's words, and its shard of the tree."""
+def _build(buckets: int):
+    return lambda table: _built(table, buckets)
+
+
+def _built(table: pa.Table, buckets: int) -> pa.Table:
+    """A part's words, and its shard of the tree; parts are finer than the ``buckets`` of the postings."""
     kind = table.column("kind").to_numpy()
-    bucket = table.column("bucket")[0].as_py()
+    bucket = table.column("bucket")[0].as_py() % buckets
     parts = [table.filter(pa.array(kind == k)) for k in (0, 1)]
     merged = []
     for part, dtype in zip(parts, (np.int64, np.uint64)):
@@ -181,21 +185,10 @@ def _build(table: pa.Table) -> pa.Table:
     return pa.table({f: pa.array(v, k) for f, v, k in zip(_TRAINED.names, arrays, kinds)})
 
 
-def _levels(rows: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Entries with counts per level from the rows of one or more buckets."""
-    out = {}
-    kind = rows.column("kind").to_numpy()
-    for d in range(min(suffix_tree.LOW, DEPTH), DEPTH + 1):
-        part = rows.filter(pa.array(kind == d))
-        keys, counts = (b"".join(part.column(c).to_pylist()) for c in ("keys", "counts"))
-        out[d] = suffix_tree.summed(np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64))
-    return out
-
-
-def _text_scores(tree: suffix_tree.Tree, grams: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
-    """The sum of log10 probabilities of each text; equal byte strings are looked up once."""
-    distinct, place = np.unique(grams, return_inverse=True)
-    return np.bincount(text, tree.log10(distinct)[place], n)
+def _entries(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Entries with counts of one level from the rows of one or more buckets."""
+    keys, counts = (b"".join(rows.column(c).to_pylist()) for c in ("keys", "counts"))
+    return suffix_tree.summed(np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64))
 
 
 def _posted(keys: list, doc: list, buckets: int, shard) -> tuple:
@@ -218,6 +211,7 @@ def _score(shared, id_type: pa.DataType, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, _, frequent, counts = shared.value
+        memory = None if tree is None else suffix_tree.Memory(tree)
         log_counts = np.log10(counts + 1.0)
         task = TaskContext.get().partitionId() << 24
         number = 0
@@ -260,19 +254,17 @@ def _score(shared, id_type: pa.DataType, buckets: int):
         state = fresh()
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for first, texts in kernels.slices(kernels.as_bytes(batch.column(1)), SCORED_BYTES):
+            for first, texts in kernels.slices(kernels.as_bytes(batch.column(1)), BATCH_BYTES):
                 data, ends = kernels.flatten(texts)
-                symbols, begins = suffix_tree.normalise(data, ends, DEPTH)
-                at = suffix_tree.scored(begins, DEPTH)
-                grams = suffix_tree.ordered_grams(symbols, at, DEPTH)
-                text = np.searchsorted(begins, at, side="right") - 1
+                symbols, begins = suffix_tree.spelt(texts, DEPTH)
+                grams = suffix_tree.ordered_grams(symbols, suffix_tree.scored(begins, DEPTH), DEPTH)
+                text = np.repeat(np.arange(len(texts)), np.diff(begins) - DEPTH + 1)
                 if tree is None:
                     state["score"] += [0.0] * len(texts)
                     state["gram"].append(grams)
                     state["gram_doc"].append((text + state["n"]).astype(np.uint32))
                 else:
-                    state["score"] += _text_scores(tree, grams, text, len(texts)).tolist()
-                del symbols, at, grams, text
+                    state["score"] += np.bincount(text, memory.log10(grams), len(texts)).tolist()
                 starts, stops, doc = kernels.word_spans(data, ends)
                 h = kernels.word_hashes(kernels.lower_ascii(data), starts, stops).view(np.int64)
                 at = np.searchsorted(frequent, h)
@@ -287,7 +279,7 @@ def _score(shared, id_type: pa.DataType, buckets: int):
                 state["ids"] += ids[first : first + n]
                 state["n"] += n
                 state["bytes"] += len(data)
-                if state["bytes"] >= (SCORED_BYTES if tree is None else BLOCK_BYTES):
+                if state["bytes"] >= (BLOCK_BYTES // 3 if tree is None else BLOCK_BYTES):
                     yield from rows(state, task + number)
                     state, number = fresh(), number + 1
         if state["n"]:
@@ -315,8 +307,9 @@ def _look_up(shared):
         out = _with_words(posts, trained.filter(pa.array(word, pa.bool_())))
         if tree is not None:
             return out
-        levels = _levels(trained.filter(pa.array(~word, pa.bool_())))
-        part = suffix_tree.Tree(levels | {min(suffix_tree.LOW, DEPTH): low}, DEPTH)
+        lowest, kind = min(suffix_tree.LOW, DEPTH), trained.column("kind").to_numpy()
+        levels = {d: _entries(trained.filter(pa.array(kind == d, pa.bool_()))) for d in range(lowest + 1, DEPTH + 1)}
+        part = suffix_tree.Tree(levels | {lowest: low}, DEPTH)
         score = []
         for size, grams, times, docs in zip(
             *(posts.column(c).to_pylist() for c in ("n", "grams", "gram_times", "gram_docs"))
@@ -365,8 +358,9 @@ def _gather(table: pa.Table) -> pa.Table:
 def train(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Word counts (kind -1) and the packed entries of the tree, from all rows of ``df``."""
     buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counted = df.select(ref(text_col).cast("string")).mapInArrow(_count(buckets), _COUNTS)
-    return materialise(counted.groupBy("bucket").applyInArrow(_build, _TRAINED), "trained")[0]
+    parts = buckets * max(4, -(-LEAST_PARTS // buckets))
+    counted = df.select(ref(text_col).cast("string")).mapInArrow(_count(parts), _COUNTS)
+    return materialise(counted.groupBy("bucket").applyInArrow(_build(buckets), _TRAINED), "trained")[0]
 
 
 def score(
@@ -386,7 +380,10 @@ def score(
     entries = shards.agg(F.sum(F.octet_length("keys") / 8)).first()[0] or 0
     whole = entries <= most_entries
     lowest = min(suffix_tree.LOW, DEPTH)
-    levels = _levels((shards if whole else shards.where(F.col("kind") == lowest)).toArrow())
+    levels = {
+        d: _entries(shards.where(F.col("kind") == d).select("keys", "counts").toArrow())
+        for d in range(lowest, (DEPTH if whole else lowest) + 1)
+    }
     shared = spark.sparkContext.broadcast(
         (
             suffix_tree.Tree(levels, DEPTH) if whole else None,

@@ -467,6 +467,23 @@ def test_suffix_tree_scores_by_definition(docs):
         assert [s for _, s in got] == pytest.approx([s for _, s in want], rel=1e-4)
 
 
+def test_suffix_tree_learns_across_words(spark):
+    rng = np.random.default_rng(5)
+    pair = ("ra zuu xa", "ma zuu ya")
+    text = lambda: " ".join(pair[k] for k in rng.integers(0, 2, 200))
+    df = spark.createDataFrame([(k, text()) for k in range(70)], "doc_id long, text string")
+    held = [r for r in _rows(lm_scoring.score(df)) if r["held_out"]]
+    bits = -sum(r["score"] for r in held) / math.log10(2)
+    assert held and bits < 1.2 * sum(r["n_tokens"] for r in held) / 3  # a bit for ra or ma, none for the rest
+
+
+def test_suffix_tree_beats_the_baseline(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    held = [r for r in _rows(lm_scoring.score(df)) if r["held_out"]]
+    tokens = sum(r["n_tokens"] for r in held)
+    assert sum(r["score"] for r in held) / tokens > sum(r["base_score"] for r in held) / tokens + 0.2
+
+
 def test_suffix_tree_keeps_contexts_as_the_corpus_grows():
     """A spelling that occurs 60 times is learnt among much other text as among little."""
     from blotter.llm import suffix_tree
