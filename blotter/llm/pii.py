@@ -13,7 +13,8 @@ Everything happens on the row itself: no shuffle, no state between rows.
 
 Defined results: a null text stays null and has no spans; an empty text or one
 without valid values is unchanged; of overlapping candidates the one that
-starts first counts, then the kind listed first; repeated rows give the same
+starts first counts, then the kind listed first, then the longest valid one
+that ends with a group of digits or letters; repeated rows give the same
 result; an empty table gives an empty result; further columns do not matter.
 """
 
@@ -264,15 +265,12 @@ class Pseudonyms:
             m = _SEARCH.search(text, at)
             if not m:
                 return out
-            kind = next(
-                (n for n, p, read in KINDS if (hit := _PATTERNS[n].match(text, m.start())) and read(hit[0])), None
-            )
-            if kind is None:
+            hit = next(((n, end) for n, _, _ in KINDS if (end := _valid_end(n, text, m.start()))), None)
+            if hit is None:
                 at = m.start() + 1
                 continue
-            hit = _PATTERNS[kind].match(text, m.start())
-            out.append((kind, hit.start(), hit.end()))
-            at = hit.end()
+            kind, at = hit
+            out.append((kind, m.start(), at))
 
     def replace(self, kind: str, value: str, back: bool = False) -> str:
         """The pseudonym of a valid value, or with ``back`` the value of a pseudonym."""
@@ -292,6 +290,18 @@ class Pseudonyms:
 
 _PATTERNS = {n: re.compile(p) for n, p, _ in KINDS}
 
+
+def _valid_end(kind: str, text: str, start: int) -> int | None:
+    """The end of the longest valid value of a kind at ``start``; shorter ones end where a group of digits or letters does."""
+    hit, whole = _PATTERNS[kind].match(text, start), True
+    while hit:
+        end = hit.end()
+        if whole and _READERS[kind](hit[0]):
+            return end
+        hit = _PATTERNS[kind].match(text, start, end - 1)
+        whole = hit and not (text[hit.end() - 1].isalnum() and text[hit.end()].isalnum())
+    return None
+
 _SPANS = ArrayType(
     StructType([StructField("kind", StringType()), StructField("start", LongType()), StructField("stop", LongType())])
 )

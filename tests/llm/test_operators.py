@@ -548,6 +548,22 @@ def test_pseudonyms_keep_format_and_turn_back():
         assert names.text(invalid) == (invalid, [])
 
 
+def test_values_before_more_groups():
+    names = pii.Pseudonyms(b"secret")
+    for value, kind, after in (
+        ("4111 1111 1111 1111", "card", " 12/25"),
+        ("4111 1111 1111 1111", "card", " 123"),
+        ("4111-1111-1111-1111", "card", " 12 25"),
+        ("DE89 3704 0044 0532 0130 00", "iban", " PAID"),
+        ("AT61 1904 3002 3457 3201", "iban", " PAID"),
+        ("AT61 1904 3002 3457 3201", "iban", " PAID 2024 IN FULL"),
+        ("415-555-2671", "phone", " 22"),
+    ):
+        text = f"see {value}{after}"
+        assert [(k, text[a:b]) for k, a, b in names.find(text)] == [(kind, value)], text
+    assert names.find("4111 1111 1111 1112 12/25") == []
+
+
 def test_pii_on_untidy_rows(docs, empty):
     got = _rows(pii.pseudonymise(docs, b"k"))
     assert len(got) == len(ROWS)
