@@ -14,7 +14,9 @@ Everything happens on the row itself: no shuffle, no state between rows.
 Defined results: a null text stays null and has no spans; an empty text or one
 without valid values is unchanged; of overlapping candidates the one that
 starts first counts, then the kind listed first, then the longest valid one
-that ends with a group of digits or letters; repeated rows give the same
+that ends with a group of digits or letters; a value may follow any sign, only
+one that begins with a digit does not follow a digit and one of ``./-`` unless
+that digit ends another value; repeated rows give the same
 result; an empty table gives an empty result; further columns do not matter.
 """
 
@@ -245,9 +247,13 @@ KINDS: list[tuple[str, str, Callable]] = [
         _phone,
     ),
 ]
+# A value does not start inside a word or number; one that begins with a digit
+# and is no e-mail address does not go on with a number either ("1.", "1/", "1-").
+_ANY = "(?:" + "|".join(f"(?P<{n}>{p})" for n, p, _ in KINDS) + ")"
 _SEARCH = re.compile(
-    r"(?<![A-Za-z0-9.+@/-])(?=[0-9A-Za-z+(])(?:" + "|".join(f"(?P<{n}>{p})" for n, p, _ in KINDS) + ")"
+    r"(?<![A-Za-z0-9])(?:(?=[A-Za-z+(])|(?<![0-9][./-])(?=[0-9])|(?=[0-9][A-Za-z0-9._%+-]*@))" + _ANY
 )
+_NEXT = re.compile(r"[./+-]" + _ANY)  # directly after a value: a range
 _READERS = {n: r for n, _, r in KINDS}
 
 
@@ -262,15 +268,19 @@ class Pseudonyms:
         """(kind, start, end) of the valid values, left to right."""
         out, at = [], 0
         while True:
-            m = _SEARCH.search(text, at)
-            if not m:
+            start = None
+            if out and at == out[-1][2] and _NEXT.match(text, at):
+                start = at + 1
+            elif m := _SEARCH.search(text, at):
+                start = m.start()
+            if start is None:
                 return out
-            hit = next(((n, end) for n, _, _ in KINDS if (end := _valid_end(n, text, m.start()))), None)
+            hit = next(((n, end) for n, _, _ in KINDS if (end := _valid_end(n, text, start))), None)
             if hit is None:
-                at = m.start() + 1
+                at = start + 1
                 continue
             kind, at = hit
-            out.append((kind, m.start(), at))
+            out.append((kind, start, at))
 
     def replace(self, kind: str, value: str, back: bool = False) -> str:
         """The pseudonym of a valid value, or with ``back`` the value of a pseudonym."""

@@ -564,6 +564,26 @@ def test_values_before_more_groups():
     assert names.find("4111 1111 1111 1112 12/25") == []
 
 
+def test_values_after_signs():
+    names = pii.Pseudonyms(b"secret")
+    for text, values in (
+        ("01/02/2020-05/06/2020", ["01/02/2020", "05/06/2020"]),
+        ("2020-01-01/2020-02-01", ["2020-01-01", "2020-02-01"]),
+        ("-john@example.com", ["john@example.com"]),
+        ("2020/john@example.com", ["john@example.com"]),
+        ("x/9john@example.com", ["9john@example.com"]),
+        ("ssn/219-09-9999", ["219-09-9999"]),
+        ("- 219-09-9999\n-219-09-9999", ["219-09-9999", "219-09-9999"]),
+        ("host.93.184.216.34", ["93.184.216.34"]),
+        ("root@93.184.216.34", ["93.184.216.34"]),
+        ("tel/+1 434 555 2368", ["+1 434 555 2368"]),
+        ("1-219-09-9999", []),
+        ("7.93.184.216.34", []),
+        ("x219-09-9999", []),
+    ):
+        assert [text[a:b] for _, a, b in names.find(text)] == values, text
+
+
 def test_pii_on_untidy_rows(docs, empty):
     got = _rows(pii.pseudonymise(docs, b"k"))
     assert len(got) == len(ROWS)
