@@ -3,7 +3,8 @@
 A text is the bag of the character n-grams (4, 6 and 8 bytes, word boundaries
 included) of its lower-cased words.  Every n-gram has an embedding; a text's
 vector is the average over its bag, and a softmax over two classes reads it.
-Embeddings and softmax are trained together by gradient descent in numpy.
+Embeddings and softmax are trained together by gradient descent in numpy, on
+every n-gram bucket found in at least two documents of the sample.
 A misspelt word shares most of its n-grams with the word, so it is recognised
 though it was never seen.
 
@@ -40,7 +41,8 @@ SIZES = (4, 6, 8)
 BUCKET_BITS = 18
 PER_CLASS = 1500
 DIMENSIONS = 8
-LEAST_DOCUMENTS = 0.03  # share of the sample an n-gram must occur in
+LEAST_DOCUMENTS = 2  # of the sample an n-gram must occur in
+DENSE = 0.03  # share of the sample from which on an n-gram is held as a dense column
 STEPS = 200
 RATE = 600.0
 DECAY = 1e-6
@@ -86,49 +88,111 @@ def fit(texts: list[bytes], labels: np.ndarray, share: float) -> tuple[np.ndarra
         bucket, doc = bags(texts[k : k + 100])
         pair = np.unique(doc.astype(np.int64) * buckets + bucket)
         document_count += np.bincount(pair % buckets, minlength=buckets)
-    chosen = np.flatnonzero(document_count >= max(2, LEAST_DOCUMENTS * len(texts)))
+    chosen = np.flatnonzero(document_count >= LEAST_DOCUMENTS)
     if not len(chosen):
         return np.zeros(buckets, np.float32), prior, prior
-    width = len(chosen)
-    column = np.full(buckets, -1)
-    column[chosen] = np.arange(width)
-    x = np.zeros((len(texts), width), dtype=np.float32)
-    for k in range(0, len(texts), 100):
-        bucket, doc = bags(texts[k : k + 100])
-        part = x[k : k + 100]
-        size = np.maximum(np.bincount(doc, minlength=len(part)), 1)
-        kept = column[bucket] >= 0
-        cell = doc[kept] * width + column[bucket[kept]]
-        part += np.bincount(cell, minlength=part.size).reshape(part.shape) / size[:, None]
-    mean, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
-    scale = spread**SCALING
-    scale *= np.sqrt(((spread / scale) ** 2).sum())  # all features together have variance 1
-    x -= mean
-    x /= scale
+    chosen = chosen[np.argsort(-document_count[chosen], kind="stable")]  # the common ones first
+    common = int((document_count[chosen] >= max(LEAST_DOCUMENTS, DENSE * len(texts))).sum())
+    x = _Features(texts, chosen, common)
 
     rng = np.random.default_rng(0)
-    embed = (rng.standard_normal((width, DIMENSIONS)) * 0.01).astype(np.float32)
+    embed = (rng.standard_normal((len(chosen), DIMENSIONS)) * 0.01).astype(np.float32)
     soft = (rng.standard_normal((DIMENSIONS, 2)) * 0.5).astype(np.float32)
     bias = np.zeros(2, dtype=np.float32)
     target = np.stack([1 - labels, labels], axis=1).astype(np.float32)
     weight = np.where(labels > 0, 0.5 / positive, 0.5 / (len(labels) - positive)).astype(np.float32)[:, None]
-    moved = [np.zeros_like(v) for v in (embed, soft, bias)]
+    # Every slope of the embeddings is x.T @ (rows of the sample) plus their decay, so they
+    # stay own * embed + x.T @ rows; only the products of the sample's rows are needed.
+    own, rows, first, products = np.ones(1, np.float32), np.zeros((len(texts), DIMENSIONS), np.float32), x.times(embed), x.products()
+    moved = [np.zeros_like(v) for v in (own, rows, soft, bias)]
     for _ in range(STEPS):
-        hidden = x @ embed
+        hidden = own * first + products @ rows
         logit = hidden @ soft + bias
         p = np.exp(logit - logit.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         error = (p - target) * weight
-        slopes = (x.T @ (error @ soft.T) + DECAY * embed, hidden.T @ error, error.sum(axis=0))
-        for v, m, g, r in zip((embed, soft, bias), moved, slopes, (RATE, 0.1, 0.5)):
+        slopes = (DECAY * own, error @ soft.T + DECAY * rows, hidden.T @ error, error.sum(axis=0))
+        for v, m, g, r in zip((own, rows, soft, bias), moved, slopes, (RATE, RATE, 0.1, 0.5)):
             m *= 0.9  # momentum
             m -= 0.1 * r * g
             v += m
-    line = (embed @ (soft[:, 1] - soft[:, 0])) / scale
+    apart = soft[:, 1] - soft[:, 0]
+    line = (own * (embed @ apart) + x.back(rows @ apart)) / x.scale
     out = np.zeros(buckets, dtype=np.float32)
     out[chosen] = line
     neutral = float(bias[1] - bias[0] + prior)  # where every n-gram has its average share
-    return out, neutral - float(mean @ line), neutral
+    return out, neutral - float(x.mean @ line), neutral
+
+
+def _sums(places: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount(places, values, n).astype(np.float64)  # integers where there are no places
+
+
+class _Features:
+    """Shares of the chosen n-grams in each text, centred and scaled: the first ``common`` dense, the others as cells."""
+
+    def __init__(self, texts: list[bytes], chosen: np.ndarray, common: int):
+        self.n, self.width = len(texts), len(chosen)
+        column = np.full(1 << BUCKET_BITS, -1)
+        column[chosen] = np.arange(self.width)
+        self.dense = np.zeros((self.n, common), dtype=np.float32)
+        cells, values = [], []
+        for k in range(0, self.n, 100):
+            bucket, doc = bags(texts[k : k + 100])
+            size = np.maximum(np.bincount(doc, minlength=100), 1)
+            kept = column[bucket] >= 0
+            cell, times = np.unique(column[bucket[kept]] * self.n + doc[kept] + k, return_counts=True)
+            share = times / size[cell % self.n - k]
+            dense = cell < common * self.n
+            self.dense[cell[dense] % self.n, cell[dense] // self.n] = share[dense]
+            cells.append(cell[~dense])
+            values.append(share[~dense])
+        cell, value = np.concatenate(cells), np.concatenate(values)
+        order = np.argsort(cell)  # by column
+        cell, self.value = cell[order], value[order]
+        self.col, self.row = cell // self.n, cell % self.n
+        total = _sums(self.col, self.value, self.width)
+        square = _sums(self.col, self.value**2, self.width)
+        total[:common] = self.dense.sum(axis=0, dtype=np.float64)
+        square[:common] = np.einsum("ij,ij->j", self.dense, self.dense, dtype=np.float64)
+        self.mean = total / self.n
+        spread = np.sqrt(np.maximum(square / self.n - self.mean**2, 0)) + 1e-9
+        scale = spread**SCALING
+        whole = slice(0, common or None)
+        self.scale = scale * np.sqrt(((spread / scale)[whole] ** 2).sum())  # the common features together have variance 1
+        self.value = self.value / self.scale[self.col]
+        self.dense /= self.scale[:common]
+        self.middle = self.mean / self.scale
+        self.common = common
+
+    def times(self, y: np.ndarray) -> np.ndarray:
+        """x @ y."""
+        out = self.dense @ y[: self.common] - self.middle @ y
+        for k in range(y.shape[1]):
+            out[:, k] += _sums(self.row, self.value * y[self.col, k], self.n)
+        return out.astype(np.float32)
+
+    def back(self, a: np.ndarray) -> np.ndarray:
+        """x.T @ a."""
+        out = _sums(self.col, self.value * a[self.row], self.width)
+        out[: self.common] = self.dense.T @ a
+        return out - self.middle * a.sum()
+
+    def products(self) -> np.ndarray:
+        """x @ x.T."""
+        out = (self.dense @ self.dense.T).astype(np.float64).ravel()
+        head = np.flatnonzero(np.diff(self.col, prepend=-1))
+        sizes = np.diff(np.append(head, len(self.col)))
+        for size in np.unique(sizes):  # columns found in so many texts
+            begins = head[sizes == size]
+            for k in range(0, len(begins), step := max(1, (1 << 22) // int(size) ** 2)):
+                at = begins[k : k + step, None] + np.arange(size)
+                cell = self.row[at][:, :, None] * self.n + self.row[at][:, None, :]
+                both = self.value[at][:, :, None] * self.value[at][:, None, :]
+                out += np.bincount(cell.ravel(), both.ravel(), len(out))
+        out = out.reshape(self.n, self.n)
+        middle = out.mean(axis=0)
+        return (out - middle - middle[:, None] + middle.mean()).astype(np.float32)
 
 
 def sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, per_class: int) -> DataFrame:

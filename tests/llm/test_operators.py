@@ -349,6 +349,40 @@ def test_toxicity_learns_misspellings(spark, docs, empty):
     assert {r["score"] for r in _rows(toxicity.score(docs, none))} == {0.5}
 
 
+def test_toxicity_learns_rare_words(spark):
+    """Many toxic words, and as many harmless ones, each in about 1 % of the documents, none in 3 %."""
+    rng = np.random.default_rng(8)
+    letters = list("fghjlnpqvwxyz")
+    rare = [["".join(rng.choice(letters, 8)) for _ in range(40)] for _ in range(2)]
+    rows = []
+    for k in range(1600):
+        words = _prose(3000 + k, 40).split()
+        words[5:5] = [rare[k % 2][k // 2 % 40]] * 2
+        rows.append((k, " ".join(words), k % 2))
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    lab = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in _rows(toxicity.score(df, toxicity.train(df, lab)))}
+    right = [got[k]["predicted"] == y for k, _, y in rows if got[k]["held_out"]]
+    assert len(right) > 200 and np.mean(right) > 0.9
+
+
+def test_products_of_sparse_features():
+    texts = [_prose(k, 30).encode() for k in range(40)]
+    count = np.zeros(1 << toxicity.BUCKET_BITS, dtype=int)
+    for t in texts:
+        count[np.unique(toxicity.bags([t])[0])] += 1
+    chosen = np.flatnonzero(count >= 2)
+    chosen = chosen[np.argsort(-count[chosen], kind="stable")]
+    whole = toxicity._Features(texts, chosen, len(chosen))
+    x = whole.dense - whole.middle
+    for common in (len(chosen), 10, 0):
+        part = toxicity._Features(texts, chosen, common)
+        y = np.arange(len(chosen) * 3).reshape(-1, 3) % 7 - 3.0
+        assert np.allclose(part.products(), x @ x.T, atol=1e-4)
+        assert np.allclose(part.times(y), x @ y, atol=1e-3)
+        assert np.allclose(part.back(np.arange(40.0)), x.T @ np.arange(40.0), atol=1e-3)
+
+
 # 7 -------------------------------------------------------------------------
 
 
