@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import exact_dedup, lm_scoring, mixing, ngram_join, packing, pii, quality, secrets, suffix_dedup, toxicity
+from blotter.llm import (
+    exact_dedup,
+    filter_audit,
+    lm_scoring,
+    mixing,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    secrets,
+    suffix_dedup,
+    toxicity,
+)
 
 
 # The registered query needs some key; a real run brings its own.
@@ -105,6 +117,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return filter_audit.audit(filter_audit.mask_cells(_documents(spark, sf_dir), labels))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -116,4 +133,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_pii": op9_pii,
     "op10_packing": op10_packing,
+    "op11_filter_audit": op11_filter_audit,
 }

@@ -51,7 +51,57 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM judged
 """
 
+FILTER_AUDIT = r"""
+WITH RECURSIVE letters(f, bit) AS (
+  VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+), walks(filter_order) AS (
+  SELECT ''
+  UNION ALL
+  SELECT filter_order || f FROM walks, letters WHERE NOT contains(filter_order, f)
+), orders AS (
+  SELECT filter_order FROM walks WHERE length(filter_order) = 5
+), texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents
+), counted AS (
+  SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         length(regexp_replace(t, '[^A-Z]', '', 'g')) AS capitals,
+         min(doc_id) OVER (PARTITION BY t) AS first_id
+  FROM texts
+), flags AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+  FROM labels GROUP BY doc_id
+), masks AS (
+  SELECT part,
+         (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+           + 4 * (100 * capitals > 3 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+           + 16 * coalesce(doc_id > first_id, false)::INT AS mask,
+         coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM counted LEFT JOIN flags USING (doc_id)
+), cells AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM masks GROUP BY part, mask
+), steps AS (
+  SELECT filter_order, CAST(k AS INT) AS step, bit,
+         (SELECT CAST(coalesce(sum(l.bit), 0) AS INT) FROM letters l
+          WHERE contains(substr(filter_order, 1, k - 1), l.f)) AS before
+  FROM orders, range(1, 6) r(k), letters WHERE f = substr(filter_order, k, 1)
+), counts AS (
+  SELECT part, filter_order, step, bit,
+         CAST(sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+         CAST(sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+         CAST(sum(CASE WHEN mask & before <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS BIGINT) AS redundant,
+         CAST(sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+         CAST(sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+         CAST(sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counts
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_filter_audit": FILTER_AUDIT,
     "op1_exact_dedup": EXACT_DEDUP,
     "op7_quality_rules": QUALITY_RULES,
 }
