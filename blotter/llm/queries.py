@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.llm import (
+    columns,
     exact_dedup,
     filter_audit,
     lm_scoring,
     mixing,
     ngram_join,
     packing,
+    periodic_runs,
     pii,
     quality,
     secrets,
@@ -122,6 +124,39 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(filter_audit.mask_cells(_documents(spark, sf_dir), labels))
 
 
+def _tail_repeated(docs: DataFrame) -> DataFrame:
+    """One document in ten, by a checksum of its id, gets a repeated tail in place of its own."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+
+    def rewritten(w: Column) -> Column:
+        n, g = F.size(w), F.floor(h / 10)
+        a = (g % n).cast("int")
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8)).cast("int")
+        at = F.sequence(F.lit(0), n - 1)
+        return F.array_join(F.transform(at, lambda i: F.get(w, F.when(i < a, i).otherwise(a + (i - a) % p))), " ")
+
+    words = columns.words(columns.text_or_empty("text"))
+    tail = columns.let(words, lambda w: F.when(F.size(w) > 0, rewritten(w)).otherwise(F.lit("")))
+    return docs.select("doc_id", F.when(h % 10 == 0, tail).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(_tail_repeated(_documents(spark, sf_dir)))
+    shown = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(shown, lambda s: F.concat(s, F.lit("\n"))), "")
+    best = found.withColumn("best", periodic_runs.strongest(F.col("runs")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -134,4 +169,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_packing": op10_packing,
     "op11_filter_audit": op11_filter_audit,
+    "op13_periodic_runs": op13_periodic_runs,
 }
