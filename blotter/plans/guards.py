@@ -24,6 +24,7 @@ from pyspark.sql.types import (
     FloatType,
     IntegerType,
     MapType,
+    NumericType,
     ShortType,
     StringType,
     StructType,
@@ -47,14 +48,16 @@ def _fixed_width(dtype) -> int:
 
 
 def row_bytes(df: DataFrame) -> Column:
-    """Estimated bytes of one row: UTF-8 length of text (JSON length of nested
-    values), the fixed width of other types."""
+    """Estimated bytes of one row: UTF-8 length of text, the fixed width of
+    numbers and of arrays of them, JSON length of other nested values."""
     total: Column = F.lit(0).cast("long")
     for field in df.schema.fields:
         ref = F.col("`" + field.name.replace("`", "``") + "`")
         dtype = field.dataType
         if isinstance(dtype, (StringType, BinaryType)):
             total = total + F.coalesce(F.octet_length(ref), F.lit(0))
+        elif isinstance(dtype, ArrayType) and isinstance(dtype.elementType, NumericType):
+            total = total + F.greatest(F.size(ref), F.lit(0)) * _fixed_width(dtype.elementType)
         elif isinstance(dtype, (ArrayType, MapType, StructType)):
             total = total + F.coalesce(F.octet_length(F.to_json(F.struct(ref))), F.lit(0))
         else:
