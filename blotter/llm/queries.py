@@ -13,6 +13,7 @@ from blotter.llm import (
     filter_audit,
     lm_scoring,
     mixing,
+    neighbours,
     ngram_join,
     packing,
     periodic_runs,
@@ -124,6 +125,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(filter_audit.mask_cells(_documents(spark, sf_dir), labels))
 
 
+def op12_embedding_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_copies(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def _tail_repeated(docs: DataFrame) -> DataFrame:
     """One document in ten, by a checksum of its id, gets a repeated tail in place of its own."""
     h = F.crc32(F.col("doc_id").cast("string"))
@@ -169,5 +174,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_packing": op10_packing,
     "op11_filter_audit": op11_filter_audit,
+    "op12_embedding_neighbours": op12_embedding_neighbours,
     "op13_periodic_runs": op13_periodic_runs,
 }
