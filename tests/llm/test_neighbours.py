@@ -125,7 +125,7 @@ def test_empty_and_useless(spark):
 
 
 def test_descent_finds_what_the_seeds_missed(spark, monkeypatch):
-    """With one poor table of seeds the rounds of the descent find the links."""
+    """With one poor table of seeds the rounds find most links, and the audit goes on until nearly all are found."""
     monkeypatch.setattr(neighbours, "TABLES", 1)
     rng = np.random.default_rng(8)
     base = rng.standard_normal((400, 12))
@@ -138,7 +138,8 @@ def test_descent_finds_what_the_seeds_missed(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "ROUNDS", 6)
     found = neighbours.near_copies(vectors, target=0.0).agg({"n_links": "sum"}).first()[0]
     assert seeded < 0.9 * want
-    assert found >= 0.98 * want
+    assert found >= 0.95 * want
+    assert neighbours.near_copies(vectors).agg({"n_links": "sum"}).first()[0] >= 0.98 * want
 
 
 def test_query_recall(spark):
