@@ -615,6 +615,29 @@ def geodesic_km(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measured.select("c_custkey", F.round("distance_km", 6).alias("distance_km"))
 
 
+def opposite_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer → pairs of points opposite each other on the globe but for a degree or so, some on the equator."""
+    k = F.col("c_custkey")
+    equator = k % 10 == 0
+    lat = F.when(equator, F.lit(0.0)).otherwise((k * 7919 % 18001).cast("double") / F.lit(100.0) - F.lit(90.0))
+    off = F.when(equator, F.lit(0.0)).otherwise((k * 31 % 101 - 50).cast("double") / F.lit(50.0))
+    lon = (k * 104729 % 36000).cast("double") / F.lit(100.0) - F.lit(180.0)
+    near = (k * 17 % 151).cast("double") / F.lit(100.0)
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", lat.alias("lat1"), lon.alias("lon1"))
+    return c.withColumns(
+        {
+            "lat2": F.greatest(F.lit(-90.0), F.least(F.lit(90.0), off - F.col("lat1"))),
+            "lon2": F.col("lon1") + F.lit(180.0) - near,
+        }
+    )
+
+
+def geodesic_antipodal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounded to a centimetre: two ways of computing differ by nanometres, which moves a rounded last digit now and then."""
+    measured = with_geodesic_km(opposite_points(spark, sf_dir), "lat1", "lon1", "lat2", "lon2", "distance_km")
+    return measured.select("c_custkey", F.round("distance_km", 5).alias("distance_km"))
+
+
 QUERIES: dict[str, Query] = {
     # questions
     "q1_df": q1_df,
@@ -692,4 +715,5 @@ QUERIES: dict[str, Query] = {
     "split_replace": split_replace,
     "decode_codes": decode_codes,
     "geodesic_km": geodesic_km,
+    "geodesic_antipodal": geodesic_antipodal,
 }

@@ -10,6 +10,8 @@ as DECIMAL.
 
 from __future__ import annotations
 
+import numpy as np
+
 # Fixed values, written out here so that a wrong one in the library shows.
 ORDER_STATUS_TEXT = [("F", "Fulfilled"), ("O", "Open"), ("P", "Partial")]
 RETURN_FLAG_TEXT = [("A", "Accepted"), ("N", "Not returned"), ("R", "Returned"), ("X", "Unknown")]
@@ -152,6 +154,61 @@ def _geodesic_sql() -> str:
     )
 
 
+def antipodal_sql(digits: int = 5) -> str:
+    """Halving of the azimuth in a recursive query, integrals by 20 Gauss-Legendre terms."""
+    f, one = _d(WGS84_F), _d(1.0)
+    at, weight = np.polynomial.legendre.leggauss(20)
+    nodes = ", ".join(f"{{'x': {_d(x)}, 'w': {_d(w)}}}" for x, w in zip(at, weight))
+
+    def integral(term: str) -> str:
+        x = "sin((o2 + o1) / 2 + (o2 - o1) / 2 * g.x)"
+        return f"(o2 - o1) / 2 * list_sum(list_transform(nodes, lambda g: g.w * ({term.format(x=x)})))"
+
+    return f"""
+WITH RECURSIVE points AS (
+    SELECT c_custkey, c_custkey % 10 = 0 AS equator,
+           CASE WHEN equator THEN {_d(0.0)} ELSE CAST(c_custkey * 7919 % 18001 AS DOUBLE) / {_d(100.0)} - {_d(90.0)} END AS lat1,
+           CASE WHEN equator THEN {_d(0.0)} ELSE CAST(c_custkey * 31 % 101 - 50 AS DOUBLE) / {_d(50.0)} END - lat1 AS free2,
+           greatest({_d(-90.0)}, least({_d(90.0)}, free2)) AS lat2,
+           radians(abs({_d(180.0)} - CAST(c_custkey * 17 % 151 AS DOUBLE) / {_d(100.0)})) AS lon
+    FROM customer
+), reduced AS (
+    SELECT c_custkey, lon, abs(lat1) >= abs(lat2) AS far1,
+           CASE WHEN far1 THEN lat1 ELSE lat2 END AS far, CASE WHEN far1 THEN lat2 ELSE lat1 END AS close,
+           atan((1 - {f}) * tan(radians(-abs(far)))) AS b1,
+           atan((1 - {f}) * tan(radians(CASE WHEN far > 0 THEN -close ELSE close END))) AS b2
+    FROM points
+), tried(c_custkey, lon, b1, b2, lo, hi, n) AS (
+    SELECT c_custkey, lon, b1, b2, {_d(0.0)}, pi(), 0 FROM reduced
+    UNION ALL
+    SELECT c_custkey, lon, b1, b2, CASE WHEN passed < lon THEN mid ELSE lo END, CASE WHEN passed < lon THEN hi ELSE mid END, n + 1
+    FROM (
+        SELECT *, w - {f} * s * {integral(f"(2 - {f}) / (1 + (1 - {f}) * sqrt(1 + k2 * {{x}} * {{x}}))")} AS passed
+        FROM ({_line_sql('tried', '(lo + hi) / 2', nodes, 'lo, hi, n')} WHERE n < 60)
+    )
+), lines AS (
+    {_line_sql('tried', '(lo + hi) / 2', nodes, 'n')} WHERE n = 60
+)
+SELECT c_custkey,
+       round(CASE WHEN b1 = 0 AND b2 = 0 AND lon <= (1 - {f}) * pi() THEN {_d(WGS84_A)} * lon
+                  ELSE {_d(WGS84_B)} * {integral(f"sqrt({one} + k2 * {{x}} * {{x}})")} END / 1000, {digits}) AS distance_km
+FROM lines
+"""
+
+
+def _line_sql(source: str, azimuth: str, nodes: str, keep: str) -> str:
+    """The line leaving latitude ``b1`` at an azimuth, where it meets latitude ``b2``: arcs, longitude, k2."""
+    turned = "CASE WHEN b1 = 0 AND c < 0 THEN -pi() ELSE"
+    return f"""SELECT c_custkey, lon, b1, b2, {keep}, {azimuth} AS mid, [{nodes}] AS nodes,
+               sin(mid) * cos(b1) AS s, cos(mid) * cos(b1) AS c,
+               sqrt(greatest({_d(0.0)}, c * c + CASE WHEN cos(b1) < -sin(b1)
+                   THEN (cos(b2) - cos(b1)) * (cos(b2) + cos(b1)) ELSE (sin(b1) - sin(b2)) * (sin(b1) + sin(b2)) END)) AS e,
+               {turned} atan2(sin(b1), c) END AS o1, atan2(sin(b2), e) AS o2,
+               atan2(s * sin(b2), e) - ({turned} atan2(s * sin(b1), c) END) AS w,
+               {_d(WGS84_A**2 / WGS84_B**2 - 1)} * (1 - s * s) AS k2
+        FROM {source}"""
+
+
 def _q4_sql() -> str:
     lo, hi = 1000, 2000
     where = (
@@ -391,4 +448,5 @@ ORACLE_SQL: dict[str, str] = {
         SELECT l.l_orderkey, l.l_linenumber, l.l_returnflag, f.flag_text
         FROM lineitem l LEFT JOIN {_values(RETURN_FLAG_TEXT, 'f', ('code', 'flag_text'))} ON l.l_returnflag = f.code""",
     "geodesic_km": _geodesic_sql(),
+    "geodesic_antipodal": antipodal_sql(),
 }

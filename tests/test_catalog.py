@@ -28,6 +28,18 @@ def test_query_matches_oracle(spark, duck, key):
     assert result["status"] == "ok", result
 
 
+def test_opposite_points_to_a_micrometre(spark, duck):
+    from blotter.catalog import opposite_points
+    from blotter.functions import with_geodesic_km
+    from blotter.oracle import antipodal_sql
+
+    points = opposite_points(spark, SF01)
+    got = {r.c_custkey: r.km for r in with_geodesic_km(points, "lat1", "lon1", "lat2", "lon2", "km").collect()}
+    want = dict(duck.execute(antipodal_sql(15)).fetchall())
+    assert len(got) == len(want) > 1000
+    assert max(abs(got[k] - want[k]) for k in got) < 1e-9
+
+
 PARTITION_SENSITIVE = [
     "q1_df", "q1_rank_ties", "q2_day_segments", "q3_both", "q4_mean_distance",
     "join_inner", "join_composite", "dedupe_first", "sort_mixed", "topk_bottomk", "inline_dimension",

@@ -128,6 +128,52 @@ def test_geodesic_published_line_and_edges(spark):
     assert got[5] is None
 
 
+def test_geodesic_of_opposite_points(spark):
+    """Points for which the plain iteration does not converge; published lengths, symmetries, the equator."""
+    pts = [
+        (0.0, 0.0, 0.5, 179.5),  # 19936288.579 m, published
+        (0.0, 0.0, 0.5, 179.7),  # 19944127.421 m, published
+        (0.5, 179.5, 0.0, 0.0),
+        (-0.5, -179.5, 0.0, 0.0),
+        (0.0, 10.0, -0.5, -169.5 - 1.0),
+        (0.0, 0.0, 0.0, 180.0),  # over a pole
+        (90.0, 0.0, -90.0, 77.0),
+        (40.0, 10.0, -40.0, -170.0),
+        (0.0, 0.0, 0.0, 179.3),  # still along the equator
+        (0.0, 0.0, 0.0, 179.5),  # no longer
+        (0.0, -179.0, 0.0, 179.0),  # the short way round
+        (1.0, 2.0, 1.0, 362.0),
+        (float("nan"), 0.0, 0.0, 179.9),
+        (0.0, 0.0, None, 179.9),
+    ]
+    df = spark.createDataFrame(pts, "a double, b double, c double, d double").repartition(3)
+    got = {(r.a, r.b, r.c, r.d): r.km for r in with_geodesic_km(df, "a", "b", "c", "d", "km").collect()}
+    km = [got.get(p) for p in pts]
+    half_meridian = 20003.931458625
+    assert abs(km[0] * 1000 - 19936288.579) < 0.001
+    assert abs(km[1] * 1000 - 19944127.421) < 0.001
+    assert all(abs(x - km[0]) < 1e-9 for x in km[2:5])
+    assert all(abs(x - half_meridian) < 1e-8 for x in km[5:8])
+    assert abs(km[8] - 6378.137 * math.radians(179.3)) < 1e-9
+    assert km[8] < km[9] < half_meridian and km[9] < 6378.137 * math.radians(179.5)
+    assert abs(km[10] - 6378.137 * math.radians(2)) < 1e-6
+    assert abs(km[11]) < 1e-9
+    assert km[13] is None
+    assert [x for x in got.values() if x is not None and math.isnan(x)]
+
+
+def test_geodesic_ways_meet(spark, monkeypatch):
+    """The iteration and the search by azimuth agree where both apply."""
+    from blotter.functions import geodesy
+
+    rows = [((k * 37 % 171) - 85.0, 0.0, (k * 53 % 167) - 83.0, float(k * 29 % 160)) for k in range(200)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(2)
+    usual = with_geodesic_km(df, "a", "b", "c", "d", "km").collect()
+    monkeypatch.setattr(geodesy, "FAR", -1.0)
+    searched = {tuple(r)[:4]: r.km for r in with_geodesic_km(df, "a", "b", "c", "d", "km").collect()}
+    assert all(abs(searched[tuple(r)[:4]] - r.km) < 2e-7 for r in usual)
+
+
 def test_geodesic_keeps_other_columns_and_stays_native(spark):
     df = spark.createDataFrame([(1, "x y", 34.0, -118.0, 34.1, -118.1)], "id int, `AREA NAME` string, a double, b double, c double, d double")
     out = with_geodesic_km(df, "a", "b", "c", "d", "dist")
