@@ -31,6 +31,7 @@ from blotter.operators import filters as flt
 from blotter.operators import joins
 from blotter.operators import ordering
 from blotter.operators import projections as proj
+from blotter.operators import skew
 from blotter.operators.setops import union_by_name, union_positional
 from blotter.questions import (
     day_segment_counts,
@@ -461,6 +462,20 @@ def join_repartition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.repartition_join(li, s, "suppkey").select("l_orderkey", "l_linenumber", "suppkey", "s_name")
 
 
+def join_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of all line items under one supplier: its rows are dealt to several tasks."""
+    li, s = _lineitem_suppliers(spark, sf_dir)
+    third = F.when(F.col("l_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("suppkey")).cast("long")
+    out = skew.hot_key_join(li.withColumn("suppkey", third), s, "suppkey")
+    return out.select("l_orderkey", "l_linenumber", "suppkey", "s_name")
+
+
+def join_hash_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shuffled hash join, the customers' build partitions measured first."""
+    o, c = _orders_customers(spark, sf_dir)
+    return skew.bounded_hash_join(o, c, "custkey").select("o_orderkey", "custkey", "c_name", "o_totalprice")
+
+
 def join_normalised_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = customers_as_incidents(spark, sf_dir).select("c_custkey", "AREA")
     posts = nations_as_stations(spark, sf_dir).select("PREC", "DIVISION")
@@ -689,6 +704,8 @@ QUERIES: dict[str, Query] = {
     "join_broadcast": _strategy_join("broadcast"),
     "join_shuffle_hash": _strategy_join("shuffle_hash"),
     "join_merge": _strategy_join("merge"),
+    "join_hot_key": join_hot_key,
+    "join_hash_bounded": join_hash_bounded,
     "join_map_side": join_map_side,
     "join_repartition": join_repartition,
     "join_normalised_key": join_normalised_key,

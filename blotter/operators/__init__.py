@@ -27,6 +27,7 @@ from blotter.operators.joins import (
 from blotter.operators.ordering import bottom_k, sort_by, sort_result, top_k
 from blotter.operators.projections import derive, distinct_values, project, rename, repair_headers
 from blotter.operators.setops import union_by_name, union_positional
+from blotter.operators.skew import bounded_hash_join, frequent_keys, hot_key_join
 from blotter.operators.windows import rank_within, top_n_per_group
 
 __all__ = [
@@ -34,11 +35,14 @@ __all__ = [
     "agg_dict",
     "avg_and_count",
     "bottom_k",
+    "bounded_hash_join",
     "count_by",
     "dedupe_any",
     "dedupe_first",
     "derive",
     "distinct_values",
+    "frequent_keys",
+    "hot_key_join",
     "join_normalised",
     "join_with_strategy",
     "map_side_join",

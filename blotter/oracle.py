@@ -382,6 +382,11 @@ ORACLE_SQL: dict[str, str] = {
     "join_broadcast": _JOIN_ORDERS_CUSTOMER,
     "join_shuffle_hash": _JOIN_ORDERS_CUSTOMER,
     "join_merge": _JOIN_ORDERS_CUSTOMER,
+    "join_hash_bounded": _JOIN_ORDERS_CUSTOMER,
+    "join_hot_key": """
+        SELECT l.l_orderkey, l.l_linenumber, s.s_suppkey AS suppkey, s.s_name
+        FROM lineitem l JOIN supplier s
+          ON s.s_suppkey = CASE WHEN l.l_orderkey % 3 = 0 THEN 1 ELSE l.l_suppkey END""",
     "join_map_side": _JOIN_LINEITEM_SUPPLIER,
     "join_repartition": _JOIN_LINEITEM_SUPPLIER,
     "join_normalised_key": """
