@@ -41,7 +41,7 @@ from blotter.questions import (
     station_distance,
 )
 from blotter.session import scratch_path
-from blotter.sources.csv import read_csv, write_csv
+from blotter.sources.csv import read_csv, read_csv_checked, write_csv
 from blotter.sources.inline import inline_table
 from blotter.sources.parquet import csv_to_parquet, read_parquet, read_table
 
@@ -269,6 +269,55 @@ def scan_csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, ["c_custkey", "quoted_name"])
 
 
+ORDER_TEXT = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+
+
+def _untidy_order_files(spark: SparkSession, sf_dir: str) -> list[str]:
+    """orders → two folders of CSV files: other columns first in one, and here and there a line that is no row."""
+    key = F.col("o_orderkey")
+    folders = []
+    for name, part, order, header in zip(
+        ("early", "late"),
+        _by_date(read_table(spark, sf_dir, "orders")),
+        (ORDER_TEXT, ["o_orderpriority", "o_orderkey", "o_orderstatus", "o_custkey"]),
+        ("o_orderkey,o_custkey,o_orderstatus,o_orderpriority", " o_orderpriority ,o_orderkey,o_orderstatus , o_custkey"),
+    ):
+        quoted = [F.concat(F.lit('"'), F.col(c), F.lit('"')) if c == "o_orderpriority" else F.col(c) for c in order]
+        line = F.concat_ws(",", *quoted)
+        line = (
+            F.when(key % 83 == 0, F.concat(F.lit('"'), F.concat_ws(",", *order)))
+            .when(key % 89 == 0, F.concat(line, F.lit(",more")))
+            .when(key % 97 == 0, F.concat_ws(",", *quoted[:3]))
+            .otherwise(line)
+        )
+
+        def headed(batches, header=header):
+            import pyarrow as pa
+
+            first = True
+            for batch in batches:
+                if first and batch.num_rows:
+                    yield pa.RecordBatch.from_arrays([pa.array([header], batch.schema[0].type)], schema=batch.schema)
+                    first = False
+                yield batch
+
+        folders.append(scratch_path(spark, f"orders-{name}"))
+        part.select(line.alias("value")).mapInArrow(headed, "value string").write.text(folders[-1])
+    return folders
+
+
+def scan_csv_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of files whose headers differ in order and blanks, without the lines that are no rows."""
+    return read_csv_checked(spark, _untidy_order_files(spark, sf_dir), ORDER_TEXT)[0]
+
+
+def scan_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are no rows, counted per folder and reason."""
+    _, rejects = read_csv_checked(spark, _untidy_order_files(spark, sf_dir), ORDER_TEXT)
+    folder = F.regexp_extract("file", "orders-(early|late)-", 1)
+    return agg.count_by(rejects, [folder.alias("folder"), "reason"], "n_lines")
+
+
 def convert_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     source = scratch_path(spark, "part-csv")
@@ -678,6 +727,8 @@ QUERIES: dict[str, Query] = {
     "scan_parquet": scan_parquet,
     "scan_csv": scan_csv,
     "scan_csv_quoted": scan_csv_quoted,
+    "scan_csv_aligned": scan_csv_aligned,
+    "scan_csv_rejects": scan_csv_rejects,
     "convert_parquet": convert_parquet,
     "sink_csv": sink_csv,
     "sink_csv_awkward": sink_csv_awkward,

@@ -331,6 +331,17 @@ ORACLE_SQL: dict[str, str] = {
     "scan_csv_quoted": """
         SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name || ', "' || c_mktsegment || '"' AS quoted_name
         FROM customer""",
+    "scan_csv_aligned": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+               o_orderstatus, o_orderpriority
+        FROM orders WHERE o_orderkey % 83 <> 0 AND o_orderkey % 89 <> 0 AND o_orderkey % 97 <> 0""",
+    "scan_csv_rejects": f"""
+        SELECT CASE WHEN {EARLY} THEN 'early' ELSE 'late' END AS folder,
+               CASE WHEN o_orderkey % 83 = 0 THEN 'open quote' WHEN o_orderkey % 89 = 0 THEN 'too many fields'
+                    ELSE 'too few fields' END AS reason,
+               COUNT(*) AS n_lines
+        FROM orders WHERE o_orderkey % 83 = 0 OR o_orderkey % 89 = 0 OR o_orderkey % 97 = 0
+        GROUP BY 1, 2""",
     "convert_parquet": "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand FROM part",
     "sink_csv": "SELECT CAST(event_id AS VARCHAR) AS event_id, event_type FROM events",
     "sink_csv_awkward": """

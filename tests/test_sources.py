@@ -5,7 +5,16 @@ import pytest
 
 from blotter.plans import physical_section
 from blotter.session import local_path, scratch_path
-from blotter.sources import csv_to_parquet, inline_table, read_csv, read_table, trim_headers, write_csv
+from blotter.sources import (
+    csv_to_parquet,
+    file_headers,
+    inline_table,
+    read_csv,
+    read_csv_checked,
+    read_table,
+    trim_headers,
+    write_csv,
+)
 
 # Made-up incident rows: a header with a trailing blank, quoted commas,
 # doubled quotes, two adjacent quoted fields, empty fields and a bad date.
@@ -135,3 +144,62 @@ def test_checkpoint_root_needs_a_shared_folder_on_a_cluster():
 
     assert _one_process("local[4]") and _one_process("local")
     assert not _one_process("local-cluster[2,1,1024]") and not _one_process("spark://host:7077")
+
+
+def _files(**bodies):
+    folder = tempfile.mkdtemp(prefix="blotter-fixture-")
+    for name, body in bodies.items():
+        with open(os.path.join(folder, f"{name}.csv"), "w", encoding="utf-8") as fh:
+            fh.write(body)
+    return folder
+
+
+def test_headers_in_another_order(spark):
+    folder = _files(one="a,b\n1,2\n", two="b,a\n3,4\n", three="", four=" A , b\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, folder).collect()
+    rows, rejects = read_csv_checked(spark, folder)
+    assert rows.columns in (["a", "b"], ["A", "b"])
+    assert sorted(map(tuple, rows.collect())) == [("1", "2"), ("4", "3")]
+    assert rejects.count() == 0
+    names = {os.path.basename(f): h for f, h in file_headers(spark, folder).items()}
+    assert names == {"one.csv": ["a", "b"], "two.csv": ["b", "a"], "four.csv": ["A", "b"]}
+
+
+def test_missing_and_doubled_columns(spark):
+    folder = _files(one="a,b,c\n1,2,3\n", two="\ufeffc,a\n6,4\n")
+    with pytest.raises(ValueError, match="'b'"):
+        read_csv_checked(spark, folder)
+    rows, _ = read_csv_checked(spark, folder, ["c", "a"])
+    assert sorted(map(tuple, rows.collect())) == [("3", "1"), ("6", "4")]
+    rows, _ = read_csv_checked(spark, folder, missing="null")
+    assert sorted((r.a, r.b, r.c) for r in rows.collect()) == [("1", "2", "3"), ("4", None, "6")]
+    doubled = _files(one="AREA ,AREA,x\n1,2,3\n")
+    with pytest.raises(ValueError, match="2 times"):
+        read_csv_checked(spark, doubled, ["AREA"])
+    assert [r.x for r in read_csv_checked(spark, doubled, ["x"])[0].collect()] == ["3"]
+    with pytest.raises(ValueError):
+        read_csv_checked(spark, doubled, ["x"], missing="hope")
+
+
+def test_lines_that_are_no_rows(spark):
+    body = 'k,t,u\n1,a,b\n2,a\n3,a,b,c\n4,"a, ""x""",\n5,"open,b\n\n6,,""\n7\n'
+    rows, rejects = read_csv_checked(spark, [_files(one=body), _files(one="u,t,k\nb,a,8\nb\n")], ["k", "u", "t"])
+    good = sorted(map(tuple, rows.select("k", "t", "u").collect()))
+    assert good == [("1", "a", "b"), ("4", 'a, "x"', None), ("6", None, ""), ("8", "a", "b")]
+    bad = sorted((r.line, r.reason) for r in rejects.collect())
+    assert bad == [
+        ("2,a", "too few fields"),
+        ("3,a,b,c", "too many fields"),
+        ('5,"open,b', "open quote"),
+        ("7", "too few fields"),
+        ("b", "too few fields"),
+    ]
+    assert all(r.file.endswith("one.csv") for r in rejects.collect())
+    # whatever is read of the rows, the same lines count
+    assert rows.count() == 4 and rows.select("t").count() == 4 and rejects.select("reason").count() == 5
+
+
+def test_checked_csv_without_files_of_rows(spark):
+    rows, rejects = read_csv_checked(spark, _files(one=""), ["a"])
+    assert rows.columns == ["a"] and rows.count() == 0 and rejects.count() == 0
