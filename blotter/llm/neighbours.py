@@ -53,16 +53,16 @@ LIST_SIZE = 10
 TABLES = 8
 WINDOW = 3
 CODE_BITS = 48
-BEST = 5  # partners a member gets from one list, beside all links
-ROUNDS = 6
-CHANGED = 0.02  # share of new list entries below which a descent ends
+BEST = 4  # partners a member gets from one list, beside all links
+ROUNDS = 5
+CHANGED = 0.05  # share of new list entries below which a descent ends
 AUDIT_SIZE = 1024
 TARGET = 0.98
 AUDITS = 4
 BINS = 16  # of the angle of the threshold
 MARGIN = 1e-6  # radians
 BLOCK = 1024
-CELLS = 1 << 22  # numbers held by one numpy step
+CELLS = 1 << 20  # numbers held by one numpy step
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -161,7 +161,8 @@ def _seeds(nodes: DataFrame, tables: int, window: int, seed: int) -> DataFrame:
 
 def _best(found: DataFrame, size: int) -> DataFrame:
     """The ``size`` best neighbours of every node: u, v, sim, fresh."""
-    once = found.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
+    # dealt by u once, for the distinct pairs and for the ranks
+    once = found.repartition("u").groupBy("u", "v").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
     place = Window.partitionBy("u").orderBy(F.col("sim").desc(), "v")
     return once.withColumn("k", F.row_number().over(place)).where(F.col("k") <= size).drop("k")
 
