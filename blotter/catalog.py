@@ -27,6 +27,7 @@ from blotter.functions.time import (
     month_of,
 )
 from blotter.operators import aggregates as agg
+from blotter.operators import exact
 from blotter.operators import filters as flt
 from blotter.operators import joins
 from blotter.operators import ordering
@@ -43,6 +44,8 @@ from blotter.questions import (
 from blotter.session import scratch_path
 from blotter.sources.csv import read_csv, read_csv_checked, write_csv
 from blotter.sources.inline import inline_table
+from blotter.plans.guards import materialise
+from blotter.plans.ledger import RejectLedger
 from blotter.sources.parquet import csv_to_parquet, read_parquet, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -325,6 +328,28 @@ def convert_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_to_parquet(spark, source, scratch_path(spark, "part-parquet"))
 
 
+def clustered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders → CSV → Parquet in folders by year, ranges of customers within."""
+    o = read_table(spark, sf_dir, "orders")
+    source = scratch_path(spark, "orders-dated-csv")
+    dated = o.select("o_orderkey", F.lpad(F.col("o_custkey").cast("string"), 12, "0").alias("customer"), "o_orderdate")
+    write_csv(dated.withColumn("o_orderdate", format_timestamp("o_orderdate")), source, header=True)
+    return csv_to_parquet(
+        spark,
+        source,
+        scratch_path(spark, "orders-clustered"),
+        partition_by={"year": year_of(parse_timestamp("o_orderdate"))},
+        sort_by=["customer"],
+    )
+
+
+def convert_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One year's orders of a range of customers, read back from the clustered files."""
+    stored = clustered_orders(spark, sf_dir)
+    wanted = flt.where_in_range(stored, "customer", "000000000100", "000000000400").filter("year = 1996")
+    return wanted.select("o_orderkey", "customer", "o_orderdate", "year")
+
+
 def sink_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "events").select("event_id", "event_type")
     path = scratch_path(spark, "events-csv")
@@ -550,6 +575,14 @@ def mean_from_sum_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agg.mean_from_sum_count(e, ["event_type"], "value", "avg_value", "n", digits=6)
 
 
+def mean_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means and sums that are the same bit for bit however the rows are partitioned."""
+    e = read_table(spark, sf_dir, "events")
+    means = exact.exact_mean(e, ["event_type"], "value", "avg_value", "n", digits=9)
+    sums = exact.exact_sum(e, ["event_type"], "value").select("event_type", F.round("sum", 6).alias("sum_value"))
+    return means.join(sums, "event_type")
+
+
 def agg_dict(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     out = agg.agg_dict(li, ["l_returnflag"], {"l_linenumber": "sum"})
@@ -607,6 +640,36 @@ def parse_hhmm_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.withColumn("time_of_day", parse_hhmm("hhmm_text"))
 
 
+def reject_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 over dates as text, with the dates, codes and incomes that could not be read, counted by the job of the answer."""
+    o = read_table(spark, sf_dir, "orders")
+    partial = F.col("o_orderstatus") == "P"
+    raw = o.select(
+        F.when(partial, F.lit("not a date")).otherwise(format_timestamp("o_orderdate")).alias("DATE OCC"),
+        F.when(F.col("o_custkey") % 7 == 0, F.lit("n/a")).otherwise(F.col("o_custkey").cast("string")).alias("code"),
+        F.when(F.col("o_orderkey") % 11 == 0, F.lit("$ unknown"))
+        .otherwise(currency_text(F.floor("o_totalprice")))
+        .alias("income"),
+    )
+    ledger = RejectLedger()
+    watched = ledger.watch(
+        raw,
+        {
+            "date": (F.col("DATE OCC"), parse_timestamp("DATE OCC")),
+            "code": (F.col("code"), to_int("code")),
+            "income": (F.col("income"), currency_to_int("income")),
+        },
+    )
+    answer, _, _ = materialise(peak_months(watched), "q1-answer")
+    lost = [(cause, n) for cause, n in ledger.counts().items()]
+    counts = spark.createDataFrame(lost, "cause string, n long")
+    told = answer.select(
+        F.concat_ws("-", F.coalesce(F.col("year").cast("string"), F.lit("no year")), "rank").alias("cause"),
+        F.col("crime_total").alias("n"),
+    )
+    return counts.union(told)
+
+
 def year_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     return o.select("o_orderkey", year_of("o_orderdate").alias("year"), month_of("o_orderdate").alias("month"))
@@ -730,6 +793,7 @@ QUERIES: dict[str, Query] = {
     "scan_csv_aligned": scan_csv_aligned,
     "scan_csv_rejects": scan_csv_rejects,
     "convert_parquet": convert_parquet,
+    "convert_clustered": convert_clustered,
     "sink_csv": sink_csv,
     "sink_csv_awkward": sink_csv_awkward,
     "table_count": table_count,
@@ -764,6 +828,7 @@ QUERIES: dict[str, Query] = {
     "count_by_group": count_by_group,
     "avg_and_count": avg_and_count,
     "mean_from_sum_count": mean_from_sum_count,
+    "mean_exact": mean_exact,
     "agg_dict": agg_dict,
     "dedupe_any": dedupe_any,
     "dedupe_first": dedupe_first,
@@ -773,6 +838,7 @@ QUERIES: dict[str, Query] = {
     # scalar functions
     "parse_timestamp": parse_timestamp_q,
     "parse_hhmm": parse_hhmm_q,
+    "reject_ledger": reject_ledger,
     "year_month": year_month,
     "cast_int": cast_int,
     "default_int": default_int,

@@ -9,6 +9,7 @@ from blotter.operators.aggregates import (
     mean_from_sum_count,
     sum_ones_by,
 )
+from blotter.operators.exact import exact_mean, exact_sum
 from blotter.operators.filters import (
     where_contains,
     where_equal,
@@ -41,6 +42,8 @@ __all__ = [
     "dedupe_first",
     "derive",
     "distinct_values",
+    "exact_mean",
+    "exact_sum",
     "frequent_keys",
     "hot_key_join",
     "join_normalised",

@@ -342,6 +342,10 @@ ORACLE_SQL: dict[str, str] = {
                COUNT(*) AS n_lines
         FROM orders WHERE o_orderkey % 83 = 0 OR o_orderkey % 89 = 0 OR o_orderkey % 97 = 0
         GROUP BY 1, 2""",
+    "convert_clustered": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, lpad(CAST(o_custkey AS VARCHAR), 12, '0') AS customer,
+               strftime(o_orderdate, '%m/%d/%Y %I:%M:%S %p') AS o_orderdate, CAST(1996 AS INTEGER) AS year
+        FROM orders WHERE year(o_orderdate) = 1996 AND o_custkey >= 100 AND o_custkey < 400""",
     "convert_parquet": "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand FROM part",
     "sink_csv": "SELECT CAST(event_id AS VARCHAR) AS event_id, event_type FROM events",
     "sink_csv_awkward": """
@@ -407,6 +411,10 @@ ORACLE_SQL: dict[str, str] = {
         SELECT o_orderstatus, o_orderpriority, COUNT(*) AS count FROM orders GROUP BY 1, 2""",
     "avg_and_count": _AVG_COUNT,
     "mean_from_sum_count": _AVG_COUNT,
+    "mean_exact": """
+        SELECT event_type, round(fsum(value) / count(value), 9) AS avg_value, COUNT(*) AS n,
+               round(fsum(value), 6) AS sum_value
+        FROM events GROUP BY event_type""",
     "agg_dict": """
         SELECT l_returnflag, CAST(sum(l_linenumber) AS BIGINT) AS sum_linenumber FROM lineitem GROUP BY 1""",
     "dedupe_any": "SELECT DISTINCT lang || ' ' || source AS key FROM documents",
@@ -436,6 +444,20 @@ ORACLE_SQL: dict[str, str] = {
         SELECT event_id, strftime(ts, '%H%M') AS hhmm_text,
                strptime('1970-01-01 ' || strftime(ts, '%H%M'), '%Y-%m-%d %H%M') AS time_of_day
         FROM events""",
+    "reject_ledger": """
+        WITH counts AS (
+            SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE year(o_orderdate) END AS year,
+                   CASE WHEN o_orderstatus = 'P' THEN NULL ELSE month(o_orderdate) END AS month, COUNT(*) AS n
+            FROM orders GROUP BY 1, 2
+        ), ranked AS (
+            SELECT year, n, row_number() OVER (PARTITION BY year ORDER BY n DESC, month) AS place FROM counts
+        )
+        SELECT 'rows' AS cause, COUNT(*) AS n FROM orders
+        UNION ALL SELECT 'date', COUNT(*) FILTER (o_orderstatus = 'P' AND o_orderstatus IS NOT NULL) FROM orders
+        UNION ALL SELECT 'code', COUNT(*) FILTER (o_custkey % 7 = 0) FROM orders
+        UNION ALL SELECT 'income', COUNT(*) FILTER (o_orderkey % 11 = 0) FROM orders
+        UNION ALL SELECT coalesce(CAST(year AS VARCHAR), 'no year') || '-' || CAST(place AS VARCHAR), n
+        FROM ranked WHERE place <= 3""",
     "year_month": """
         SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month
         FROM orders""",

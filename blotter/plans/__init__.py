@@ -9,10 +9,12 @@ from blotter.plans.guards import (
     row_bytes,
 )
 from blotter.plans.inspect import has_node, join_strategies, physical_section, plan_text, schema_listing
+from blotter.plans.ledger import RejectLedger
 
 __all__ = [
     "DEFAULT_BROADCAST_BYTES",
     "DEFAULT_BROADCAST_ROWS",
+    "RejectLedger",
     "broadcast_if_small",
     "has_at_most",
     "has_node",

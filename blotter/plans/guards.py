@@ -6,9 +6,9 @@ check bounds both the number of rows and their bytes (strings by their
 UTF-8 length, other types by their fixed width); beyond either bound the
 caller must take a shuffle join.
 
-The check is one aggregate (row count and summed bytes) computed on the
-executors; one row reaches the driver.  It reads the dimension once, when the
-join is built.
+``has_at_most`` is one aggregate (row count and summed bytes) computed on the
+executors; one row reaches the driver.  ``broadcast_if_small`` observes the
+same numbers while writing the copy that the join reads, when it is built.
 """
 
 from __future__ import annotations
@@ -71,17 +71,6 @@ def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST
     return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
 
 
-def broadcast_if_small(
-    df: DataFrame,
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
-    max_bytes: int = DEFAULT_BROADCAST_BYTES,
-) -> tuple[DataFrame, bool]:
-    """``(F.broadcast(df), True)`` when the size check passes, else ``(df, False)``."""
-    if has_at_most(df, max_rows, max_bytes):
-        return F.broadcast(df), True
-    return df, False
-
-
 def materialise(df: DataFrame, label: str) -> tuple[DataFrame, int, int]:
     """Write ``df`` as Parquet below the shared checkpoint folder, read it back.
 
@@ -101,3 +90,20 @@ def materialise(df: DataFrame, label: str) -> tuple[DataFrame, int, int]:
     observed.write.parquet(path)
     metrics = seen.get
     return spark.read.schema(df.schema).parquet(path), int(metrics["rows"]), int(metrics["bytes"])
+
+
+def broadcast_if_small(
+    df: DataFrame,
+    max_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_bytes: int = DEFAULT_BROADCAST_BYTES,
+) -> tuple[DataFrame, bool]:
+    """``(broadcast of df, True)`` when it is within both bounds, else ``(df, False)``.
+
+    The rows, one over the bound at most, are written once to the scratch
+    folder with their size observed, and the join reads that copy: the
+    dimension itself is computed once, and never read whole beyond the bound.
+    """
+    copy, rows, size = materialise(df.limit(max_rows + 1), "dimension")
+    if rows > max_rows or size > max_bytes:
+        return df, False
+    return F.broadcast(copy), True

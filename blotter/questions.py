@@ -15,13 +15,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from blotter.functions.daypart import day_segment
 from blotter.functions.geodesy import with_geodesic_km
 from blotter.functions.numeric import currency_to_long, to_int
-from blotter.functions.text import join_key
 from blotter.functions.time import REPORT_FORMAT, month_of, parse_timestamp, year_of
 from blotter.operators.aggregates import avg_and_count, count_by, sum_ones_by
+from blotter.operators.exact import exact_mean
 from blotter.operators.filters import where_contains, where_not_equal, where_not_null
 from blotter.operators.joins import STRATEGIES, join_normalised, join_with_strategy
 from blotter.operators.ordering import bottom_k, sort_result, top_k
@@ -209,13 +210,25 @@ def descent_breakdown(
         # one zip per (lat, lon): tag first, then a plain hash distinct
         chosen = keyed.join(zips, zip_col).select(lat_col, lon_col, "tag").distinct()
     else:
-        # several zips for one coordinate: the smallest counts, whatever the row order
+        # Several zips for one coordinate: the smallest counts, whatever the row
+        # order.  A zip's place among the chosen ones is a number of its own
+        # order: 2 i + 1 for the i-th, an even number for one in between.  Its
+        # minimum is a plain hash aggregate; text zips would have to be sorted.
+        # (The at most 2k zips come to the driver to be written out as a literal.)
+        zips = materialise(zips, "q3-zips")[0].hint(chosen_by["zips"] or "broadcast")
+        kind = zips.schema[zip_col].dataType
+        listed = F.array(*[F.lit(r[0]) for r in zips.select(zip_col).distinct().collect() if r[0] is not None])
+        listed = listed.cast(ArrayType(kind))
+        place = 2 * F.size(F.filter(listed, lambda z: z < F.col(zip_col))) + F.array_contains(
+            listed, F.col(zip_col)
+        ).cast("int")
         unique = (
-            keyed.groupBy(join_key(lat_col, lon_col).alias("__latlon"))
-            .agg(F.min(F.struct(zip_col, lat_col, lon_col)).alias("__row"))
-            .select("__row.*")
+            keyed.where(F.col(zip_col).isNotNull())
+            .groupBy(lat_col, lon_col)
+            .agg(F.min(place).alias("__place"))
+            .where(F.col("__place") % 2 == 1)
         )
-        chosen = unique.join(zips, zip_col).select(lat_col, lon_col, "tag")
+        chosen = unique.join(zips.withColumn("__place", place), "__place").select(lat_col, lon_col, "tag")
     # Computed once and written to the shared scratch folder; the size
     # observed while writing decides whether the places are broadcast.
     chosen, n_places, places_bytes = materialise(chosen, "q3-places")
@@ -267,6 +280,7 @@ def station_distance(
     digits: int | None = None,
     station_strategy: str | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    exact: bool = False,
 ) -> DataFrame:
     """Per division: incident count and mean distance (km) to its station.
 
@@ -277,7 +291,9 @@ def station_distance(
 
     ``station_strategy=None`` lets the planner broadcast the station table
     from its size statistics (a few kilobytes of Parquet); ``'broadcast'``
-    adds an explicit size check and raises beyond it.
+    adds an explicit size check and raises beyond it.  ``exact`` adds the
+    distances without rounding, so the means do not depend on how the
+    incidents are partitioned, bit for bit.
     """
     facts = incidents
     if area_name_col and exclude_area_name is not None:
@@ -300,7 +316,8 @@ def station_distance(
         facts, posts, area_col, station_area_col, "__area", station_strategy, max_broadcast_rows
     )
     measured = with_geodesic_km(joined, lat_col, lon_col, "__station_lat", "__station_lon", "__distance")
-    per_division = avg_and_count(
+    averaged = exact_mean if exact else avg_and_count
+    per_division = averaged(
         measured, ["division"], "__distance", "average_distance", "incidents total", digits
     )
     return sort_result(per_division, [F.col("incidents total").desc(), F.col("division").asc()])

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -21,6 +24,9 @@ BASE_CONF = {
 }
 
 
+SCRATCH = "blotter-scratch"  # folder below the checkpoint root
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "blotter",
@@ -98,10 +104,52 @@ def session_key(spark: SparkSession) -> str:
         return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
+_made: list[str] = []  # scratch paths handed out by this process, in order
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/blotter-scratch/{label}-{uuid.uuid4().hex}"
+    _made.append(f"{root}/{SCRATCH}/{label}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is written to scratch paths inside the block goes when the block ends.
+
+    DataFrames built inside read those files: write or collect them before the
+    end.  Only paths handed out by this process within the block are deleted.
+    """
+    before = len(_made)
+    try:
+        yield
+    finally:
+        for path in _made[before:]:
+            _delete(spark, path)
+        del _made[before:]
+
+
+def remove_old_scratch(spark: SparkSession, older_than_hours: float) -> list[str]:
+    """Delete scratch folders below the checkpoint root last changed so many hours ago, of any process; returns them.
+
+    Choose an age above that of the longest job: its files are still read.
+    """
+    if older_than_hours <= 0:
+        raise ValueError("an age above zero: younger folders may be in use")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark).rstrip('/')}/{SCRATCH}")
+    files = root.getFileSystem(conf)
+    if not files.exists(root):
+        return []
+    latest = (time.time() - 3600 * older_than_hours) * 1000
+    old = [str(f.getPath()) for f in files.listStatus(root) if f.getModificationTime() < latest]
+    return [path for path in old if _delete(spark, path)]
 
 
 def local_path(path: str) -> str:

@@ -3,7 +3,7 @@
 from blotter.sources.codes import DESCENT_CODES, descent_codes
 from blotter.sources.csv import file_headers, read_csv, read_csv_checked, string_schema, trim_headers, write_csv
 from blotter.sources.inline import inline_table
-from blotter.sources.parquet import csv_to_parquet, read_parquet, read_table
+from blotter.sources.parquet import csv_to_parquet, read_parquet, read_table, write_clustered
 
 __all__ = [
     "DESCENT_CODES",
@@ -17,5 +17,6 @@ __all__ = [
     "read_table",
     "string_schema",
     "trim_headers",
+    "write_clustered",
     "write_csv",
 ]
