@@ -222,8 +222,15 @@ def descent_breakdown(
         place = 2 * F.size(F.filter(listed, lambda z: z < F.col(zip_col))) + F.array_contains(
             listed, F.col(zip_col)
         ).cast("int")
+        # Only coordinates that some chosen zip has can end up with one: they are
+        # few, so all their rows are found by a second scan, not by a shuffle.
+        held = keyed.join(zips.select(zip_col).distinct(), zip_col, "left_semi").select(lat_col, lon_col).distinct()
+        held, n_held, held_bytes = materialise(held, "q3-coordinates")
+        if n_held <= max_broadcast_rows and held_bytes <= DEFAULT_BROADCAST_BYTES:
+            held = F.broadcast(held)
         unique = (
             keyed.where(F.col(zip_col).isNotNull())
+            .join(held, [lat_col, lon_col], "left_semi")
             .groupBy(lat_col, lon_col)
             .agg(F.min(place).alias("__place"))
             .where(F.col("__place") % 2 == 1)
