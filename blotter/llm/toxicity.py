@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.window import Window
 
 from blotter.llm import kernels
 from blotter.llm.columns import ref
@@ -43,8 +44,9 @@ PER_CLASS = 1500
 DIMENSIONS = 8
 LEAST_DOCUMENTS = 2  # of the sample an n-gram must occur in
 DENSE = 0.03  # share of the sample from which on an n-gram is held as a dense column
-STEPS = 200
-RATE = 600.0
+STEPS = 100
+RATE = 1500.0
+AVERAGED = 50  # steps, the last ones: single ones swing around the solution
 DECAY = 1e-6
 SCALING = 0.25  # power of a feature's spread it is divided by: rare n-grams do not outweigh common ones
 
@@ -105,7 +107,8 @@ def fit(texts: list[bytes], labels: np.ndarray, share: float) -> tuple[np.ndarra
     # stay own * embed + x.T @ rows; only the products of the sample's rows are needed.
     own, rows, first, products = np.ones(1, np.float32), np.zeros((len(texts), DIMENSIONS), np.float32), x.times(embed), x.products()
     moved = [np.zeros_like(v) for v in (own, rows, soft, bias)]
-    for _ in range(STEPS):
+    drawn, swung, offset = 0.0, 0.0, 0.0  # the classifier, averaged over the last steps
+    for step in range(STEPS):
         hidden = own * first + products @ rows
         logit = hidden @ soft + bias
         p = np.exp(logit - logit.max(axis=1, keepdims=True))
@@ -116,11 +119,13 @@ def fit(texts: list[bytes], labels: np.ndarray, share: float) -> tuple[np.ndarra
             m *= 0.9  # momentum
             m -= 0.1 * r * g
             v += m
-    apart = soft[:, 1] - soft[:, 0]
-    line = (own * (embed @ apart) + x.back(rows @ apart)) / x.scale
+        if step >= STEPS - AVERAGED:
+            apart = (soft[:, 1] - soft[:, 0]) / AVERAGED
+            drawn, swung, offset = drawn + own * apart, swung + rows @ apart, offset + (bias[1] - bias[0]) / AVERAGED
+    line = (embed @ drawn + x.back(swung)) / x.scale
     out = np.zeros(buckets, dtype=np.float32)
     out[chosen] = line
-    neutral = float(bias[1] - bias[0] + prior)  # where every n-gram has its average share
+    neutral = float(offset + prior)  # where every n-gram has its average share
     return out, neutral - float(x.mean @ line), neutral
 
 
@@ -158,8 +163,7 @@ class _Features:
         self.mean = total / self.n
         spread = np.sqrt(np.maximum(square / self.n - self.mean**2, 0)) + 1e-9
         scale = spread**SCALING
-        whole = slice(0, common or None)
-        self.scale = scale * np.sqrt(((spread / scale)[whole] ** 2).sum())  # the common features together have variance 1
+        self.scale = scale * np.sqrt(((spread / scale) ** 2).sum())  # all features together have variance 1, however held
         self.value = self.value / self.scale[self.col]
         self.dense /= self.scale[:common]
         self.middle = self.mean / self.scale
@@ -210,7 +214,10 @@ def sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_c
     ]
     picked = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most 2 * per_class rows of two numbers
     rows = df.select(ref(id_col).alias("label_id"), ref(text_col).cast("string").alias("text"))
-    return rows.join(picked, "label_id").select("text", "label", F.lit(0.5 if share is None else share).alias("share"))
+    # of rows that share an id one is learnt from, so the bound holds whatever the ids
+    place = Window.partitionBy("label_id").orderBy(F.xxhash64("text"), "text")
+    one = rows.join(picked, "label_id").withColumn("place", F.row_number().over(place)).where("place = 1")
+    return one.select("text", "label", F.lit(0.5 if share is None else share).alias("share"))
 
 
 def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from blotter.llm import (
     exact_dedup,
@@ -383,6 +384,31 @@ def test_products_of_sparse_features():
         assert np.allclose(part.back(np.arange(40.0)), x.T @ np.arange(40.0), atol=1e-3)
 
 
+def test_one_common_feature_does_not_change_the_scale():
+    """How a feature is held is no part of the model: the same numbers with one dense column, none or all."""
+    texts = [(_prose(k, 40) + (" toxic" if k % 2 else "")).encode() for k in range(60)]
+    labels = np.arange(60) % 2
+    fits = []
+    for share in (0.0, 0.3, 2.0):
+        toxicity_dense, toxicity.DENSE = toxicity.DENSE, share
+        try:
+            fits.append(toxicity.fit(texts, labels, 0.5)[0])
+        finally:
+            toxicity.DENSE = toxicity_dense
+    assert np.abs(fits[0]).max() > 0
+    for other in fits[1:]:
+        assert np.allclose(fits[0], other, atol=1e-3 * np.abs(fits[0]).max())
+
+
+def test_repeated_ids_do_not_widen_the_sample(spark):
+    df = spark.range(4000).select(
+        (F.col("id") % 20).alias("doc_id"), F.concat_ws(" ", F.lit("text"), F.col("id").cast("string")).alias("text")
+    )
+    lab = spark.range(20).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    rows = toxicity.sample(df, lab, "doc_id", "text", "toxic", 5).collect()
+    assert 0 < len(rows) <= 10
+
+
 # 7 -------------------------------------------------------------------------
 
 
