@@ -42,7 +42,9 @@ class Feistel:
     """A keyed permutation of 0..m-1: a balanced network on the next even number of bits, walked until it falls below m."""
 
     def __init__(self, key: bytes, tweak: str, m: int):
-        self._key, self._tweak, self._m = key[:64], tweak.encode(), m
+        if len(key) > 64:
+            raise ValueError("a key has at most 64 bytes")
+        self._key, self._tweak, self._m = key, tweak.encode(), m
         self._half = max(1, ((m - 1).bit_length() + 1) // 2)
         self._mask = (1 << self._half) - 1
 
@@ -233,9 +235,11 @@ def _email(s: str):
     return f"email{''.join(str(b % 7) for b, _ in shape)}", size, rank, back
 
 
-# Kinds in order of precedence: name, pattern, reader.
+# Kinds in order of precedence: name, pattern, reader.  Every pattern ends after a
+# bounded number of characters but for an e-mail address's domain, so a search is
+# linear in the text; a local part has at most 64 characters, as the format allows.
 KINDS: list[tuple[str, str, Callable]] = [
-    ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", _email),
+    ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", _email),
     ("iban", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", _iban),
     ("date", r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9])", _date),
     ("ip", r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])", _ip),
@@ -251,7 +255,7 @@ KINDS: list[tuple[str, str, Callable]] = [
 # and is no e-mail address does not go on with a number either ("1.", "1/", "1-").
 _ANY = "(?:" + "|".join(f"(?P<{n}>{p})" for n, p, _ in KINDS) + ")"
 _SEARCH = re.compile(
-    r"(?<![A-Za-z0-9])(?:(?=[A-Za-z+(])|(?<![0-9][./-])(?=[0-9])|(?=[0-9][A-Za-z0-9._%+-]*@))" + _ANY
+    r"(?<![A-Za-z0-9])(?:(?=[A-Za-z+(])|(?<![0-9][./-])(?=[0-9])|(?=[0-9][A-Za-z0-9._%+-]{0,63}+@))" + _ANY
 )
 _NEXT = re.compile(r"[./+-]" + _ANY)  # directly after a value: a range
 _READERS = {n: r for n, _, r in KINDS}
@@ -312,6 +316,7 @@ def _valid_end(kind: str, text: str, start: int) -> int | None:
         whole = hit and not (text[hit.end() - 1].isalnum() and text[hit.end()].isalnum())
     return None
 
+
 _SPANS = ArrayType(
     StructType([StructField("kind", StringType()), StructField("start", LongType()), StructField("stop", LongType())])
 )
@@ -319,6 +324,7 @@ _SPANS = ArrayType(
 
 def pseudonymise(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, ``text`` with pseudonyms and ``spans`` (kind, start, stop in code points)."""
+    Feistel(key, "", 2)  # a key that is too long fails here, not in a task
     id_type = df.schema[id_col].dataType
     schema = StructType([StructField(id_col, id_type), StructField("pseudo_text", StringType()), StructField("spans", _SPANS)])
     arrow_spans = to_arrow_type(_SPANS)
