@@ -1,14 +1,16 @@
 """Secret scans: fixed patterns, and a battery of randomness tests.
 
 Base spans follow three patterns (``assign``, ``access``, ``hex``).  The
-battery looks at long tokens that mix letters and digits:
+battery looks at long tokens of letters, of digits, or of both with signs:
 
-* the encoding is inferred from the characters used (hex, base32, one-case
-  alphanumeric, alphanumeric, base64) and gives the alphabet;
+* the encoding is inferred from the characters used (digits, letters of one or
+  both cases, hex, base32, one-case alphanumeric, alphanumeric, base64) and
+  gives the alphabet;
 * three tests of the hypothesis "drawn evenly from that alphabet": chi-squared
   uniformity of the symbols, runs above and below the middle of the alphabet,
-  and serial correlation of neighbours; the smallest of the three p-values,
-  times three, is the token's;
+  and serial correlation of neighbours; letters of one case also have the share
+  of vowels and its runs tested, as that is what tells words; the smallest of
+  the p-values, times their number, is the token's;
 * false discoveries are controlled per encoding and length class, because
   short tokens give weak evidence: Benjamini-Hochberg over all tokens of a
   class in the corpus decides which are shown not to be random.  The others
@@ -29,6 +31,7 @@ table gives an empty result; further columns do not matter.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +47,7 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 LEAST_VALUE = 6  # characters of an assigned value
+PIECE = 64  # values of a running sum copied at a time
 
 KINDS = ("assign", "access", "hex", "random")
 
@@ -51,6 +55,9 @@ LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ
 # Inferred encodings, first match: name, pattern of the token, alphabet, and
 # whether the token is read in lower case.
 ENCODINGS = (
+    ("digits", r"^[0-9]+$", DIGITS, False),
+    ("letters26", r"^(?:[a-z]+|[A-Z]+)$", LOWER, True),
+    ("letters52", r"^[A-Za-z]+$", UPPER + LOWER, False),
     ("hex", r"^(?:[0-9a-f]+|[0-9A-F]+)$", DIGITS + "abcdef", True),
     ("base32", r"^[A-Z2-7]+=*$", UPPER + "234567", False),
     ("alnum36", r"^(?:[0-9a-z]+|[0-9A-Z]+)$", DIGITS + LOWER, True),
@@ -66,6 +73,34 @@ LAST_BIN = 30 * BINS_PER_DECADE
 SPAN = "struct<start: bigint, kind: int, stop: bigint>"
 
 
+def running(values: Column, zero: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """For each value the merge of all before it.
+
+    An array can only be extended by copying it, so this goes by pieces of
+    ``PIECE`` values: each copies no more than a piece, and the pieces' own
+    totals are few.
+    """
+
+    def step(acc: Column, x: Column) -> Column:
+        return F.struct(merge(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+
+    def over(some: Column, at: Column) -> Column:
+        start = F.struct(at.alias("at"), F.slice(F.array(at), 1, 0).alias("out"))
+        return F.aggregate(some, start, step)["out"]
+
+    def whole(v: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / PIECE).cast("int"))
+        pieces = F.transform(numbers, lambda k: F.slice(v, k * PIECE + 1, F.lit(PIECE)))
+
+        def joined(p: Column) -> Column:
+            before = over(F.transform(p, lambda x: F.aggregate(x, zero, merge)), zero)
+            return F.flatten(F.zip_with(p, before, over))
+
+        return F.when(F.size(v) > 0, let(pieces, joined)).otherwise(F.slice(F.array(zero), 1, 0))
+
+    return let(values, whole)
+
+
 def found_spans(text: Column, pattern: str, groups: tuple[int, ...] = (0,)) -> Column:
     """All matches as an array of (start, stop, the text of each group).
 
@@ -79,22 +114,21 @@ def found_spans(text: Column, pattern: str, groups: tuple[int, ...] = (0,)) -> C
         rows = F.arrays_zip(F.slice(gaps, 1, F.size(matches)).alias("gap"), matches.alias("m"), *extra)
         names = ["gap", "m", *(f"g{k}" for k in range(len(groups)))]
         kind = "array<struct<" + ",".join(f"{n}:string" for n in names) + ">>"
-        empty = F.array().cast(
-            "array<struct<start:bigint,stop:bigint," + ",".join(f"g{k}:string" for k in range(len(groups))) + ">>"
-        )
-        start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("out"))
-
-        def step(acc: Column, x: Column) -> Column:
-            begin = acc["at"] + F.length(x["gap"])
-            end = begin + F.length(x["m"])
-            row = F.struct(
-                begin.cast("long").alias("start"),
-                end.cast("long").alias("stop"),
+
+        def row(x: Column, before: Column) -> Column:
+            begin = before + F.length(x["gap"])
+            return F.struct(
+                begin.alias("start"),
+                (begin + F.length(x["m"])).alias("stop"),
                 *(x[f"g{k}"].alias(f"g{k}") for k in range(len(groups))),
             )
-            return F.struct(end.cast("long").alias("at"), F.concat(acc["out"], F.array(row)).alias("out"))
 
-        return F.aggregate(rows.cast(kind), start, step)["out"]
+        def placed(found: Column) -> Column:
+            lengths = F.transform(found, lambda x: (F.length(x["gap"]) + F.length(x["m"])).cast("long"))
+            before = running(lengths, F.lit(0).cast("long"), lambda a, x: a + x)
+            return F.zip_with(found, before, row)
+
+        return let(rows.cast(kind), placed)
 
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     none = "array<struct<start:bigint,stop:bigint," + ",".join(f"g{k}:string" for k in range(len(groups))) + ">>"
@@ -170,6 +204,12 @@ def p_runs(values: Column, size: int) -> Column:
     return let(F.transform(values, lambda v: (2 * v >= size).cast("int")), of)
 
 
+def p_share(marks: Column, share: float) -> Column:
+    """Two-sided test of the share of ones."""
+    n = F.size(marks).cast("double")
+    return 2 * upper_tail(F.abs(_sum(marks) - n * share) / F.sqrt(n * share * (1 - share)))
+
+
 def p_serial(values: Column, size: int) -> Column:
     """Serial correlation (two-sided) of neighbouring values."""
     middle, variance = (size - 1) / 2, (size * size - 1) / 12
@@ -189,11 +229,17 @@ def battery(token: Column) -> Column:
 
         def of(b: Column) -> Column:
             values = F.transform(
-                F.sequence(F.lit(1), F.length(b)),
-                lambda i: (F.instr(F.lit(alphabet), F.substring(b, i, F.lit(1))) - 1).cast("double"),
+                F.split(b, ""), lambda c: (F.instr(F.lit(alphabet), c) - 1).cast("double")
             )
-            smallest = let(values, lambda v: F.least(p_uniform(b, alphabet), p_runs(v, size), p_serial(v, size)))
-            p = F.least(F.lit(1.0), 3 * smallest)
+
+            def least(v: Column) -> Column:
+                tests = [p_uniform(b, alphabet), p_runs(v, size), p_serial(v, size)]
+                if alphabet == LOWER:  # words, too, use half the alphabet; their vowels are many and spread out
+                    vowels = F.transform(F.split(b, ""), lambda c: c.rlike("[aeiou]").cast("double"))
+                    tests += [let(vowels, lambda x: p_share(x, 5 / 26)), p_runs(vowels, 1)]
+                return len(tests) * F.least(*tests)
+
+            p = F.least(F.lit(1.0), let(values, least))
             decades = -F.log10(F.greatest(p, F.lit(1e-300)))
             stratum = F.lit(number * (len(LENGTHS) + 1)) + length_class
             return F.struct(
@@ -213,10 +259,14 @@ def battery(token: Column) -> Column:
 
 
 def candidates(text: Column) -> Column:
-    """Judged tokens: (start, stop, stratum, bin); tokens mix letters and digits."""
+    """Judged tokens: (start, stop, stratum, bin).
+
+    A token with signs in it mixes letters and digits; one of words, numbers or
+    lines joined by signs alone is not judged.
+    """
     mixed = F.filter(
         found_spans(text, TOKEN),
-        lambda r: r["g0"].rlike("[0-9]") & r["g0"].rlike("[A-Za-z]"),
+        lambda r: (r["g0"].rlike("[0-9]") & r["g0"].rlike("[A-Za-z]")) | r["g0"].rlike("^(?:[0-9]+|[A-Za-z]+)=*$"),
     )
     judged = F.transform(
         mixed,
@@ -249,6 +299,52 @@ def thresholds(scanned: DataFrame, rate: float = RATE) -> DataFrame:
     return ranked.where(upper <= rate * F.col("rank") / F.col("all")).groupBy("stratum").agg(F.min("bin").alias("cut"))
 
 
+def apart(tokens: Column, base: Column) -> Column:
+    """The tokens that overlap no base span, (start, stop); both are sorted by start.
+
+    One walk over both in order: a token overlaps when a base span that begins
+    no later reaches into it, or when the next one begins before its end.
+    """
+    number = F.lit(0).cast("long")
+    kept = "array<struct<start:bigint,stop:bigint>>"
+    both = F.sort_array(
+        F.concat(
+            F.transform(base, lambda b: F.struct(b["start"].alias("start"), F.lit(0).alias("token"), b["stop"].alias("stop"))),
+            F.transform(tokens, lambda t: F.struct(t["start"].alias("start"), F.lit(1).alias("token"), t["stop"].alias("stop"))),
+        )
+    )
+
+    def walked(events: Column) -> Column:
+        reach = running(
+            F.transform(events, lambda e: F.when(e["token"] == 0, e["stop"]).otherwise(number)),
+            number,
+            lambda a, x: F.greatest(a, x),
+        )
+        last = F.lit((1 << 62)).cast("long")
+        following = F.reverse(
+            running(
+                F.reverse(F.transform(events, lambda e: F.when(e["token"] == 0, e["start"]).otherwise(last))),
+                last,
+                lambda a, x: F.least(a, x),
+            )
+        )
+        judged = F.zip_with(
+            F.zip_with(events, reach, lambda e, r: F.struct(e.alias("e"), r.alias("reach"))),
+            following,
+            lambda p, f: F.struct(
+                p["e"]["start"].alias("start"),
+                p["e"]["stop"].alias("stop"),
+                ((p["e"]["token"] == 1) & (p["reach"] <= p["e"]["start"]) & (f >= p["e"]["stop"])).alias("free"),
+            ),
+        )
+        free = F.filter(judged, lambda j: j["free"])
+        return F.transform(free, lambda j: F.struct(j["start"].alias("start"), j["stop"].alias("stop")))
+
+    none = F.array().cast(kept)
+    simple = F.transform(tokens, lambda t: F.struct(t["start"].alias("start"), t["stop"].alias("stop")))
+    return F.when(F.size(tokens) == 0, none).when(F.size(base) == 0, simple).otherwise(let(both, walked))
+
+
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: float = RATE) -> DataFrame:
     """One row per input row: id, ``base`` and ``spans`` (all), arrays of (start, kind number, stop)."""
     text = text_or_empty(text_col)
@@ -265,11 +361,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: fl
         known = F.create_map(*[F.lit(x) for pair in (cuts or {-1: last}).items() for x in pair])
         return F.coalesce(F.element_at(known, stratum), F.lit(last))
 
-    random = F.filter(
-        "tokens",
-        lambda t: (t["bin"] < limit(t["stratum"]))
-        & ~F.exists("base", lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"])),
-    )
+    random = apart(F.filter("tokens", lambda t: t["bin"] < limit(t["stratum"])), F.col("base"))
     return scanned.select(
         F.col("id").alias(id_col), "base", F.sort_array(F.concat("base", _as_spans(random, "random"))).alias("spans")
     )
