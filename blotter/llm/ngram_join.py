@@ -1,4 +1,11 @@
-"""N-gram Jaccard join by a MinHash LSH forest with exact verification.
+"""N-gram Jaccard join by MinHash prefixes of one length with exact verification.
+
+The dealt method, an LSH forest, shortens the matched prefix document by
+document until the target recall is met.  As no document can know of partners
+it has not met, every one would have to go down to the length that meets the
+target at the threshold; that length is computed beforehand instead, and the
+candidates are those that the tries' nodes at that depth hold.  No tries are
+built and no prefix is shortened by document.
 
 A document is the set of its shingles of five words (lower-cased A-Z; a text
 of one to four words is a single shingle).  Two documents are linked when the
@@ -6,10 +13,9 @@ Jaccard similarity of their sets is at least 0.8.
 
 * Documents with the same shingles are one class; all later steps see a class
   once, with its number of copies.
-* Forest: ``TREES`` signatures of up to ``MAX_DEPTH`` minimum hashes.  A class
-  is a path in each prefix trie.  The matched prefix is shortened, starting
-  from the full signature, until a pair at the threshold is found with the
-  target recall; classes below one trie node at that depth are candidates.
+* Nodes: ``TREES`` signatures, of each the longest prefix (up to ``MAX_DEPTH``
+  minimum hashes) at which a pair at the threshold is found with the target
+  recall; classes that share a prefix are candidates.
 * Candidate components: the nodes' stars are joined into connected components,
   so that every class is sent to one place instead of one per tree.
 * Exact verification: components are cut into blocks of about ``BLOCK``
