@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,11 +61,11 @@ LEAST = 2  # occurrences of a context, whatever the size of the corpus
 GAIN = 0.01  # nats
 STRENGTH = 20.0
 FREQUENT = 1 << 16
-MOST_ENTRIES = 1 << 24  # of a broadcast tree, 12 bytes each
+MOST_ENTRIES = 1 << 24  # of a broadcast tree, about 20 bytes each in every worker
 LEAST_PARTS = 192  # the counts are summed in, one at a time
 HELD_KEYS = 2 << 20  # distinct byte strings a counting task holds
-BATCH_BYTES = 2 << 20
-BLOCK_BYTES = 24 << 20
+BATCH_BYTES = 1 << 20
+BLOCK_BYTES = 8 << 20
 
 
 def held_out(id_col: str) -> Column:
@@ -187,8 +188,11 @@ def _built(table: pa.Table, buckets: int) -> pa.Table:
 
 def _entries(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Entries with counts of one level from the rows of one or more buckets."""
-    keys, counts = (b"".join(rows.column(c).to_pylist()) for c in ("keys", "counts"))
-    return suffix_tree.summed(np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64))
+    keys, counts = (
+        np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in rows.column(c))])
+        for c, kind in (("keys", np.uint64), ("counts", np.int64))
+    )
+    return suffix_tree.summed(keys, counts)
 
 
 def _posted(keys: list, doc: list, buckets: int, shard) -> tuple:
@@ -210,7 +214,7 @@ def _score(shared, id_type: pa.DataType, buckets: int):
     """Blocks of documents: one row with what is known here, and one row per bucket of rare words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, _, frequent, counts = shared.value
+        tree, frequent, counts = shared.value
         memory = None if tree is None else suffix_tree.Memory(tree)
         log_counts = np.log10(counts + 1.0)
         task = TaskContext.get().partitionId() << 24
@@ -298,18 +302,21 @@ def _block_schema(id_type) -> StructType:
     return StructType([StructField(n, k) for n, k in zip(_BLOCK_NAMES, kinds)])
 
 
-def _look_up(shared):
-    """Adds a bucket's rare words, and its byte strings where the tree is not broadcast, to the sums of each block's documents."""
+def _look_up(low):
+    """Adds a bucket's rare words to the sums of each block's documents.
+
+    ``low``, the broadcast level LOW, is given where the tree is not broadcast:
+    then the byte strings are looked up, too.
+    """
 
     def run(posts: pa.Table, trained: pa.Table) -> pa.Table:
-        tree, low, _, _ = shared.value
         word = trained.column("kind").to_numpy() < 0 if trained.num_rows else np.zeros(0, dtype=bool)
         out = _with_words(posts, trained.filter(pa.array(word, pa.bool_())))
-        if tree is not None:
+        if low is None:
             return out
         lowest, kind = min(suffix_tree.LOW, DEPTH), trained.column("kind").to_numpy()
         levels = {d: _entries(trained.filter(pa.array(kind == d, pa.bool_()))) for d in range(lowest + 1, DEPTH + 1)}
-        part = suffix_tree.Tree(levels | {lowest: low}, DEPTH)
+        part = suffix_tree.Tree(levels | {lowest: low.value}, DEPTH)
         score = []
         for size, grams, times, docs in zip(
             *(posts.column(c).to_pylist() for c in ("n", "grams", "gram_times", "gram_docs"))
@@ -350,8 +357,8 @@ def _gather(table: pa.Table) -> pa.Table:
     known = sum(np.array(k) for k in table.column("known").to_pylist())
     base = sum(np.array(b) for b in table.column("base").to_pylist())
     score = sum(np.array(x) for x in table.column("score").to_pylist() if x is not None)
-    full = table.filter(pa.compute.is_valid(table.column("ids"))).slice(0, 1)
-    flat = {c: pa.compute.list_flatten(full.column(c)) for c in ("ids", "tokens")}
+    full = table.filter(pc.is_valid(table.column("ids"))).slice(0, 1)
+    flat = {c: pc.list_flatten(full.column(c)) for c in ("ids", "tokens")}
     return pa.table({"id": flat["ids"], "n_tokens": flat["tokens"], "known": known, "base": base, "score": score})
 
 
@@ -380,14 +387,13 @@ def score(
     entries = shards.agg(F.sum(F.octet_length("keys") / 8)).first()[0] or 0
     whole = entries <= most_entries
     lowest = min(suffix_tree.LOW, DEPTH)
-    levels = {
-        d: _entries(shards.where(F.col("kind") == d).select("keys", "counts").toArrow())
-        for d in range(lowest, (DEPTH if whole else lowest) + 1)
-    }
+    levels = {}
+    for d in range(lowest, (DEPTH if whole else lowest) + 1):
+        levels[d] = _entries(shards.where(F.col("kind") == d).select("keys", "counts").toArrow())
+        pa.default_memory_pool().release_unused()  # the driver holds one level's rows at a time
     shared = spark.sparkContext.broadcast(
         (
             suffix_tree.Tree(levels, DEPTH) if whole else None,
-            levels[lowest],
             common.column("key").to_numpy(),
             common.column("n").to_numpy(),
         )
@@ -405,7 +411,7 @@ def score(
         blocks.groupBy("bucket")
         .cogroup(rare.groupBy("bucket"))
         .applyInArrow(
-            _look_up(shared),
+            _look_up(None if whole else spark.sparkContext.broadcast(levels[lowest])),
             StructType([schema[c] for c in ("block", "n", "ids", "tokens", "score", "known", "base")]),
         )
     )

@@ -352,7 +352,7 @@ class Tree:
 class Memory:
     """Scores of grams met lately, in a table that later grams overwrite."""
 
-    BITS = 22
+    BITS = 21
     ODD = np.uint64(0x9E3779B97F4A7C15)
 
     def __init__(self, tree: Tree):
