@@ -248,12 +248,48 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict(_ranges(r["id"], r["part"], r["start"], r["start"] + r["size"]))
 
 
+def _first_and_last(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Per stretch its first and last 100-byte string whose hash occurs twice among all, or -1 and -1."""
+    hashes = []
+    for _, some in kernels.slices(strings, SHARD):
+        data, ends = kernels.flatten(some)
+        count = np.diff(ends) - LENGTH + 1
+        at = np.arange(int(count.sum())) + np.repeat(ends[:-1] - (np.cumsum(count) - count), count)
+        hashes.append(kernels.word_hashes(data, at, at + LENGTH))
+    h = np.concatenate(hashes)
+    by_hash = np.argsort(h)
+    same = h[by_hash][1:] == h[by_hash][:-1]
+    twice = np.zeros(len(h), dtype=bool)
+    twice[by_hash] = np.append(same, False) | np.append(False, same)
+    count = np.array([len(s) - LENGTH + 1 for s in strings])
+    begin = np.cumsum(count) - count
+    at = np.arange(len(h)) - np.repeat(begin, count)
+    last = np.maximum.reduceat(np.where(twice, at, -1), begin)
+    first = np.minimum.reduceat(np.where(twice, at, len(h)), begin)
+    return np.where(last < 0, -1, first), last
+
+
 def repeated_strings(strings: list[bytes], keys: np.ndarray, order: np.ndarray, shard: int = SHARD) -> list[np.ndarray]:
     """For every distinct stretch (sorted by key), a flag per 100-byte string: it starts earlier elsewhere.
 
     ``order`` gives the place of each stretch's first string as one number
-    that grows along the corpus; strings further on have place + 1, ...
+    that grows along the corpus; strings further on have place + 1, ...  What
+    lies outside a stretch's first and last string of a repeated hash occurs
+    once and is cut off before anything is sorted.
     """
+    flags = [np.zeros(len(s) - LENGTH + 1, dtype=bool) for s in strings]
+    if not strings:
+        return flags
+    first, last = _first_and_last(strings)
+    kept = np.flatnonzero(last >= 0)
+    inner = [strings[k][first[k] : last[k] + LENGTH] for k in kept.tolist()]
+    for k, f in zip(kept.tolist(), _in_shards(inner, keys[kept], order[kept] + first[kept], shard)):
+        flags[k][first[k] : last[k] + 1] = f
+    return flags
+
+
+def _in_shards(strings: list[bytes], keys: np.ndarray, order: np.ndarray, shard: int) -> list[np.ndarray]:
+    """The flags by a suffix array per shard, and a search of later shards' strings in earlier ones."""
     sizes = np.cumsum([len(s) for s in strings])
     cuts = [0]
     while cuts[-1] < len(strings):
@@ -264,10 +300,7 @@ def repeated_strings(strings: list[bytes], keys: np.ndarray, order: np.ndarray,
     for a, b in zip(cuts[:-1], cuts[1:]):
         text = StringSet(strings[a:b])
         sa = suffix_array(text, LENGTH)
-        shared = common_prefixes(text, sa, LENGTH)
-        whole = sa + LENGTH <= text.stops[text.owner[sa]]
-        group = np.cumsum(shared < LENGTH) - 1
-        sa, group = sa[whole], group[whole]
+        group = np.cumsum(common_prefixes(text, sa, LENGTH) < LENGTH) - 1
         place = order[a:b][text.owner[sa]] + sa - text.starts[text.owner[sa]]
         head = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         number = np.cumsum(np.concatenate([[True], group[1:] != group[:-1]])) - 1
