@@ -46,6 +46,11 @@ HEADLINE = [
     "join_merge",
     "join_map_side",
     "join_repartition",
+    "join_hot_key",
+    "join_hash_bounded",
+    "mean_exact",
+    "convert_clustered",
+    "scan_csv_aligned",
     "union_positional",
     "dedupe_first",
 ]
