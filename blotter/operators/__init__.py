@@ -20,6 +20,7 @@ from blotter.operators.filters import (
 )
 from blotter.operators.joins import (
     STRATEGIES,
+    broadcast_join,
     join_normalised,
     join_with_strategy,
     map_side_join,
@@ -37,6 +38,7 @@ __all__ = [
     "avg_and_count",
     "bottom_k",
     "bounded_hash_join",
+    "broadcast_join",
     "count_by",
     "dedupe_any",
     "dedupe_first",

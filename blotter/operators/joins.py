@@ -8,7 +8,8 @@ Rules kept everywhere:
 * ``broadcast`` is honoured only after a size check (``plans.guards``); a
   dimension that fails it raises, so a growing table never gets shipped
   whole to every executor and no other strategy is taken silently.  Leave
-  the strategy to Spark (``None``) where the size is not known.
+  the strategy to Spark (``None``) where the size is not known, or use
+  ``broadcast_join``, which shuffles (with a warning) where it may not broadcast.
 * With AQE on, a sort-merge join whose fact side has a hot key is split
   into sub-joins at run time (``spark.sql.adaptive.skewJoin.enabled``).
 * Joins are true inner joins: duplicate keys multiply, unmatched rows and
@@ -20,6 +21,7 @@ every row with every row and do not survive large inputs.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -59,6 +61,25 @@ def join_with_strategy(
     return facts.join(dim.hint(strategy), keys, how)
 
 
+def broadcast_join(
+    facts: DataFrame,
+    dim: DataFrame,
+    on: str | Sequence[str],
+    how: str = "inner",
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+) -> DataFrame:
+    """Join for dimensions of any size: broadcast within the size check.
+
+    A dimension beyond it is not shipped to every executor: both sides are
+    dealt by key and merged, with a warning.  The rows are the same.
+    """
+    small, ok = broadcast_if_small(dim, max_broadcast_rows)
+    if ok:
+        return facts.join(small, _keys(on), how)
+    warnings.warn("the dimension is beyond the broadcast bound: both sides are shuffled and merged", stacklevel=2)
+    return join_with_strategy(facts, dim, on, "merge", how)
+
+
 def map_side_join(
     facts: DataFrame,
     dim: DataFrame,
@@ -67,9 +88,10 @@ def map_side_join(
 ) -> DataFrame:
     """Look each fact row up in a dimension shipped to every task.
 
-    No shuffle of the facts.  Raises when the dimension fails the size check.
+    No shuffle of the facts, unless the dimension fails the size check
+    (:func:`broadcast_join`).
     """
-    return join_with_strategy(facts, dim, on, "broadcast", max_broadcast_rows=max_broadcast_rows)
+    return broadcast_join(facts, dim, on, max_broadcast_rows=max_broadcast_rows)
 
 
 def repartition_join(facts: DataFrame, dim: DataFrame, on: str | Sequence[str]) -> DataFrame:

@@ -1,6 +1,6 @@
 import pytest
 
-from blotter.operators import join_normalised, join_with_strategy, map_side_join, repartition_join
+from blotter.operators import broadcast_join, join_normalised, join_with_strategy, map_side_join, repartition_join
 from blotter.plans import join_strategies
 
 EXPECTED = {
@@ -36,6 +36,38 @@ def test_broadcast_beyond_size_bound_raises(spark, facts_dims):
         join_with_strategy(facts, dims, "k", "broadcast", max_broadcast_rows=2)
 
 
+def test_broadcast_join_beyond_size_bound_shuffles(spark, facts_dims):
+    facts, dims = facts_dims
+    rows = lambda df: sorted(map(tuple, df.select("id", "k", "name").collect()))
+    within = broadcast_join(facts, dims, "k")
+    assert join_strategies(within) == ["BroadcastHashJoin"]
+    for join in (broadcast_join, map_side_join):
+        with pytest.warns(UserWarning, match="beyond the broadcast bound"):
+            beyond = join(facts, dims, "k", max_broadcast_rows=2)
+        assert join_strategies(beyond) == ["SortMergeJoin"]
+        assert rows(beyond) == rows(within) and len(rows(within)) == 40
+
+
+def test_join_queries_run_beyond_the_broadcast_bound(spark, tmp_path):
+    """More customers and suppliers than may be broadcast: every row is joined all the same."""
+    from pyspark.sql import functions as F
+
+    from blotter.catalog import QUERIES
+    from blotter.plans.guards import DEFAULT_BROADCAST_ROWS
+
+    n = DEFAULT_BROADCAST_ROWS + 1000
+    key = F.col("id")
+    spark.range(n).select(key.alias("c_custkey"), F.format_string("c%d", key).alias("c_name")).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(n).select(key.alias("s_suppkey"), F.format_string("s%d", key).alias("s_name")).write.parquet(f"{tmp_path}/supplier.parquet")
+    some = spark.range(0, 2 * n, 1000)
+    some.select(key.alias("o_orderkey"), key.alias("o_custkey"), (key * 1.5).alias("o_totalprice")).write.parquet(f"{tmp_path}/orders.parquet")
+    some.select(key.alias("l_orderkey"), F.lit(1).alias("l_linenumber"), key.alias("l_suppkey")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = {(r.o_orderkey, r.c_name) for r in QUERIES["join_broadcast"](spark, str(tmp_path)).collect()}
+    assert orders == {(k, f"c{k}") for k in range(0, n, 1000)}
+    lines = {(r.l_orderkey, r.s_name) for r in QUERIES["join_map_side"](spark, str(tmp_path)).collect()}
+    assert lines == {(k, f"s{k}") for k in range(0, n, 1000)}
+
+
 def test_map_side_equals_repartition(spark, facts_dims):
     facts, dims = facts_dims
     a = map_side_join(facts, dims, "k")
