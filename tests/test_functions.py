@@ -174,6 +174,58 @@ def test_geodesic_ways_meet(spark, monkeypatch):
     assert all(abs(searched[tuple(r)[:4]] - r.km) < 2e-7 for r in usual)
 
 
+def _halved_reference(lat1, lon1, lat2, lon2):
+    """The azimuth by 80 plain halvings, integrals by Simpson's rule (independent of the columns)."""
+    a, f = 6378137.0, 1 / 298.257223563
+    b = (1 - f) * a
+    far, close = (lat1, lat2) if abs(lat1) >= abs(lat2) else (lat2, lat1)
+    b1, b2 = (math.atan((1 - f) * math.tan(math.radians(x))) for x in (-abs(far), -close if far > 0 else close))
+    lon = abs(math.radians((lon2 - lon1 + 180) % 360 - 180))
+    weights = [1, *[4, 2] * 99, 4, 1]
+
+    def integral(lo, hi, g):
+        return (hi - lo) / 600 * sum(w * g(lo + (hi - lo) * k / 200) for k, w in enumerate(weights))
+
+    def line(alpha):
+        s, c = math.sin(alpha) * math.cos(b1), math.cos(alpha) * math.cos(b1)
+        e = math.sqrt(max(0.0, c * c + math.cos(b2) ** 2 - math.cos(b1) ** 2))
+        o1, o2 = math.atan2(math.sin(b1), c), math.atan2(math.sin(b2), e)
+        w = math.atan2(s * math.sin(b2), e) - math.atan2(s * math.sin(b1), c)
+        k2 = (a * a / b / b - 1) * (1 - s * s)
+        slow = integral(o1, o2, lambda x: (2 - f) / (1 + (1 - f) * math.sqrt(1 + k2 * math.sin(x) ** 2)))
+        return w - f * s * slow, b * integral(o1, o2, lambda x: math.sqrt(1 + k2 * math.sin(x) ** 2))
+
+    lo, hi = 0.0, math.pi
+    for _ in range(80):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if line(mid)[0] < lon else (lo, mid)
+    return line((lo + hi) / 2)[1] / 1000
+
+
+def test_geodesic_search_settles_hard_pairs(spark):
+    """Flat and steep longitudes: a few interpolations where the plain halving needs 56 steps."""
+    pts = [(lat, 3.0, off - lat, 183.0 - near) for lat in (1e-7, 0.3, 30.0, 60.0, 89.2) for off in (-0.7, 1e-9, 0.4)
+           for near in (0.0, 1e-9, 0.3, 0.6, 1.5)]
+    df = spark.createDataFrame(pts, "a double, b double, c double, d double").repartition(4)
+    got = {tuple(r)[:4]: r.km for r in with_geodesic_km(df, "a", "b", "c", "d", "km").collect()}
+    assert len(got) == len(pts)
+    assert max(abs(got[p] - _halved_reference(*p)) for p in pts if p[0] > 1e-6) < 1e-8
+    # a hair off the equator no double holds the azimuth well enough, yet the length is the equator's
+    assert abs(got[(1e-7, 3.0, 1e-9 - 1e-7, 181.5)] - 6378.137 * math.radians(178.5)) < 1e-8
+
+
+def test_antipodal_rows_are_dealt_to_all_tasks(spark, tmp_path):
+    """One row group of customers must not leave all the solving to one task."""
+    from pyspark.sql import functions as F
+
+    from blotter.catalog import QUERIES
+
+    spark.range(2000).select(F.col("id").alias("c_custkey")).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    out = QUERIES["geodesic_antipodal"](spark, str(tmp_path))
+    parts = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(parts) == 2000 and len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_geodesic_keeps_other_columns_and_stays_native(spark):
     df = spark.createDataFrame([(1, "x y", 34.0, -118.0, 34.1, -118.1)], "id int, `AREA NAME` string, a double, b double, c double, d double")
     out = with_geodesic_km(df, "a", "b", "c", "d", "dist")
