@@ -64,7 +64,9 @@ FREQUENT = 1 << 16
 MOST_ENTRIES = 1 << 24  # of a broadcast tree, about 20 bytes each in every worker
 LEAST_PARTS = 192  # the counts are summed in, one at a time
 HELD_KEYS = 2 << 20  # distinct byte strings a counting task holds
-BATCH_BYTES = 1 << 20
+PENDING_KEYS = HELD_KEYS // 4  # and new ones before they are merged
+SHARD_KEYS = 1 << 18
+BATCH_BYTES = 1 << 19
 BLOCK_BYTES = 8 << 20
 
 
@@ -74,25 +76,33 @@ def held_out(id_col: str) -> Column:
 
 
 class _Counter:
-    """Counts of integers, merged when enough new ones are pending."""
+    """Counts of integers, merged when enough new ones are pending.
+
+    New keys are inserted among the held ones, which are not sorted again: a
+    merge needs little more than the held keys and their new copy.
+    """
 
     def __init__(self) -> None:
-        self.keys, self.counts, self.pending = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+        self.keys, self.counts, self.pending = np.zeros(0, np.int64), np.zeros(0, np.uint32), []
 
     def add(self, keys: np.ndarray) -> None:
-        self.pending.append(np.unique(keys, return_counts=True))
-        if sum(len(k) for k, _ in self.pending) > min(max(1 << 20, len(self.keys)), HELD_KEYS // 2):
+        keys, counts = np.unique(keys, return_counts=True)
+        self.pending.append((keys, counts.astype(np.uint32)))
+        if sum(len(k) for k, _ in self.pending) > PENDING_KEYS:
             self.merge()
 
     def merge(self) -> None:
-        keys = np.concatenate([self.keys, *(k for k, _ in self.pending)])
-        counts = np.concatenate([self.counts, *(c for _, c in self.pending)])
-        order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
-        if len(keys):
-            head = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            keys, counts = keys[head], np.add.reduceat(counts, head)
-        self.keys, self.counts, self.pending = keys, counts, []
+        if not self.pending:
+            return
+        keys, counts = (np.concatenate(x) for x in zip(*self.pending))
+        self.pending = []
+        keys, counts = suffix_tree.summed(keys, counts)
+        at = np.searchsorted(self.keys, keys)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == keys[known]
+        self.counts[at[known]] += counts[known]
+        at, keys, counts = at[~known], keys[~known], counts[~known]
+        self.keys, self.counts = np.insert(self.keys, at, keys), np.insert(self.counts, at, counts)
 
 
 _COUNTS = StructType(
@@ -103,10 +113,15 @@ _COUNTS = StructType(
 
 def _dealt(kind: int, held: _Counter, buckets: int) -> Iterator[pa.RecordBatch]:
     held.merge()
-    bucket = suffix_tree.shard(held.keys.view(np.uint64), buckets) if kind else held.keys % buckets
+    bucket = np.empty(len(held.keys), np.uint16 if buckets <= 1 << 16 else np.int64)
+    for k in range(0, len(bucket), SHARD_KEYS):  # the hash takes several times its keys
+        keys = held.keys[k : k + SHARD_KEYS]
+        bucket[k : k + SHARD_KEYS] = suffix_tree.shard(keys.view(np.uint64), buckets) if kind else keys % buckets
     order = np.argsort(bucket, kind="stable")
-    keys, counts = held.keys[order], held.counts[order].astype(np.uint32)
     cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    keys, counts = held.keys[order], held.counts[order]
+    held.keys, held.counts = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+    del bucket, order
     some = np.flatnonzero(np.diff(cut))
     for k in range(0, len(some), 64):
         part = some[k : k + 64]
@@ -121,13 +136,24 @@ def _dealt(kind: int, held: _Counter, buckets: int) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _sliced(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts of about ``BATCH_BYTES``, with the number of the first; a batch is never held as Python objects whole."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < len(column):
+        before = int(ends[first - 1]) if first else 0
+        stop = min(int(np.searchsorted(ends, before + BATCH_BYTES)) + 1, len(column))
+        yield first, kernels.as_bytes(column.slice(first, stop - first))
+        first = stop
+
+
 def _count(buckets: int):
     """Packed counts per bucket: kind 0 are words, kind 1 byte strings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, strings = _Counter(), _Counter()
         for batch in batches:
-            for _, texts in kernels.slices(kernels.as_bytes(batch.column(0)), BATCH_BYTES):
+            for _, texts in _sliced(batch.column(0)):
                 data, ends = kernels.flatten(texts)
                 starts, stops, _ = kernels.word_spans(data, ends)
                 words.add(kernels.word_hashes(kernels.lower_ascii(data), starts, stops).view(np.int64))
@@ -186,12 +212,20 @@ def _built(table: pa.Table, buckets: int) -> pa.Table:
     return pa.table({f: pa.array(v, k) for f, v, k in zip(_TRAINED.names, arrays, kinds)})
 
 
-def _entries(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Entries with counts of one level from the rows of one or more buckets."""
+def _entries(held: list[pa.Table]) -> tuple[np.ndarray, np.ndarray]:
+    """Entries with counts of one level from the rows of one or more buckets; takes the table out of the list it is in."""
+    rows = held.pop()
     keys, counts = (
         np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in rows.column(c))])
         for c, kind in (("keys", np.uint64), ("counts", np.int64))
     )
+    del rows
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    counts = counts[order]
+    del order
+    if not len(keys) or (keys[1:] != keys[:-1]).all():  # all but the lowest level
+        return keys, counts
     return suffix_tree.summed(keys, counts)
 
 
@@ -258,7 +292,7 @@ def _score(shared, id_type: pa.DataType, buckets: int):
         state = fresh()
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for first, texts in kernels.slices(kernels.as_bytes(batch.column(1)), BATCH_BYTES):
+            for first, texts in _sliced(batch.column(1)):
                 data, ends = kernels.flatten(texts)
                 symbols, begins = suffix_tree.spelt(texts, DEPTH)
                 grams = suffix_tree.ordered_grams(symbols, suffix_tree.scored(begins, DEPTH), DEPTH)
@@ -279,7 +313,7 @@ def _score(shared, id_type: pa.DataType, buckets: int):
                 state["known"] += np.bincount(doc[hit], minlength=n).tolist()
                 state["base"] += np.bincount(doc[hit], log_counts[at[hit]], n).tolist()
                 state["hash"].append(h[~hit])
-                state["doc"].append(doc[~hit] + state["n"])
+                state["doc"].append((doc[~hit] + state["n"]).astype(np.uint32))
                 state["ids"] += ids[first : first + n]
                 state["n"] += n
                 state["bytes"] += len(data)
@@ -315,8 +349,9 @@ def _look_up(low):
         if low is None:
             return out
         lowest, kind = min(suffix_tree.LOW, DEPTH), trained.column("kind").to_numpy()
-        levels = {d: _entries(trained.filter(pa.array(kind == d, pa.bool_()))) for d in range(lowest + 1, DEPTH + 1)}
-        part = suffix_tree.Tree(levels | {lowest: low.value}, DEPTH)
+        part = suffix_tree.Tree(
+            lambda d: low.value if d == lowest else _entries([trained.filter(pa.array(kind == d, pa.bool_()))]), DEPTH
+        )
         score = []
         for size, grams, times, docs in zip(
             *(posts.column(c).to_pylist() for c in ("n", "grams", "gram_times", "gram_docs"))
@@ -387,13 +422,15 @@ def score(
     entries = shards.agg(F.sum(F.octet_length("keys") / 8)).first()[0] or 0
     whole = entries <= most_entries
     lowest = min(suffix_tree.LOW, DEPTH)
-    levels = {}
-    for d in range(lowest, (DEPTH if whole else lowest) + 1):
-        levels[d] = _entries(shards.where(F.col("kind") == d).select("keys", "counts").toArrow())
+
+    def level(d: int) -> tuple[np.ndarray, np.ndarray]:
+        found = _entries([shards.where(F.col("kind") == d).select("keys", "counts").toArrow()])
         pa.default_memory_pool().release_unused()  # the driver holds one level's rows at a time
+        return found
+
     shared = spark.sparkContext.broadcast(
         (
-            suffix_tree.Tree(levels, DEPTH) if whole else None,
+            suffix_tree.Tree(level, DEPTH) if whole else None,
             common.column("key").to_numpy(),
             common.column("n").to_numpy(),
         )
@@ -411,7 +448,7 @@ def score(
         blocks.groupBy("bucket")
         .cogroup(rare.groupBy("bucket"))
         .applyInArrow(
-            _look_up(None if whole else spark.sparkContext.broadcast(levels[lowest])),
+            _look_up(None if whole else spark.sparkContext.broadcast(level(lowest))),
             StructType([schema[c] for c in ("block", "n", "ids", "tokens", "score", "known", "base")]),
         )
     )

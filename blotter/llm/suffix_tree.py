@@ -6,6 +6,8 @@ Contexts are byte strings of up to ``depth`` symbols, packed into integers
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 SYMBOLS = 256
@@ -189,6 +191,7 @@ def build(levels: list[tuple[np.ndarray, np.ndarray]], depth: int, least: float,
 
 LOW = 2  # contexts of up to LOW symbols are always retained: at most 256 ** LOW
 MOST_DEPTH = 7
+STEP = 1 << 18  # entries worked on at a time
 
 
 def spelt(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -249,6 +252,13 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[head], np.add.reduceat(counts, head)
 
 
+def _heads(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts of sorted entries, and where they begin."""
+    context = keys >> np.uint64(8)
+    head = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return context[head], head
+
+
 def _contexts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Contexts of sorted entries, where they begin, and the number of each entry's."""
     context = keys >> np.uint64(8)
@@ -304,14 +314,18 @@ class Tree:
     symbols (Witten-Bell); the root towards the uniform one.
     """
 
-    def __init__(self, levels: dict[int, tuple[np.ndarray, np.ndarray]], depth: int):
-        """``levels``: sorted entries with counts from level min(LOW, depth) on, parents always among them."""
-        levels = dict(levels)
-        for d in range(min(LOW, depth), 0, -1):
-            keys, n = levels[d]
-            levels[d - 1] = summed(parents(keys) if d > 1 else keys & np.uint64(255), n)
+    def __init__(self, level: Callable[[int], tuple[np.ndarray, np.ndarray]], depth: int):
+        """``level(d)``: sorted entries with counts, for d from min(LOW, depth) on, parents always among them.
+
+        Levels are asked for one at a time, in order; their counts are not kept.
+        """
+        lowest = min(LOW, depth)
+        short = {lowest: level(lowest)}
+        for d in range(lowest, 0, -1):
+            keys, n = short[d]
+            short[d - 1] = summed(parents(keys) if d > 1 else keys & np.uint64(255), n)
         self.depth = depth
-        keys, n = levels[0]
+        keys, n = short[0]
         root = np.zeros(SYMBOLS)
         root[keys.astype(np.int64)] = n
         root = (root + 1.0) / (root.sum() + SYMBOLS)
@@ -319,14 +333,21 @@ class Tree:
         self.levels = []
         above, p = np.arange(SYMBOLS, dtype=np.uint64), root
         for d in range(1, depth + 1):
-            keys, n = levels[d]
-            context, head, of = _contexts(keys)
+            keys, n = short.pop(d) if d in short else level(d)
+            context, head = _heads(keys)
             total = np.add.reduceat(n, head) if len(keys) else n
             kinds = np.diff(np.append(head, len(keys)))
-            below = p[np.searchsorted(above, parents(keys) if d > 1 else keys & np.uint64(255))]
-            p = (n + kinds[of] * below) / (total + kinds)[of]
-            above = keys
-            self.levels.append((keys, np.log10(p).astype(np.float32), context, np.log10(kinds / (total + kinds)).astype(np.float32)))
+            of = np.repeat(np.arange(len(head), dtype=np.int32), kinds)
+            mine = np.empty(len(keys))
+            for k in range(0, len(keys), STEP):
+                part = slice(k, k + STEP)
+                below = p[np.searchsorted(above, parents(keys[part]) if d > 1 else keys[part] & np.uint64(255))]
+                mine[part] = (n[part] + kinds[of[part]] * below) / (total[of[part]] + kinds[of[part]])
+            del n, of, head
+            above, p = keys, mine
+            logp = np.empty(len(p), np.float32)
+            np.log10(p, out=logp, casting="same_kind")
+            self.levels.append((keys, logp, context, np.log10(kinds / (total + kinds)).astype(np.float32)))
 
     def log10(self, grams: np.ndarray) -> np.ndarray:
         """log10 probability of each (sorted) gram's symbol, from its longest retained context."""

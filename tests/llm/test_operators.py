@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -462,6 +463,51 @@ def test_lm_scoring(docs, empty):
     assert lm_scoring.score(empty).count() == 0
 
 
+def test_counting_task_holds_little_more_than_its_keys():
+    """The same counts, from one batch of texts, in little memory."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz    ", np.uint8)
+    texts = [None, "", *(letters[rng.integers(0, 30, 2000)].tobytes().decode() for _ in range(4000))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    tracemalloc.start()
+    found = [collections.Counter(), collections.Counter()]
+    for out in lm_scoring._count(7)(iter([batch])):
+        for kind, keys, n in zip(*(out.column(c).to_pylist() for c in ("kind", "keys", "counts"))):
+            found[kind][0] += int(np.frombuffer(n, np.uint32).sum())
+            found[kind][1] += len(keys) // 8
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    words = [w for t in texts if t for w in t.split()]
+    assert found[0][0] == len(words) and found[0][1] == len(set(words))
+    assert found[1][0] == sum(len(" ".join((t or "").split())) + 1 for t in texts)
+    assert peak < 190 << 20
+
+
+def test_counter_merges_like_one_count():
+    rng = np.random.default_rng(4)
+    counter, parts = lm_scoring._Counter(), [rng.integers(-50, 50, n) for n in (0, 1, 400, 30)]
+    for part in parts:
+        counter.add(part)
+        counter.merge()
+    keys, counts = np.unique(np.concatenate(parts), return_counts=True)
+    assert counter.keys.tolist() == keys.tolist() and counter.counts.tolist() == counts.tolist()
+
+
+def test_tree_asks_for_one_level_at_a_time():
+    from blotter.llm import suffix_tree
+
+    symbols, begins = suffix_tree.spelt([b"to be or not to be that is", b"", b"be"], 4)
+    grams, counts = np.unique(
+        suffix_tree.ordered_grams(symbols, suffix_tree.scored(begins, 4), 4), return_counts=True
+    )
+    levels, asked = suffix_tree.retain(grams, counts, 4, 1, 0.0, 0.0), []
+    tree = suffix_tree.Tree(lambda d: asked.append(d) or levels.pop(d), 4)
+    assert asked == [2, 3, 4] and not levels
+    assert (tree.log10(grams) < 0).all()
+
+
 def test_lanes_equal_one_walk():
     from blotter.llm import suffix_tree
 
