@@ -12,14 +12,17 @@ hold every occurrence of the strings they share.
    occur twice can belong to a repeated string (streamed, nothing is held).
 2. Documents meet their repeated anchors again and give the stretches.  An
    anchor with very many occurrences is cut into single strings, each dealt
-   by its own hash, so no anchor's share outgrows a task.  Of identical
-   stretches, a task passes on the earliest; the others are removed whole.
+   by its own hash, so no anchor's share outgrows a task.  A task holds the
+   texts and the places of at most ``HELD_BYTES`` and ``HELD_ROWS`` (one text
+   piece more at most); of identical stretches among them it passes on the
+   earliest; the others are removed whole.
 3. Stretches are dealt by anchor into parts of about ``PART`` bytes.  A part's
    distinct stretches are cut into shards of at most ``SHARD`` bytes, each
    with a suffix array (Larsson-Sadakane refinement) and common prefixes
    (Kasai).  Neighbours that share 100 bytes are one repeated string.  Where
    an anchor's stretches lie in several shards, the later shard's strings are
-   looked up in the earlier one's sorted suffixes by binary search.
+   looked up in the earlier one's sorted suffixes by binary search; a shard
+   is let go when no later one has its last anchor.
 4. Removed ranges go back to their documents.
 
 Defined results: a null text is empty; a text under 100 bytes loses nothing;
@@ -31,7 +34,6 @@ columns do not matter.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,14 +51,18 @@ from blotter.plans.guards import materialise
 LENGTH = 100
 GRAM = 32
 SPAN = LENGTH - GRAM + 1  # 32-byte strings in a 100-byte string
-SEGMENT = 1 << 20  # bytes hashed at a time; longer texts are read in overlapping pieces
+SEGMENT = 1 << 19  # bytes hashed at a time; longer texts are read in overlapping pieces
 PART = 2 << 20
 STRETCH_BYTES = 128  # usual size of a stretch, for the number of parts
 SHARD = 1 << 20
+LONG = 1024  # strings of a stretch that count as one more occurrence of its anchor
+HELD_BYTES = 32 << 20  # of texts whose stretches a task holds
+HELD_ROWS = 1 << 18  # stretches and single strings that a task holds
+BLOBS = 1 << 20  # bytes of packed rows that leave a task together
 HEAVY = 4096  # occurrences from which an anchor's stretches are cut into single strings
 HEAVY_ANCHORS = 1 << 16  # there are at most so many such anchors
 LAST_ID = (1 << 63) - 1
-_PACKED = "id long, part int, z binary"
+_PACKED = "id long not null, part int not null, z binary"
 
 
 def _segments(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
@@ -117,8 +123,9 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, parts_no = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
         texts = kernels.as_bytes(batch.column(2))
         for docs, _, parts in _segments(texts):
-            part, _, _, value, seen = stretches(parts)
+            part, _, n, value, seen = stretches(parts)
             times = np.minimum(seen, 2)  # a second one within the run makes it a candidate by itself
+            times = times + np.where(seen > 1, n // LONG, 0)  # so that a heavy anchor's bytes count too
             doc = np.array(docs)[part]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(x, times)) for x in (value, ids[doc], parts_no[doc])], names=["a", "id", "part"]
@@ -147,14 +154,11 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 _STRETCH = "bucket int, n int, blob binary"
 _FIELDS = (("key", "<i8"), ("id", "<i8"), ("part", "<i4"), ("start", "<i8"), ("size", "<i4"))
-COPIES = -1  # bucket of the stretches that are removed whole, which need no meeting
 
 
-def _pack(rows: list[tuple]) -> bytes:
-    """Rows (key, id, part, start, size, body) as one compressed value."""
-    columns = list(zip(*rows))
-    parts = [np.array(c, dtype=t).tobytes() for c, (_, t) in zip(columns, _FIELDS)]
-    return zstandard.compress(b"".join([*parts, *columns[5]]), 1)
+def _pack(columns: dict[str, np.ndarray], bodies: bytes) -> bytes:
+    """Rows (key, id, part, start, size) and their bodies as one compressed value."""
+    return zstandard.compress(b"".join([*(columns[name].astype(t).tobytes() for name, t in _FIELDS), bodies]), 1)
 
 
 def _unpack(n: int, blob: bytes) -> tuple[dict[str, np.ndarray], bytes]:
@@ -166,10 +170,17 @@ def _unpack(n: int, blob: bytes) -> tuple[dict[str, np.ndarray], bytes]:
     return out, raw[at:]
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in slices, so that few texts are unpacked at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 512):
+            yield batch.slice(at, 512)
+
+
 def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts compressed one by one: half the bytes in a shuffle."""
     pack = zstandard.ZstdCompressor(level=1).compress
-    for batch in batches:
+    for batch in _pieces(batches):
         texts = pa.array([pack(t) for t in kernels.as_bytes(batch.column(2))], pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], names=["id", "part", "z"])
 
@@ -178,57 +189,132 @@ def _texts(column) -> list[bytes]:
     return [zstandard.decompress(z) for z in column.to_pylist()]
 
 
-def _collect_stretches(heavy: frozenset, buckets: int):
-    """Stretches of the repeated anchors, packed by bucket; of identical ones only the earliest goes on."""
+class _Held:
+    """Stretches of some documents: their places and hashes in columns, and the texts they lie in."""
+
+    def __init__(self):
+        self.texts: list[np.ndarray] = []
+        self.columns: list[dict[str, np.ndarray]] = []
+        self.bytes = self.rows = 0
+
+    def add(self, data: np.ndarray, at: np.ndarray, columns: dict[str, np.ndarray]) -> None:
+        self.columns.append({"at": at + self.bytes, **columns})
+        self.texts.append(data)
+        self.bytes += len(data)
+        self.rows += len(at)
+
+    def taken(self) -> tuple[dict[str, np.ndarray], bytes, np.ndarray, np.ndarray]:
+        """The columns, the texts, the rows that are the earliest of identical ones, and the other rows."""
+        text = b"".join(self.texts)
+        c = {name: np.concatenate([x[name] for x in self.columns]) for name in self.columns[0]}
+        self.__init__()
+        order = np.lexsort((c["start"], c["part"], c["id"], c["hash"]))
+        same = np.zeros(len(order), dtype=bool)
+        same[1:] = c["hash"][order[1:]] == c["hash"][order[:-1]]
+        head = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+        first, row = head[same], order[same]
+        new = np.any([c[k][first] != c[k][row] for k in ("id", "part", "start")], axis=0)
+        first, row = first[new], row[new]  # the others are the same row again
+        spans = (x.tolist() for x in (c["at"][first], c["size"][first], c["at"][row], c["size"][row]))
+        equal = np.array([text[i : i + m] == text[j : j + n] for i, m, j, n in zip(*spans)], dtype=bool)
+        early = np.concatenate([order[~same], row[~equal]])  # of two strings with one hash both go on
+        return c, text, early, row[equal]
+
+
+def _joined(ids, nos, starts, stops) -> tuple[np.ndarray, ...]:
+    """The ranges of each document, with those that overlap or touch as one."""
+    order = np.lexsort((starts, nos, ids))
+    ids, nos, starts, stops = ids[order], nos[order], starts[order], stops[order]
+    doc = np.cumsum(np.append(False, (ids[1:] != ids[:-1]) | (nos[1:] != nos[:-1]))[: len(ids)])
+    reach = np.maximum.accumulate((doc << 40) + stops)
+    head = np.flatnonzero(np.append(True, (doc[1:] << 40) + starts[1:] > reach[:-1])[: len(ids)])
+    last = np.append(head[1:], len(ids))[: len(head)] - 1
+    return ids[head], nos[head], starts[head], reach[last] - (doc[head] << 40)
+
+
+def _collect_stretches(heavy: np.ndarray, buckets: int, most_bytes: int = HELD_BYTES, most_rows: int = HELD_ROWS):
+    """Stretches of the repeated anchors, packed by bucket; of identical ones that are held together only
+    the earliest goes on.  The others lie in buckets below zero, as places without bodies.
+    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        earliest: dict[bytes, tuple] = {}
-        later: list[tuple] = []
-
-        def note(key: int, place: tuple, body: bytes) -> None:
-            old = earliest.get(body)
-            if old is None or place < old[1]:
-                if old is not None:
-                    later.append((*old[1], len(body)))
-                earliest[body] = (key, place)
-            elif place != old[1]:  # not the same row again
-                later.append((*place, len(body)))
-
-        for batch in batches:
-            ids, nos = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            texts, wanted = _texts(batch.column(2)), batch.column(3).to_pylist()
+    def packed(held: _Held) -> Iterator[tuple[int, int, bytes]]:
+        c, text, early, later = held.taken()
+        bucket = (kernels.mix(c["key"][early].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((c["key"][early], bucket))
+        early, bucket = early[order], bucket[order]
+        cuts = np.flatnonzero(np.diff(bucket)) + 1
+        for first, stop in zip([0, *cuts.tolist()], [*cuts.tolist(), len(bucket)]):
+            rows = early[first:stop]
+            spans = zip(c["at"][rows].tolist(), c["size"][rows].tolist())
+            bodies = b"".join([text[i : i + n] for i, n in spans])
+            yield int(bucket[first]), len(rows), _pack({name: c[name][rows] for name, _ in _FIELDS}, bodies)
+        ids, nos, starts, stops = _joined(*(c[k][later] for k in ("id", "part", "start")), (c["start"] + c["size"])[later])
+        for at in range(0, len(ids), 1 << 16):
+            some = slice(at, at + (1 << 16))
+            gone = {"key": ids[some], "id": ids[some], "part": nos[some], "start": starts[some]}
+            gone["size"] = stops[some] - starts[some]
+            place = int(kernels.mix(ids[at : at + 1].view(np.uint64))[0] % np.uint64(buckets))
+            yield -1 - place, len(gone["id"]), _pack(gone, b"")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
+        held = _Held()
+        for batch in _pieces(batches):
+            ids, nos = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            texts, lists = _texts(batch.column(2)), batch.column(3)
+            ends, anchors = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
             for docs, offsets, parts in _segments(texts):
                 part, start, n, value, _ = stretches(parts)
                 cut = np.searchsorted(part, np.arange(len(parts) + 1))
-                for p, (d, offset, body) in enumerate(zip(docs, offsets, parts)):
-                    mine = slice(cut[p], cut[p + 1])
-                    hit = np.flatnonzero(np.isin(value[mine], wanted[d])) + cut[p]
-                    for k in hit.tolist():
-                        s, m, key = int(start[k]), int(n[k]), int(value[k])
-                        if key in heavy:
-                            for w in range(s, s + m):
-                                one = body[w : w + LENGTH]
-                                key = int.from_bytes(hashlib.blake2b(one, digest_size=8).digest(), "little", signed=True)
-                                note(key, (ids[d], nos[d], offset + w), one)
-                        else:
-                            note(key, (ids[d], nos[d], offset + s), body[s : s + m + LENGTH - 1])
-        rows = [(key, *place, len(body), body) for body, (key, place) in earliest.items()]
-        bucket = kernels.mix(np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64)) % np.uint64(buckets)
-        order = np.lexsort(([r[0] for r in rows], bucket))
-        cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-        for part in np.split(order, cuts) if len(rows) else []:
-            yield _packed(int(bucket[part[0]]), [rows[k] for k in part])
-        for k in range(0, len(later), 1 << 16):
-            yield _packed(COPIES, [(0, i, p, s, size, b"") for i, p, s, size in later[k : k + (1 << 16)]])
+                wanted = [
+                    np.isin(value[cut[p] : cut[p + 1]], anchors[ends[d] : ends[d + 1]]) for p, d in enumerate(docs)
+                ]
+                hit = np.flatnonzero(np.concatenate(wanted))
+                if not len(hit):
+                    continue
+                part, start, n, value = part[hit], start[hit], n[hit], value[hit]
+                single = np.isin(value, heavy)
+                times = np.where(single, n, 1)
+                part, value, cut_up = np.repeat(part, times), np.repeat(value, times), np.repeat(single, times)
+                nth = np.arange(len(part)) - np.repeat(np.cumsum(times) - times, times)
+                start, size = np.repeat(start, times) + nth, np.where(cut_up, LENGTH, np.repeat(n, times) + LENGTH - 1)
+                data, begin = kernels.flatten(parts)
+                at = begin[part] + start
+                own = kernels.word_hashes(data, at, at + size).view(np.int64)
+                doc = np.array(docs)[part]
+                held.add(
+                    data,
+                    at,
+                    {
+                        "key": np.where(cut_up, own, value),
+                        "id": ids[doc],
+                        "part": nos[doc],
+                        "start": np.array(offsets)[part] + start,
+                        "size": size.astype(np.int32),
+                        "hash": own,
+                    },
+                )
+                if held.bytes >= most_bytes or held.rows >= most_rows:
+                    yield from packed(held)
+        if held.rows:
+            yield from packed(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, size = [], 0
+        for row in rows(batches):
+            out.append(row)
+            size += len(row[2])
+            if size >= BLOBS:
+                yield _packed(out)
+                out, size = [], 0
+        if out:
+            yield _packed(out)
 
     return run
 
 
-def _packed(bucket: int, rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([bucket], pa.int32()), pa.array([len(rows)], pa.int32()), pa.array([_pack(rows)], pa.binary())],
-        names=["bucket", "n", "blob"],
-    )
+def _packed(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    columns = [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary()))]
+    return pa.RecordBatch.from_arrays(columns, names=["bucket", "n", "blob"])
 
 
 def _ranges(ids, nos, starts, stops) -> dict:
@@ -240,14 +326,6 @@ def _ranges(ids, nos, starts, stops) -> dict:
     }
 
 
-def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ranges of the stretches that go whole."""
-    for batch in batches:
-        for n, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            r, _ = _unpack(n, blob)
-            yield pa.RecordBatch.from_pydict(_ranges(r["id"], r["part"], r["start"], r["start"] + r["size"]))
-
-
 def _first_and_last(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Per stretch its first and last 100-byte string whose hash occurs twice among all, or -1 and -1."""
     hashes = []
@@ -297,18 +375,26 @@ def _in_shards(strings: list[bytes], keys: np.ndarray, order: np.ndarray, shard:
         cuts.append(max(int(np.searchsorted(sizes, done + shard, side="right")), cuts[-1] + 1))
     flags: list[np.ndarray] = []
     shards: list[dict] = []
+
+    def settle(own: dict) -> None:
+        text = own["text"]
+        removed = np.zeros(len(text.symbols), dtype=bool)
+        removed[own["sa"]] = own["place"] > own["first"][own["number"]]
+        flags.extend(removed[s : e - LENGTH + 1] for s, e in zip(text.starts, text.stops))
+
     for a, b in zip(cuts[:-1], cuts[1:]):
+        while shards and keys[shards[0]["b"] - 1] != keys[a]:
+            settle(shards.pop(0))  # stretches are sorted by key: no anchor in common with this or any later shard
         text = StringSet(strings[a:b])
         sa = suffix_array(text, LENGTH)
         group = np.cumsum(common_prefixes(text, sa, LENGTH) < LENGTH) - 1
+        text.__dict__.pop("packed", None)
         place = order[a:b][text.owner[sa]] + sa - text.starts[text.owner[sa]]
         head = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         number = np.cumsum(np.concatenate([[True], group[1:] != group[:-1]])) - 1
         first = np.minimum.reduceat(place, head)
         own = {"text": text, "sa": sa, "head": sa[head], "number": number, "first": first, "place": place}
         for old in reversed(shards):
-            if keys[old["b"] - 1] != keys[a]:
-                break  # stretches are sorted by key: no anchor in common with this or any earlier shard
             at = own["head"]
             near = np.flatnonzero(keys[a:b][text.owner[at]] == keys[a])
             found = search(old["text"], old["head"], text, at[near], LENGTH)
@@ -317,18 +403,19 @@ def _in_shards(strings: list[bytes], keys: np.ndarray, order: np.ndarray, shard:
             least = np.minimum(own["first"][hit], old["first"][there])
             own["first"][hit] = least
             old["first"][there] = least
-        own["a"], own["b"] = a, b
+        own["b"] = b
         shards.append(own)
     for own in shards:
-        text = own["text"]
-        removed = np.zeros(len(text.symbols), dtype=bool)
-        removed[own["sa"]] = own["place"] > own["first"][own["number"]]
-        flags += [removed[s : e - LENGTH + 1] for s, e in zip(text.starts, text.stops)]
+        settle(own)
     return flags
 
 
 def _resolve(table: pa.Table) -> pa.Table:
-    """Removed ranges of one part's stretches."""
+    """Removed ranges of one part's stretches; those of a bucket below zero go whole."""
+    if table.column("bucket")[0].as_py() < 0:
+        gone = [_unpack(n, blob)[0] for n, blob in zip(table.column("n").to_pylist(), table.column("blob").to_pylist())]
+        r = {name: np.concatenate([g[name] for g in gone]) for name in ("id", "part", "start", "size")}
+        return pa.table(_ranges(r["id"], r["part"], r["start"], r["start"] + r["size"]))
     held, bodies = [], []
     for n, blob in zip(table.column("n").to_pylist(), table.column("blob").to_pylist()):
         r, raw = _unpack(n, blob)
@@ -378,29 +465,29 @@ def _documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return marked.select("id", F.coalesce("part", F.lit(0)).alias("part"), "text")
 
 
-def removed_ranges(docs: DataFrame) -> DataFrame:
-    """(id, part, ranges): sorted byte ranges to remove, possibly overlapping; only documents that lose some."""
+def removed_ranges(docs: DataFrame, packed: DataFrame) -> DataFrame:
+    """(id, part, ranges): sorted byte ranges to remove, possibly overlapping; only documents that lose some.
+
+    ``packed`` holds the texts of ``docs`` compressed.  The stretches are
+    shuffled once and not written besides.
+    """
     anchors = docs.mapInArrow(_anchors, "a long, id long, part int")
     candidates, n, _ = materialise(
         anchors.repartition("a").sortWithinPartitions("a").mapInArrow(_repeated, "a long, id long, part int"), "anchors"
     )
     limit = max(HEAVY, n // HEAVY_ANCHORS)
     heavy = candidates.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
-    heavy = frozenset(r.a for r in heavy.collect())  # fewer than HEAVY_ANCHORS numbers
+    heavy = np.array([r.a for r in heavy.collect()], dtype=np.int64)  # fewer than HEAVY_ANCHORS numbers
     lists = candidates.distinct().groupBy("id", "part").agg(F.collect_list("a").alias("anchors"))
     buckets = max(1, -(-n * STRETCH_BYTES // PART))
-    found, _, _ = materialise(
-        docs.mapInArrow(_compress, _PACKED)
-        .join(lists, ["id", "part"])
+    found = (
+        packed.join(lists, ["id", "part"])
         .select("id", "part", "z", "anchors")
-        .mapInArrow(_collect_stretches(heavy, buckets), _STRETCH),
-        "stretches",
+        .mapInArrow(_collect_stretches(heavy, buckets), _STRETCH)
     )
-    ranges = "id long, part int, start long, stop long"
-    resolved = found.where(F.col("bucket") != COPIES).groupBy("bucket").applyInArrow(_resolve, ranges)
-    copies = found.where(F.col("bucket") == COPIES).select("n", "blob").mapInArrow(_whole, ranges)
     return (
-        resolved.unionByName(copies)
+        found.groupBy("bucket")
+        .applyInArrow(_resolve, "id long, part int, start long, stop long")
         .groupBy("id", "part")
         .agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("ranges"))
     )
@@ -419,7 +506,7 @@ def merge_ranges(ranges: list) -> list[tuple[int, int]]:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _pieces(batches):
         texts, ranges = _texts(batch.column(1)), batch.column(2).to_pylist()
         rest, runs = [], []
         for text, r in zip(texts, ranges):
@@ -445,8 +532,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: id, ``n_bytes``, ``spans`` (removed byte ranges) and
     ``kept`` (the remaining bytes; a cut may fall inside a character)."""
     docs = _documents(df, id_col, text_col)
-    ranges = removed_ranges(docs)
-    joined = docs.mapInArrow(_compress, _PACKED).join(ranges, ["id", "part"], "left").select("id", "z", "ranges")
+    packed = docs.mapInArrow(_compress, _PACKED)
+    ranges = removed_ranges(docs, packed)
+    joined = packed.join(ranges, ["id", "part"], "left").select("id", "z", "ranges")
     cut = joined.mapInArrow(
         _cut, "id long, n_bytes long, spans array<struct<start: bigint, stop: bigint>>, kept binary"
     )

@@ -4,12 +4,15 @@ import collections
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from blotter.llm import (
@@ -286,6 +289,63 @@ def test_stretches_cover_every_string():
     assert seen[part == 4][0] >= 2  # a string repeated inside one stretch is a candidate by itself
 
 
+def _stretch_batches(texts):
+    """What a collecting task is given when every anchor of every text is wanted; rows in no order of ids."""
+    ids = list(texts)[::-1]
+    parts = [texts[k] for k in ids]
+    part, _, _, value, _ = suffix_dedup.stretches(parts)
+    columns = [
+        pa.array(ids, pa.int64()),
+        pa.array([0] * len(ids), pa.int32()),
+        pa.array([zstandard.compress(t) for t in parts], pa.binary()),
+        pa.array([sorted(set(value[part == p].tolist())) for p in range(len(ids))], pa.list_(pa.int64())),
+    ]
+    batch = pa.RecordBatch.from_arrays(columns, names=["id", "part", "z", "anchors"])
+    return [batch, batch.slice(0, 1)], np.unique(value)  # one row occurs twice
+
+
+def _gone(found, texts):
+    """Per text the bytes that the resolved stretches remove."""
+    table = pa.Table.from_batches(found)
+    gone = {k: bytearray(len(t)) for k, t in texts.items()}
+    for bucket in set(table.column("bucket").to_pylist()):
+        part = suffix_dedup._resolve(table.filter(pc.equal(table.column("bucket"), bucket)))
+        for r in part.to_pylist():
+            gone[r["id"]][r["start"] : r["stop"]] = b"\1" * (r["stop"] - r["start"])
+    return gone
+
+
+def test_stretches_held_in_small_lots():
+    shared, line = _prose(21, 60).encode(), (LINE + "\n").encode()
+    texts = {k: _prose(30 + k, 12).encode() + line * (k % 3) + shared[k : k + 250] * (1 + k % 2) for k in range(12)}
+    texts |= {20: b"xy" * 300, 21: b"yx" * 2000, 22: texts[3], 23: texts[3] + b"x" * 99}
+    seen, want = set(), {}
+    for k, t in sorted(texts.items()):
+        want[k] = bytearray(len(t))
+        for i in range(len(t) - 99):
+            if t[i : i + 100] in seen:
+                want[k][i : i + 100] = b"\1" * 100
+            seen.add(t[i : i + 100])
+    batches, anchors = _stretch_batches(texts)
+    for heavy in (anchors[:0], anchors[::2], anchors):
+        for most_bytes, most_rows in ((1 << 30, 1 << 30), (700, 1 << 30), (1 << 30, 1)):
+            found = list(suffix_dedup._collect_stretches(heavy, 3, most_bytes, most_rows)(iter(batches)))
+            assert _gone(found, texts) == want
+
+
+def test_heavy_anchors_do_not_fill_a_task():
+    rng = np.random.default_rng(8)
+    texts = {k: rng.integers(97, 123, 10_000).astype(np.uint8).tobytes() for k in range(50)}
+    batches, heavy = _stretch_batches(texts)
+    collect = suffix_dedup._collect_stretches(heavy, 4)
+    tracemalloc.start()
+    n = sum(sum(b.column(1).to_pylist()) for b in collect(iter(batches)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n >= 50 * 9901  # every single string goes on
+    assert peak < 200 << 20  # 100 bytes and some numbers a string, but not as Python objects
+
+
 # 5 -------------------------------------------------------------------------
 
 
